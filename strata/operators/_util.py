@@ -65,3 +65,16 @@ def row_budget(df: DataFrame, budget_bytes: int) -> int:
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
     """Bounded size check: reads at most ``max_rows + 1`` rows of ``df``."""
     return df.limit(max_rows + 1).count() <= max_rows
+
+
+def materialize(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """Write ``df`` once to a new folder below the shared checkpoint folder and
+    read it back: later passes (checks, joins) reuse the rows instead of
+    recomputing them, and a lost executor cannot change them. Returns the
+    read-back frame and its row count (observed on the write)."""
+    from pyspark.sql import Observation
+    from strata.session import scratch_path
+    path = scratch_path(df.sparkSession, label)
+    obs = Observation(f"{label}-rows")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path), int(obs.get["rows"])

@@ -15,8 +15,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from strata.operators._util import (all_not_null, and_all, any_null, has_at_most, q, resolve,
-                                    row_budget, split_keys)
+from strata.operators._util import (all_not_null, and_all, any_null, has_at_most, materialize,
+                                    q, resolve, row_budget, split_keys)
 from strata.operators.conform import conform_to_schema, with_audit
 from strata.operators.joins import BROADCAST_BUDGET_BYTES
 from strata.schemas import AUDIT_COLUMNS
@@ -94,7 +94,7 @@ def _ts(run_ts) -> Column:
 def upsert(target: DataFrame, source: DataFrame, keys, run_id: str, run_ts=None,
            update_columns=None, check_unique: bool = True, null_keys: str = "merge",
            method: str = "auto", broadcast_budget: int = BROADCAST_BUDGET_BYTES,
-           with_action: bool = False) -> DataFrame:
+           with_action: bool = False, materialize_source: bool = True) -> DataFrame:
     """MERGE-as-snapshot on one or more key columns.
 
     Matched rows take the source's values of ``update_columns`` (default: every
@@ -107,14 +107,24 @@ def upsert(target: DataFrame, source: DataFrame, keys, run_id: str, run_ts=None,
     (plus a key-only scan) and never shuffles the target; ``shuffle`` is one
     full outer sort-merge join; ``auto`` picks ``broadcast`` when the source is
     proven to fit ``broadcast_budget``.
+
+    ``materialize_source`` writes the (projected) source once to the shared
+    checkpoint folder, so the checks and the joins read it instead of
+    recomputing it (a deduplicated batch would otherwise shuffle again per
+    pass); the row count observed on that write decides the strategy.
     """
     if not run_id:
         raise ValueError("run_id is required")
     keys, src_keys, upd, src_upd, audit = _plan_columns(target, source, keys, update_columns)
-    _check_source(source, src_keys, null_keys, check_unique)
     src = source.select([q(c).alias(k) for c, k in zip(src_keys + src_upd, keys + upd)])
+    n_rows = None
+    if materialize_source:
+        src, n_rows = materialize(src, "upsert-source")
+    _check_source(src, keys, null_keys, check_unique)
     if method == "auto":
-        method = "broadcast" if has_at_most(src, row_budget(src, broadcast_budget)) else "shuffle"
+        budget = row_budget(src, broadcast_budget)
+        small = n_rows <= budget if n_rows is not None else has_at_most(src, budget)
+        method = "broadcast" if small else "shuffle"
     if method == "broadcast":
         out = _upsert_broadcast(target, src, keys, upd, audit, run_id, _ts(run_ts))
     elif method == "shuffle":

@@ -6,17 +6,26 @@ from pyspark.sql import DataFrame
 
 from strata.operators.conform import conform_to_schema, select_alias, with_audit
 from strata.operators.joins import left_join_fanout, left_join_unique
-from strata.operators.keys import surrogate_key
+from strata.operators.keys import stable_keys, surrogate_key
 from strata.schemas import GOLD_DIM_APPOINTMENT, GOLD_FACT_SALES
 
 
 def dim_appointment(appointments: DataFrame, run_id: str, run_ts=None,
-                    on_error: str = "fail") -> DataFrame:
+                    on_error: str = "fail", existing: DataFrame | None = None) -> DataFrame:
     """One row per appointment: yard, sales order, carrier; a dense key in
-    yard order (ties broken by the other columns); audit; strict fit."""
+    yard order (ties broken by the other columns); audit; strict fit.
+
+    With ``existing`` (the current dimension), rows already there keep their
+    key (matched on all three attributes, NULL-safe) and new rows are
+    numbered from its largest key + 1, so keys stay stable across runs.
+    """
     dim = select_alias(appointments, ["YARD_NAME", ("SALES_ORDER_TICKET_ID", "SALES_ORDER_ID"),
                                       "CARRIER_NAME"])
-    dim = surrogate_key(dim, ["YARD_NAME"], "APPOINTMENT_DATA_KEY")
+    if existing is None:
+        dim = surrogate_key(dim, ["YARD_NAME"], "APPOINTMENT_DATA_KEY")
+    else:
+        dim = stable_keys(dim, existing, ["YARD_NAME", "SALES_ORDER_ID", "CARRIER_NAME"],
+                          "APPOINTMENT_DATA_KEY", ["YARD_NAME"])
     dim = with_audit(dim, run_id, run_ts)
     return conform_to_schema(dim, GOLD_DIM_APPOINTMENT, on_error=on_error)
 

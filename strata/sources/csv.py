@@ -14,6 +14,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from strata.functions.headers import normalize_headers
 
 HEADER_PROBE_BYTES = 1 << 20
+MAX_HEADER_VARIANTS = 1000
 
 
 def scan_csv(spark: SparkSession, path, schema: StructType | None = None, **options) -> DataFrame:
@@ -69,19 +70,28 @@ def scan_csv_folder(spark: SparkSession, folder: str, glob: str = "*.csv",
                     normalize: bool = True) -> DataFrame:
     """All files of an object's folder, with headers matched per file.
 
-    Files are grouped by their header line; each group is one CSV read over its
-    file list, headers are normalised, and the groups are combined by column
-    name (a column missing from a group is NULL there). The driver only sees
-    file names and distinct header lines, never rows.
+    Distinct header lines are found first (a few bytes per file). With one
+    layout the folder is read once. Otherwise files are grouped by header;
+    each group is one CSV read over its file list, headers are normalised, and
+    the groups are combined by column name (a column missing from a group is
+    NULL there). The driver sees distinct header lines and, only when layouts
+    differ, file names; never rows.
     """
-    groups: dict[str, list[str]] = {}
-    for r in csv_headers(spark, folder, glob).collect():
-        groups.setdefault(r["header"], []).append(r["path"])
-    if not groups:
+    probe = csv_headers(spark, folder, glob)
+    headers = [r["header"] for r in probe.select("header").distinct().limit(MAX_HEADER_VARIANTS + 1)
+               .collect()]
+    if not headers:
         raise FileNotFoundError(f"no {glob} files in {folder}")
+    if len(headers) > MAX_HEADER_VARIANTS:
+        raise ValueError(f"more than {MAX_HEADER_VARIANTS} header variants in {folder}")
+    if len(headers) == 1:
+        # the common case: one layout, one read of the folder, no file list
+        df = scan_csv(spark, folder, pathGlobFilter=glob)
+        return normalize_headers(df) if normalize else df
     frames = []
-    for header in sorted(groups):
-        df = scan_csv(spark, sorted(groups[header]))
+    for header in sorted(headers):
+        paths = [r["path"] for r in probe.filter(probe.header == header).select("path").collect()]
+        df = scan_csv(spark, sorted(paths))
         frames.append(normalize_headers(df) if normalize else df)
     out = frames[0]
     for f in frames[1:]:

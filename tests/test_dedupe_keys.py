@@ -84,3 +84,17 @@ def test_stable_keys_keep_existing_and_extend(spark):
     assert all(got[k] == v for k, v in old.items())                  # no key changed
     assert sorted(got.values()) == list(range(1, 501))               # dense, no gap
     assert min(got[k] for k in got if k % 5 == 0) == max(old.values()) + 1
+
+
+def test_dim_appointment_stable_keys_across_runs(spark):
+    from strata.plans import dim_appointment
+    appts = spark.range(0, 300, numPartitions=3).select(
+        F.concat(F.lit("Y"), (F.col("id") % 7).cast("string")).alias("YARD_NAME"),
+        F.col("id").cast("string").alias("SALES_ORDER_TICKET_ID"),
+        F.lit("carrier").alias("CARRIER_NAME"))
+    first = dim_appointment(appts.filter("id < 200"), "r1", dt.datetime(2024, 1, 1))
+    second = dim_appointment(appts, "r2", dt.datetime(2024, 2, 1), existing=first)
+    k1 = {r.SALES_ORDER_ID: r.APPOINTMENT_DATA_KEY for r in first.collect()}
+    k2 = {r.SALES_ORDER_ID: r.APPOINTMENT_DATA_KEY for r in second.collect()}
+    assert all(k2[s] == k for s, k in k1.items())
+    assert sorted(k2.values()) == list(range(1, 301))
