@@ -11,7 +11,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StructType
+from pyspark.sql.types import DataType, StringType, StructType
 
 from strata.functions.casts import cast_by_type_name, cast_to
 from strata.schemas import AUDIT_COLUMNS
@@ -68,7 +68,8 @@ def cast_by_mapping(df: DataFrame, types: dict[str, str]) -> DataFrame:
     cols = []
     for c in df.columns:
         t = lookup.get(c.upper())
-        cols.append(cast_by_type_name(_q(c), t).alias(c) if t else _q(c))
+        text = isinstance(df.schema[c].dataType, StringType)
+        cols.append(cast_by_type_name(_q(c), t, text).alias(c) if t else _q(c))
     return df.select(cols)
 
 

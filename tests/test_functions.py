@@ -82,3 +82,14 @@ def test_normalize_headers_collision(spark):
     df = spark.createDataFrame([(1, 2)], "`A B` int, `A-B` int")
     with pytest.raises(ValueError, match="A B"):
         normalize_headers(df)
+
+
+def test_guarded_try_cast_equals_plain(spark):
+    vals = ["12", " 12 ", "+12", "-12", "12.0", "12.", ".5", "12.7", "1e2", "0x10", "\t12\n",
+            "\x0b12", "\x1f12", "\x7f12", "1_000", "1,000", "", " ", "-", "+", "12 3", "0012",
+            "9223372036854775807", "2147483648", "-2147483648", "$5", "N/A", None, "1E+2",
+            "+.5", "-5.e1", "12.345", " 1.5 ", "NaN", "\u008512", " 12"]
+    df = spark.createDataFrame([(v,) for v in vals], "v string")
+    for t in ("int", "bigint", "smallint", "tinyint", "decimal(10,2)", "decimal(38,0)", "boolean"):
+        got = df.select(try_cast_by_type("v", t).eqNullSafe(F.col("v").try_cast(t)).alias("ok"))
+        assert all(r.ok for r in got.collect()), t
