@@ -23,6 +23,12 @@ def _eq(left_on, right_on) -> object:
     return and_all([q(a) == q(b) for a, b in zip(left_on, right_on)])
 
 
+def _check_names(left: DataFrame, right_cols) -> None:
+    clash = sorted({c.upper() for c in right_cols} & {c.upper() for c in left.columns})
+    if clash:
+        raise ValueError(f"right columns {clash} already exist on the left; alias them first")
+
+
 def left_join_fanout(left: DataFrame, right: DataFrame, left_on, right_on,
                      right_cols) -> DataFrame:
     """Left equi-join to a right side that is *not* unique on the key: each left
@@ -37,6 +43,7 @@ def left_join_fanout(left: DataFrame, right: DataFrame, left_on, right_on,
     left_on = resolve(left, left_on)
     right_on = resolve(right, right_on)
     right_cols = resolve(right, right_cols)
+    _check_names(left, right_cols)
     r_names = [f"__r{i}" for i in range(len(right_on))]
     r = right.select([q(c).alias(n) for c, n in zip(right_on, r_names)] + [q(c) for c in right_cols])
     matched = left.join(r, _eq(left_on, r_names), "inner").select(
@@ -56,6 +63,7 @@ def left_join_unique(left: DataFrame, right: DataFrame, left_on, right_on, right
     left_on = resolve(left, left_on)
     right_on = resolve(right, right_on)
     right_cols = resolve(right, right_cols)
+    _check_names(left, right_cols)
     if pick not in ("min", "max"):
         raise ValueError("pick must be 'min' or 'max'")
     r_names = [f"__r{i}" for i in range(len(right_on))]

@@ -52,7 +52,7 @@ def _first_lines(batches):
         for p in pdf["path"]:
             with _open_local_or_fs(p) as fh:
                 chunk = fh.read(HEADER_PROBE_BYTES)
-            line = chunk.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8-sig")
+            line = chunk.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8-sig", errors="replace")
             headers.append(line)
         yield pd.DataFrame({"path": pdf["path"], "header": headers})
 
@@ -88,10 +88,12 @@ def scan_csv_folder(spark: SparkSession, folder: str, glob: str = "*.csv",
         # the common case: one layout, one read of the folder, no file list
         df = scan_csv(spark, folder, pathGlobFilter=glob)
         return normalize_headers(df) if normalize else df
+    groups: dict[str, list[str]] = {}
+    for r in probe.collect():                    # file names only, one pass
+        groups.setdefault(r["header"], []).append(r["path"])
     frames = []
-    for header in sorted(headers):
-        paths = [r["path"] for r in probe.filter(probe.header == header).select("path").collect()]
-        df = scan_csv(spark, sorted(paths))
+    for header in sorted(groups):
+        df = scan_csv(spark, sorted(groups[header]))
         frames.append(normalize_headers(df) if normalize else df)
     out = frames[0]
     for f in frames[1:]:
