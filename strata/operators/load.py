@@ -209,20 +209,22 @@ def _upsert_broadcast(target, src, keys, upd, audit, run_id, ts):
     return old.unionByName(ins)
 
 
-def upsert_actions(target: DataFrame, source: DataFrame, keys) -> DataFrame:
-    """Keys with the MERGE action each gets (``updated``/``inserted``/``kept``)."""
+def upsert_actions(target: DataFrame, source: DataFrame, keys, method: str = "auto",
+                   broadcast_budget: int = BROADCAST_BUDGET_BYTES) -> DataFrame:
+    """Keys with the MERGE action each gets: ``updated`` (in both),
+    ``inserted`` (source only, NULL keys included) or ``kept`` (target only).
+
+    The match part of :func:`upsert` on key columns alone, so it shares its
+    strategies: broadcast of a proven-small source, else a full outer join
+    with NULL keys salted over many reducers.
+    """
     keys = resolve(target, split_keys(keys))
     src_keys = resolve(source, keys)
-    t = target.select([q(k).alias(f"__t_{k}") for k in keys] + [F.lit(True).alias("__in_t")])
-    s = source.select([q(sk).alias(f"__s_{k}") for sk, k in zip(src_keys, keys)]
-                      + [F.lit(True).alias("__in_s")])
-    cond = and_all([q(f"__t_{k}") == q(f"__s_{k}") for k in keys])
-    has_t, has_s = F.col("__in_t").isNotNull(), F.col("__in_s").isNotNull()
-    j = t.join(s, cond, "full_outer")
-    action = (F.when(has_t & has_s, F.lit("updated"))
-              .when(has_s, F.lit("inserted")).otherwise(F.lit("kept")))
-    return j.select([F.when(has_s, q(f"__s_{k}")).otherwise(q(f"__t_{k}")).alias(k) for k in keys]
-                    + [action.alias("action")])
+    snap = upsert(target.select([q(k) for k in keys]),
+                  source.select([q(sk).alias(k) for sk, k in zip(src_keys, keys)]),
+                  keys, run_id="actions", update_columns=[], check_unique=False, method=method,
+                  broadcast_budget=broadcast_budget, with_action=True)
+    return snap.select([q(k) for k in keys] + [F.col("__action").alias("action")])
 
 
 def upsert_counts(snapshot_with_action: DataFrame) -> DataFrame:
