@@ -108,3 +108,31 @@ def test_left_join_unique_never_multiplies(spark):
     assert out.count() == 300
     assert rows(out.filter("k = 5")) == [(5, 5)]
     assert out.filter("k >= 100 AND v IS NOT NULL").count() == 0
+
+
+def test_config_rows_drive_silver(spark):
+    from strata.mapping import mapping_frame
+    from strata.plans import active_objects, silver_job
+    from strata.schemas import OBJECT_CONFIG
+    cfg = spark.createDataFrame([
+        ("ORD", "erp", "b.ord", "s.ord", "UPSERT", "ORDER_ID, LINE", 1, 1, "in/ord", "ord", "in/arch"),
+        ("OFF", "erp", "b.off", "s.off", "UPSERT", "X", 0, 0, None, None, None)], OBJECT_CONFIG)
+    objs = active_objects(cfg)
+    assert [o.object_name for o in objs] == ["ORD"] and objs[0].keys == ("ORDER_ID", "LINE")
+    bronze = spark.createDataFrame([("1", "1", "a", "r0", R0), ("1", "1", "b", "r0", R1)],
+                                   "OID string, LN string, V string, ADDED_BY string, ADDED_ON timestamp")
+    mapping = mapping_frame(spark, [("erp", "ORD", "OID", "ORDER_ID", "int", None),
+                                    ("erp", "ORD", "LN", "LINE", "int", None),
+                                    ("erp", "ORD", "V", "VAL", "string", None)])
+    from pyspark.sql.types import IntegerType, StringType, StructField, StructType, TimestampType
+    schema = StructType([StructField("ORDER_ID", IntegerType()), StructField("LINE", IntegerType()),
+                         StructField("VAL", StringType()), StructField("ADDED_BY", StringType()),
+                         StructField("ADDED_ON", TimestampType()),
+                         StructField("MODIFIED_BY", StringType()),
+                         StructField("MODIFIED_ON", TimestampType())])
+    out = silver_job(objs[0], bronze, mapping, "r1", R1, target_schema=schema)
+    assert rows(out, "ORDER_ID", "LINE", "VAL", "ADDED_BY") == [(1, 1, "b", "r1")]
+    bad = spark.createDataFrame([("X", "s", None, None, "DELETE", "K", 0, 1, None, None, None)],
+                                OBJECT_CONFIG)
+    with pytest.raises(ValueError, match="unsupported"):
+        active_objects(bad)
