@@ -19,6 +19,7 @@ from strata.plans.bronze import conform_bronze
 from strata.sources.csv import scan_csv, string_schema
 
 BATCH_COLUMN = "BATCH_ID"
+DEFAULT_MAX_FILES_PER_TRIGGER = 1000
 
 
 def landing_schema(spark: SparkSession, folder: str, glob: str = "*.csv") -> StructType:
@@ -30,10 +31,12 @@ def incremental_ingest(spark: SparkSession, source_dir: str, table_path: str,
                        checkpoint_path: str, archive_dir: str, target_schema: StructType,
                        run_id: str, run_ts=None, glob: str = "*.csv",
                        raw_schema: StructType | None = None,
-                       max_files_per_trigger: int | None = None) -> dict:
+                       max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER) -> dict:
     """Run the stream until every file present is loaded (``availableNow``).
 
-    Returns ``{"batches": n, "rows": m}`` for this run.
+    A backlog is split into batches of at most ``max_files_per_trigger``
+    files, so one batch never grows with the backlog and a retry redoes one
+    bounded batch. Returns ``{"batches": n, "rows": m}`` for this run.
     """
     raw_schema = raw_schema or landing_schema(spark, source_dir, glob)
     reader = (spark.readStream.schema(raw_schema).option("header", True)

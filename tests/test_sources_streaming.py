@@ -92,3 +92,16 @@ def test_retried_batch_replaces_its_partition(spark, workdir):
         out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
             .partitionBy("BATCH_ID").parquet(path)
     assert spark.read.parquet(path).count() == 2
+
+
+def test_ingest_backlog_in_bounded_batches(spark, workdir):
+    src, base = f"{workdir}/in", f"{workdir}/bronze"
+    os.makedirs(src)
+    for i in range(5):
+        _write(f"{src}/Sales_{i}.csv", f"Yard ID,Price ($),Note\n{i},1,x\n")
+    stats = incremental_ingest(spark, source_dir=src, table_path=f"{base}/table",
+                               checkpoint_path=f"{base}/ckpt", archive_dir=f"{workdir}/archive",
+                               target_schema=BRONZE, run_id="r1", max_files_per_trigger=2)
+    assert stats["batches"] == 3 and stats["rows"] == 5
+    t = read_ingested(spark, f"{base}/table", keep_batch_id=True)
+    assert t.count() == 5 and t.select("BATCH_ID").distinct().count() == 3
