@@ -5,9 +5,6 @@ Every business column is read as text; types come later from metadata.
 
 from __future__ import annotations
 
-from urllib.parse import unquote, urlparse
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -37,24 +34,35 @@ def string_schema(names) -> StructType:
     return StructType([StructField(n, StringType(), True) for n in names])
 
 
-def _open_local_or_fs(path: str):
-    parsed = urlparse(path)
-    if parsed.scheme in ("", "file"):
-        return open(unquote(parsed.path), "rb")
-    from pyarrow import fs as pafs
-    filesystem, inner = pafs.FileSystem.from_uri(path)
-    return filesystem.open_input_stream(inner)
+def _first_line_reader(probe_bytes: int):
+    """The per-task function of :func:`csv_headers`.
+
+    Built as a closure with its imports inside, so it is shipped to Python
+    workers by value and needs no import of this package there.
+    """
+    def first_lines(batches):
+        from urllib.parse import unquote, urlparse
+
+        import pandas as pd
+
+        def open_path(path):
+            parsed = urlparse(path)
+            if parsed.scheme in ("", "file"):
+                return open(unquote(parsed.path), "rb")
+            from pyarrow import fs as pafs
+            filesystem, inner = pafs.FileSystem.from_uri(path)
+            return filesystem.open_input_stream(inner)
 
+        for pdf in batches:
+            headers = []
+            for p in pdf["path"]:
+                with open_path(p) as fh:
+                    chunk = fh.read(probe_bytes)
+                line = chunk.split(b"\n", 1)[0].rstrip(b"\r")
+                headers.append(line.decode("utf-8-sig", errors="replace"))
+            yield pd.DataFrame({"path": pdf["path"], "header": headers})
 
-def _first_lines(batches):
-    for pdf in batches:
-        headers = []
-        for p in pdf["path"]:
-            with _open_local_or_fs(p) as fh:
-                chunk = fh.read(HEADER_PROBE_BYTES)
-            line = chunk.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8-sig", errors="replace")
-            headers.append(line)
-        yield pd.DataFrame({"path": pdf["path"], "header": headers})
+    return first_lines
 
 
 def csv_headers(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataFrame:
@@ -63,7 +71,7 @@ def csv_headers(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataFr
     only the first line of its files."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
              .option("recursiveFileLookup", False).load(folder).select("path"))
-    return files.mapInPandas(_first_lines, "path string, header string")
+    return files.mapInPandas(_first_line_reader(HEADER_PROBE_BYTES), "path string, header string")
 
 
 def scan_csv_folder(spark: SparkSession, folder: str, glob: str = "*.csv",

@@ -105,3 +105,20 @@ def test_ingest_backlog_in_bounded_batches(spark, workdir):
     assert stats["batches"] == 3 and stats["rows"] == 5
     t = read_ingested(spark, f"{base}/table", keep_batch_id=True)
     assert t.count() == 5 and t.select("BATCH_ID").distinct().count() == 3
+
+
+def test_header_probe_needs_no_package_on_workers(workdir):
+    # run from another folder, so Python workers cannot import the package
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    _landing(workdir)
+    code = (f"import sys; sys.path.insert(0, {repo!r})\n"
+            "from strata.session import build_session\n"
+            "from strata.sources import scan_csv_folder\n"
+            "spark = build_session(master='local[2]', shuffle_partitions=2)\n"
+            f"print('ROWS', scan_csv_folder(spark, {workdir!r}).count())\n")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd="/", env=env, capture_output=True,
+                         text=True, timeout=300)
+    assert "ROWS 5" in out.stdout, out.stderr[-2000:]
