@@ -416,6 +416,10 @@ def q_silver_load(spark, sf):
     previous = silver_load(A.bronze_lineitem(spark, sf, date_before=A.OLD_BEFORE), mapping,
                            A.LINEITEM_KEYS, A.PREV_RUN_ID, A.PREV_RUN_TS, full_load=True,
                            target_schema=schema)
+    # the previous run's silver table, as stored by that run
+    stored = scratch_path(spark, "silver-previous")
+    write_table(previous, stored)
+    previous = spark.read.parquet(stored)
     return silver_load(A.bronze_lineitem(spark, sf, date_from=A.NEW_FROM), mapping,
                        A.LINEITEM_KEYS, A.RUN_ID, A.RUN_TS, target=previous)
 
@@ -425,8 +429,10 @@ def q_dim_appointment(spark, sf):
 
 
 def q_fact_sales(spark, sf):
-    dim = dim_appointment(A.appointments(spark, sf), A.RUN_ID, A.RUN_TS)
-    return fact_sales(A.sales(spark, sf), dim, A.RUN_ID, A.RUN_TS)
+    # the dimension is loaded first and the fact reads the stored table
+    dim_path = scratch_path(spark, "gold-dim")
+    write_table(dim_appointment(A.appointments(spark, sf), A.RUN_ID, A.RUN_TS), dim_path)
+    return fact_sales(A.sales(spark, sf), spark.read.parquet(dim_path), A.RUN_ID, A.RUN_TS)
 
 
 QUERIES: dict[str, Query] = {
