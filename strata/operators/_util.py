@@ -4,7 +4,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (BooleanType, ByteType, DateType, DecimalType, DoubleType,
+from pyspark.sql.types import (BinaryType, BooleanType, ByteType, DateType, DecimalType, DoubleType,
                                FloatType, IntegerType, LongType, ShortType, StringType,
                                TimestampNTZType, TimestampType)
 
@@ -53,28 +53,41 @@ _WIDTH = {StringType: 32, LongType: 8, DoubleType: 8, IntegerType: 4, FloatType:
           TimestampNTZType: 8, DecimalType: 16}
 
 
-def estimated_row_bytes(df: DataFrame) -> int:
-    """A rough per-row size from the schema (fixed widths, 32 bytes a string)."""
-    return max(1, sum(_WIDTH.get(type(f.dataType), 64) + 8 for f in df.schema.fields))
+def _size_exprs(df: DataFrame):
+    """``count`` and the byte size of the variable-width columns."""
+    var = [q(f.name) for f in df.schema.fields
+           if isinstance(f.dataType, (StringType, BinaryType))]
+    text = F.lit(0).cast("long")
+    for c in var:
+        text = text + F.coalesce(F.octet_length(c), F.lit(0)).cast("long")
+    return [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(text), F.lit(0)).alias("text_bytes")]
 
 
-def row_budget(df: DataFrame, budget_bytes: int) -> int:
-    return max(1, budget_bytes // estimated_row_bytes(df))
+def fixed_row_bytes(df: DataFrame) -> int:
+    """Per-row bytes of the fixed-width columns (plus a small row overhead)."""
+    return sum((0 if isinstance(f.dataType, (StringType, BinaryType))
+                else _WIDTH.get(type(f.dataType), 64)) + 8 for f in df.schema.fields) + 16
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Bounded size check: reads at most ``max_rows + 1`` rows of ``df``."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def fits_budget(df: DataFrame, budget_bytes: int, max_rows: int | None = None) -> bool:
+    """Proven size check: looks at no more than the rows that could fit the
+    budget (plus one) and measures their real bytes, strings included."""
+    per_row = fixed_row_bytes(df)
+    cap = max(1, budget_bytes // per_row) if max_rows is None else max_rows
+    r = df.limit(cap + 1).agg(*_size_exprs(df)).first()
+    return r["rows"] <= cap and r["rows"] * per_row + r["text_bytes"] <= budget_bytes
 
 
-def materialize(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+def materialize(df: DataFrame, label: str) -> tuple[DataFrame, int, int]:
     """Write ``df`` once to a new folder below the shared checkpoint folder and
     read it back: later passes (checks, joins) reuse the rows instead of
     recomputing them, and a lost executor cannot change them. Returns the
-    read-back frame and its row count (observed on the write)."""
+    read-back frame, its row count and its size in bytes (fixed-width columns
+    plus the measured bytes of the strings), all observed on the write."""
     from pyspark.sql import Observation
     from strata.session import scratch_path
     path = scratch_path(df.sparkSession, label)
-    obs = Observation(f"{label}-rows")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path), int(obs.get["rows"])
+    obs = Observation(f"{label}-size")
+    df.observe(obs, *_size_exprs(df)).write.mode("overwrite").parquet(path)
+    rows, text = int(obs.get["rows"]), int(obs.get["text_bytes"] or 0)
+    return df.sparkSession.read.parquet(path), rows, rows * fixed_row_bytes(df) + text

@@ -9,14 +9,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators._util import and_all, has_at_most, q, resolve, row_budget
+from strata.operators._util import and_all, fits_budget, q, resolve
 
 BROADCAST_BUDGET_BYTES = 64 * 1024 * 1024
 
 
 def broadcast_if_small(df: DataFrame, budget_bytes: int = BROADCAST_BUDGET_BYTES) -> DataFrame:
-    """``broadcast(df)`` when ``df`` is proven to fit the budget, else ``df``."""
-    return F.broadcast(df) if has_at_most(df, row_budget(df, budget_bytes)) else df
+    """``broadcast(df)`` when ``df`` is proven to fit the budget (rows counted
+    and string bytes measured, reading no more rows than could fit), else
+    ``df``, left to a sort-merge join with AQE."""
+    return F.broadcast(df) if fits_budget(df, budget_bytes) else df
 
 
 def _eq(left_on, right_on) -> object:

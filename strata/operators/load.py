@@ -15,8 +15,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from strata.operators._util import (all_not_null, and_all, any_null, has_at_most, materialize,
-                                    q, resolve, row_budget, split_keys)
+from strata.operators._util import (all_not_null, and_all, any_null, fits_budget, materialize, q,
+                                    resolve, split_keys)
 from strata.operators.conform import conform_to_schema, with_audit
 from strata.operators.joins import BROADCAST_BUDGET_BYTES
 from strata.schemas import AUDIT_COLUMNS
@@ -111,19 +111,20 @@ def upsert(target: DataFrame, source: DataFrame, keys, run_id: str, run_ts=None,
     ``materialize_source`` writes the (projected) source once to the shared
     checkpoint folder, so the checks and the joins read it instead of
     recomputing it (a deduplicated batch would otherwise shuffle again per
-    pass); the row count observed on that write decides the strategy.
+    pass); the size observed on that write (rows, and the real bytes of the
+    string columns) decides the strategy.
     """
     if not run_id:
         raise ValueError("run_id is required")
     keys, src_keys, upd, src_upd, audit = _plan_columns(target, source, keys, update_columns)
     src = source.select([q(c).alias(k) for c, k in zip(src_keys + src_upd, keys + upd)])
-    n_rows = None
+    n_bytes = None
     if materialize_source:
-        src, n_rows = materialize(src, "upsert-source")
+        src, _, n_bytes = materialize(src, "upsert-source")
     _check_source(src, keys, null_keys, check_unique)
     if method == "auto":
-        budget = row_budget(src, broadcast_budget)
-        small = n_rows <= budget if n_rows is not None else has_at_most(src, budget)
+        small = (n_bytes <= broadcast_budget if n_bytes is not None
+                 else fits_budget(src, broadcast_budget))
         method = "broadcast" if small else "shuffle"
     if method == "broadcast":
         out = _upsert_broadcast(target, src, keys, upd, audit, run_id, _ts(run_ts))

@@ -136,3 +136,11 @@ def test_config_rows_drive_silver(spark):
                                 OBJECT_CONFIG)
     with pytest.raises(ValueError, match="unsupported"):
         active_objects(bad)
+
+
+def test_broadcast_budget_measures_string_bytes(spark):
+    from strata.operators._util import fits_budget
+    narrow = spark.range(0, 1000).select(F.col("id").cast("string").alias("s"))
+    wide = spark.range(0, 1000).select(F.repeat(F.lit("x"), 5000).alias("s"))
+    assert fits_budget(narrow, 1 << 20)
+    assert not fits_budget(wide, 1 << 20)          # 5 MB of text: over a 1 MB budget
