@@ -144,3 +144,16 @@ def test_broadcast_budget_measures_string_bytes(spark):
     wide = spark.range(0, 1000).select(F.repeat(F.lit("x"), 5000).alias("s"))
     assert fits_budget(narrow, 1 << 20)
     assert not fits_budget(wide, 1 << 20)          # 5 MB of text: over a 1 MB budget
+
+
+def test_empty_inputs(spark):
+    from strata.operators import surrogate_key
+    target, source = _fixture(spark)
+    empty_src = source.limit(0)
+    for method in ("broadcast", "shuffle"):
+        assert rows(upsert(target, empty_src, "k", "r1", R1, method=method), "k", "v") == \
+            rows(target, "k", "v")
+        out = upsert(target.limit(0), source, "k", "r1", R1, method=method)
+        assert rows(out, "k", "v", "ADDED_BY") == [(None, "N", "r1"), (2, "B", "r1"),
+                                                   (3, None, "r1")]
+    assert surrogate_key(source.limit(0), ["k"], "key").count() == 0
