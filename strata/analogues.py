@@ -1,6 +1,6 @@
 """Layer-shaped frames built from the driver's TPC-H-like tables.
 
-The logistics layer tables (sales, appointments) are not in the test data, so
+The sales and appointment layer tables are not in the test data, so
 every registered query runs the library's real operators on an analogue:
 
 * appointments = orders x customer x nation: the customer's nation is the yard,

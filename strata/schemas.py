@@ -1,4 +1,4 @@
-"""Layer table schemas of the logistics example (bronze, silver, gold).
+"""Layer table schemas of the sales and appointments domain (bronze, silver, gold).
 
 Fixed values: the column names and types below are those of the layer tables
 the library reproduces; they must stay exactly as written, in this order.
