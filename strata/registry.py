@@ -20,7 +20,7 @@ from strata.functions import (cast_to, normalize_headers, parse_date_ladder,
                               parse_zoned_timestamp, try_cast_by_type)
 from strata.mapping import ColumnMapping, mapping_frame
 from strata.operators import (add_column_at, append, cast_by_mapping, conform_to_schema,
-                              dedupe_any, dedupe_latest, fill_nulls, full_reload,
+                              dedupe_any, dedupe_latest, fill_nulls,
                               left_join_fanout, left_join_unique, project_to_target,
                               rename_by_mapping, select_alias, stable_keys, surrogate_key,
                               upsert, upsert_actions, upsert_counts, with_audit, write_table)
