@@ -8,10 +8,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (BooleanType, ByteType, DateType, DoubleType, FloatType,
+                               IntegerType, LongType, ShortType, TimestampNTZType, TimestampType)
 
 from strata.operators._util import and_all, fits_budget, q, resolve
 
 BROADCAST_BUDGET_BYTES = 64 * 1024 * 1024
+_FIXED_WIDTH = (ByteType, ShortType, IntegerType, LongType, FloatType, DoubleType, DateType,
+                TimestampType, TimestampNTZType, BooleanType)
 
 
 def broadcast_if_small(df: DataFrame, budget_bytes: int = BROADCAST_BUDGET_BYTES) -> DataFrame:
@@ -69,11 +73,21 @@ def left_join_unique(left: DataFrame, right: DataFrame, left_on, right_on, right
     if pick not in ("min", "max"):
         raise ValueError("pick must be 'min' or 'max'")
     r_names = [f"__r{i}" for i in range(len(right_on))]
-    agg = F.min if pick == "min" else F.max
-    one = (right.filter(and_all([q(c).isNotNull() for c in right_on]))
-           .groupBy(*[q(c).alias(n) for c, n in zip(right_on, r_names)])
-           .agg(agg(F.struct(*[q(c) for c in right_cols])).alias("__pick"))
-           .select(*r_names, *[F.col("__pick")[c].alias(c) for c in right_cols]))
+    grouped = (right.filter(and_all([q(c).isNotNull() for c in right_on]))
+               .groupBy(*[q(c).alias(n) for c, n in zip(right_on, r_names)]))
+    if len(right_cols) == 1 and isinstance(right.schema[right_cols[0]].dataType, _FIXED_WIDTH):
+        # one fixed-width column: the same pick (NULL orders first, as in a
+        # struct) from count/min/max, which a hash aggregate computes
+        c = q(right_cols[0])
+        if pick == "min":
+            value = F.when(F.count(F.lit(1)) > F.count(c), F.lit(None)).otherwise(F.min(c))
+        else:
+            value = F.max(c)
+        one = grouped.agg(value.cast(right.schema[right_cols[0]].dataType).alias(right_cols[0]))
+    else:
+        agg = F.min if pick == "min" else F.max
+        one = (grouped.agg(agg(F.struct(*[q(c) for c in right_cols])).alias("__pick"))
+               .select(*r_names, *[F.col("__pick")[c].alias(c) for c in right_cols]))
     one = broadcast_if_small(one, broadcast_budget)
     return left.join(one, _eq(left_on, r_names), "left").select(
         [left[f"`{c}`"] for c in left.columns] + [q(c) for c in right_cols])

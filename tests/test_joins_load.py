@@ -157,3 +157,13 @@ def test_empty_inputs(spark):
         assert rows(out, "k", "v", "ADDED_BY") == [(None, "N", "r1"), (2, "B", "r1"),
                                                    (3, None, "r1")]
     assert surrogate_key(source.limit(0), ["k"], "key").count() == 0
+
+
+def test_left_join_unique_single_column_matches_struct_pick(spark):
+    left = spark.createDataFrame([(1,), (2,), (3,), (4,)], "k int")
+    right = spark.createDataFrame([(1, 5), (1, 3), (2, None), (2, 7), (3, 9)], "k2 int, v int")
+    got = rows(left_join_unique(left, right, ["k"], ["k2"], ["v"]))
+    # NULL orders first, as for a multi-column struct pick
+    assert got == [(1, 3), (2, None), (3, 9), (4, None)]
+    got_max = rows(left_join_unique(left, right, ["k"], ["k2"], ["v"], pick="max"))
+    assert got_max == [(1, 5), (2, 7), (3, 9), (4, None)]
