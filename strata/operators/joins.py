@@ -1,7 +1,7 @@
 """Left lookups of a dimension and the match part of MERGE.
 
-Broadcast is used only for a side whose row count was checked against a
-budget; beyond it the join is left to sort-merge with AQE skew handling.
+Broadcast is used only for a side whose measured size fits a budget; beyond
+it the join is left to sort-merge with AQE skew handling.
 """
 
 from __future__ import annotations
@@ -95,7 +95,7 @@ def left_join_unique(left: DataFrame, right: DataFrame, left_on, right_on, right
 
 def merge_match(target: DataFrame, source: DataFrame, keys) -> DataFrame:
     """Keys of a MERGE with the action each would get: ``updated`` (in both),
-    ``inserted`` (source only, including NULL keys) or ``kept`` (target only).
-    A full outer join on the AND of key equalities; NULL keys never match."""
+    ``inserted`` (source only, including NULL keys) or ``kept`` (target only);
+    NULL keys never match. Same as :func:`strata.operators.load.upsert_actions`."""
     from strata.operators.load import upsert_actions
     return upsert_actions(target, source, keys)

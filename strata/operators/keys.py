@@ -3,9 +3,13 @@
 ``surrogate_key`` gives the same numbers as ``row_number()`` over an
 unpartitioned window, without moving all rows into one partition:
 
+0. exact copies are counted first (``groupBy`` on every column, combined on
+   the map side) and re-expanded with a copy index, so identical rows get
+   distinct sort keys too; a very large group of copies is expanded in
+   chunks spread over many tasks;
 1. range-partition and sort by the total order (``orderBy``), so rows are
    spread evenly even when one leading value holds most of them, because
-   tie-break columns make every sort key distinct;
+   tie-break columns (and the copy index) make every sort key distinct;
 2. tag each row with its partition id and a per-partition position, and write
    the tagged rows once to the shared checkpoint folder (this fixes partition
    contents, so a recomputation after a lost executor cannot renumber rows);
@@ -23,7 +27,8 @@ from pyspark.sql.types import ArrayType, MapType, StructType
 from strata.operators._util import q, resolve
 from strata.session import scratch_path
 
-MAX_PARTITIONS = 1_000_000
+COPY_CHUNK = 100_000          # rows one task emits per chunk of a large copy group
+COPY_COLUMN = "__sk_copy"
 
 
 def _orderable(df: DataFrame, name: str) -> bool:
@@ -52,14 +57,50 @@ def surrogate_key_window(df: DataFrame, order_by, name: str, tie_break="all",
     return df.withColumn(name, F.row_number().over(w).cast(key_type))
 
 
+def spread_copies(df: DataFrame) -> DataFrame:
+    """``df`` plus a copy index (0..n-1 among identical rows), computed from
+    the data alone: identical rows are counted with a map-side-combined
+    aggregate and expanded again. Groups above ``COPY_CHUNK`` copies are cut
+    into chunks that are hashed over the shuffle partitions before expanding,
+    so no task emits a large group alone."""
+    cols = [q(c) for c in df.columns]
+    counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__sk_n"))
+    n = F.col("__sk_n")
+    small = counted.filter(n <= COPY_CHUNK).select(
+        *cols, F.explode(F.sequence(F.lit(0).cast("long"), n - 1)).alias(COPY_COLUMN))
+    chunk = F.col("__sk_chunk")
+    big = (counted.filter(n > COPY_CHUNK)
+           .select(*cols, n, F.explode(F.sequence(
+               F.lit(0).cast("long"), ((n - 1) / COPY_CHUNK).cast("long"))).alias("__sk_chunk"))
+           .repartition(F.xxhash64(chunk, *cols))
+           .select(*cols, F.explode(F.sequence(
+               chunk * COPY_CHUNK, F.least(n, (chunk + 1) * COPY_CHUNK) - 1)).alias(COPY_COLUMN)))
+    return small.unionByName(big)
+
+
 def surrogate_key(df: DataFrame, order_by, name: str, tie_break="all", start: int = 1,
-                  key_type: str = "int", num_partitions: int | None = None) -> DataFrame:
+                  key_type: str = "int", num_partitions: int | None = None,
+                  copies: str = "spread") -> DataFrame:
     """Dense keys ``start..start+N-1`` over a total order, without a
-    single-partition step (see the module text)."""
+    single-partition step (see the module text).
+
+    ``copies="spread"`` (default) first counts and re-expands identical rows so
+    that even a group of exact copies holding a large share of the rows is
+    spread over many range partitions; ``"assume_few"`` skips that aggregation
+    (one shuffle less) for inputs known to have no large groups of copies.
+    Frames with map, array or struct columns cannot be grouped and always use
+    ``"assume_few"``.
+    """
     spark = df.sparkSession
-    order = total_order(df, order_by, tie_break)
-    sorted_df = (df.repartitionByRange(num_partitions, *order) if num_partitions
-                 else df.repartitionByRange(*order)).sortWithinPartitions(*order)
+    if copies not in ("spread", "assume_few"):
+        raise ValueError("copies must be 'spread' or 'assume_few'")
+    spread = copies == "spread" and all(_orderable(df, c) for c in df.columns)
+    work = spread_copies(df) if spread else df
+    order = total_order(work, order_by, tie_break)
+    if spread and tie_break != "all":
+        order.append(F.col(COPY_COLUMN).asc())
+    sorted_df = (work.repartitionByRange(num_partitions, *order) if num_partitions
+                 else work.repartitionByRange(*order)).sortWithinPartitions(*order)
     tagged = sorted_df.select(
         "*", F.spark_partition_id().alias("__sk_part"),
         F.monotonically_increasing_id().alias("__sk_pos"))

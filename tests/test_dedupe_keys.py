@@ -98,3 +98,23 @@ def test_dim_appointment_stable_keys_across_runs(spark):
     k2 = {r.SALES_ORDER_ID: r.APPOINTMENT_DATA_KEY for r in second.collect()}
     assert all(k2[s] == k for s, k in k1.items())
     assert sorted(k2.values()) == list(range(1, 301))
+
+
+def test_surrogate_key_spreads_a_large_group_of_copies(spark, monkeypatch):
+    from strata.operators import keys as K
+    monkeypatch.setattr(K, "COPY_CHUNK", 50)
+    copies = spark.range(0, 1000, numPartitions=4).select(F.lit("same").alias("a"), F.lit(1).alias("b"))
+    others = spark.range(0, 300, numPartitions=2).select(
+        (F.col("id") % 7).cast("string").alias("a"), (F.col("id") % 3).cast("int").alias("b"))
+    df = copies.unionByName(others)
+    got = K.surrogate_key(df, ["a"], "key", num_partitions=8)
+    want = K.surrogate_key_window(df, ["a"], "key")
+    assert rows(got) == rows(want)
+    assert got.columns == ["a", "b", "key"]
+    # the copies are spread over several range partitions, not one
+    spread = K.spread_copies(df)
+    assert spread.filter("a = 'same'").count() == 1000
+    order = K.total_order(spread, ["a"])
+    parts = spread.repartitionByRange(8, *order).filter("a = 'same'") \
+        .select(F.spark_partition_id().alias("p")).distinct().count()
+    assert parts > 1
