@@ -102,9 +102,11 @@ def upsert(target: DataFrame, source: DataFrame, keys, run_id: str, run_ts=None,
     non-NULL keys.
 
     ``method``: ``broadcast`` scans the target once with the source broadcast
-    (plus a key-only scan) and never shuffles the target; ``shuffle`` is one
-    full outer sort-merge join; ``auto`` picks ``broadcast`` when the source is
-    proven to fit ``broadcast_budget``.
+    (plus a key-only scan) and never shuffles the target; ``shuffle`` is a
+    left outer sort-merge join of target and source plus an anti join of the
+    source against the distinct target keys (AQE may split hot target
+    partitions; NULL target keys are salted); ``auto`` picks ``broadcast``
+    when the source is proven to fit ``broadcast_budget``.
 
     ``materialize_source`` writes the (projected) source once to the shared
     checkpoint folder, so the checks and the joins read it instead of
@@ -160,22 +162,43 @@ def _assemble(target_cols, keys, upd, audit, has_t: Column, has_s: Column, run_i
 
 
 def _upsert_shuffle(target, src, keys, upd, audit, run_id, ts):
-    # NULL keys never match. Spread their rows over many reducers with a
-    # deterministic salt, so a flood of NULL keys cannot land in one task
-    # (AQE cannot split either side of a full outer join).
-    def salted(df, prefix, marker):
-        kcols = [q(prefix + k) for k in keys]
-        salt = F.when(any_null(kcols), F.pmod(F.xxhash64(*[q(c) for c in df.columns]),
-                                              F.lit(NULL_KEY_SALT_BUCKETS))).otherwise(F.lit(0))
-        return df.select("*", salt.alias(prefix + "_salt"), F.lit(True).alias(marker))
-
-    t = salted(_prefixed(target, "__t_"), "__t_", "__in_t")
-    s = salted(_prefixed(src, "__s_"), "__s_", "__in_s")
+    # kept + updated: the target left-joined to the batch. AQE may split a hot
+    # target partition (the left side of a left outer join), so copies of one
+    # key in the target do not pile onto one task; the batch side is unique.
+    # Target rows with a NULL key never match: a deterministic salt spreads
+    # them over many reducers even where AQE cannot split.
+    t = _prefixed(target, "__t_")
+    kcols = [q(f"__t_{k}") for k in keys]
+    t = t.select("*", F.when(any_null(kcols), F.pmod(F.xxhash64(*[q(c) for c in t.columns]),
+                                                   F.lit(NULL_KEY_SALT_BUCKETS)))
+                 .otherwise(F.lit(0)).alias("__t__salt"))
+    s = _prefixed(src, "__s_").select("*", F.lit(0).alias("__s__salt"),
+                                      F.lit(True).alias("__in_s"))
     cond = and_all([q(f"__t_{k}") == q(f"__s_{k}") for k in keys]
                    + [F.col("__t__salt") == F.col("__s__salt")])
-    j = t.join(s, cond, "full_outer")
-    has_t, has_s = F.col("__in_t").isNotNull(), F.col("__in_s").isNotNull()
-    return j.select(_assemble(target.schema, keys, upd, audit, has_t, has_s, run_id, ts))
+    old = t.join(s, cond, "left_outer").select(_assemble(
+        target.schema, keys, upd, audit, F.lit(True), F.col("__in_s").isNotNull(), run_id, ts))
+    # inserted: batch rows whose key is not in the target; the target's keys
+    # are made distinct first (combined on the map side)
+    target_keys = target.select([q(k) for k in keys]).distinct()
+    return old.unionByName(_inserted(target, src.join(target_keys, keys, "left_anti"), keys, upd,
+                                     audit, run_id, ts))
+
+
+def _inserted(target, new_rows, keys, upd, audit, run_id, ts):
+    """Batch rows to insert, shaped like the target, audit from this run."""
+    by_audit = {v: k for k, v in audit.items()}
+    cols = []
+    for c in target.columns:
+        dt = target.schema[c].dataType
+        if c in keys or c in upd:
+            cols.append(q(c).cast(dt).alias(c))
+        elif c in by_audit:
+            val = F.lit(run_id) if by_audit[c].endswith("_BY") else ts
+            cols.append(val.cast(dt).alias(c))
+        else:
+            cols.append(F.lit(None).cast(dt).alias(c))
+    return new_rows.select(cols + [F.lit("inserted").alias("__action")])
 
 
 def _upsert_broadcast(target, src, keys, upd, audit, run_id, ts):
@@ -191,19 +214,7 @@ def _upsert_broadcast(target, src, keys, upd, audit, run_id, ts):
     src_keys = src.select([q(k) for k in keys])
     matched = target.select([q(k) for k in keys]).join(F.broadcast(src_keys), keys, "left_semi")
     new_rows = src.join(matched, keys, "left_anti")
-    by_audit = {v: k for k, v in audit.items()}
-    cols = []
-    for c in target.columns:
-        dt = target.schema[c].dataType
-        if c in keys or c in upd:
-            cols.append(q(c).cast(dt).alias(c))
-        elif c in by_audit:
-            val = F.lit(run_id) if by_audit[c].endswith("_BY") else ts
-            cols.append(val.cast(dt).alias(c))
-        else:
-            cols.append(F.lit(None).cast(dt).alias(c))
-    ins = new_rows.select(cols + [F.lit("inserted").alias("__action")])
-    return old.unionByName(ins)
+    return old.unionByName(_inserted(target, new_rows, keys, upd, audit, run_id, ts))
 
 
 def upsert_actions(target: DataFrame, source: DataFrame, keys, method: str = "auto",
@@ -212,14 +223,15 @@ def upsert_actions(target: DataFrame, source: DataFrame, keys, method: str = "au
     ``inserted`` (source only, NULL keys included) or ``kept`` (target only).
 
     The match part of :func:`upsert` on key columns alone, so it shares its
-    strategies: broadcast of a proven-small source, else a full outer join
-    with NULL keys salted over many reducers.
+    strategies (broadcast of a proven-small source, else a left outer join
+    plus an anti join against the distinct target keys). As in MERGE, the
+    source must be unique on its non-NULL keys.
     """
     keys = resolve(target, split_keys(keys))
     src_keys = resolve(source, keys)
     snap = upsert(target.select([q(k) for k in keys]),
                   source.select([q(sk).alias(k) for sk, k in zip(src_keys, keys)]),
-                  keys, run_id="actions", update_columns=[], check_unique=False, method=method,
+                  keys, run_id="actions", update_columns=[], method=method,
                   broadcast_budget=broadcast_budget, with_action=True)
     return snap.select([q(k) for k in keys] + [F.col("__action").alias("action")])
 
