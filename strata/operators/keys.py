@@ -62,7 +62,8 @@ def spread_copies(df: DataFrame) -> DataFrame:
     the data alone: identical rows are counted with a map-side-combined
     aggregate and expanded again. Groups above ``COPY_CHUNK`` copies are cut
     into chunks that are hashed over the shuffle partitions before expanding,
-    so no task emits a large group alone."""
+    so no task emits a large group alone. As in any Spark grouping, ``-0.0``
+    and ``0.0`` (and NaN variants) count as the same value."""
     cols = [q(c) for c in df.columns]
     counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__sk_n"))
     n = F.col("__sk_n")
