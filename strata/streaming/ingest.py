@@ -11,7 +11,7 @@ retried batch replaces its first attempt instead of appending twice.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -50,16 +50,17 @@ def incremental_ingest(spark: SparkSession, source_dir: str, table_path: str,
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         out = conform_bronze(batch, target_schema, run_id, run_ts)
         out = out.withColumn(BATCH_COLUMN, F.lit(int(batch_id)))
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(BATCH_COLUMN).parquet(table_path))
+        obs = Observation(f"ingest-{batch_id}")
+        (out.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_COLUMN)
+         .parquet(table_path))
         stats["batches"] += 1
+        stats["rows"] += int(obs.get["rows"])
 
     query = (stream.writeStream.foreachBatch(write_batch)
              .option("checkpointLocation", checkpoint_path)
              .trigger(availableNow=True).start())
     query.awaitTermination()
-    progress = query.recentProgress or []
-    stats["rows"] = int(sum(p.get("numInputRows", 0) for p in progress))
     return stats
 
 
