@@ -12,6 +12,7 @@ from strata.operators.conform import (cast_by_mapping, conform_to_schema, fill_n
                                       project_to_target, rename_by_mapping)
 from strata.operators.dedupe import dedupe_any, dedupe_latest
 from strata.operators.load import full_reload, upsert
+from strata.schemas import AUDIT_COLUMNS
 
 
 def conform_silver(bronze: DataFrame, mapping: ColumnMapping, keys, target_columns,
@@ -42,15 +43,19 @@ def silver_load(bronze: DataFrame, mapping: ColumnMapping, keys, run_id: str, ru
     """The new silver snapshot for one object.
 
     ``full_load``: the conformed batch with all audit columns from this run.
-    Otherwise an upsert of the batch into ``target`` on ``keys``.
+    Otherwise an upsert of the batch into ``target`` on ``keys``. Columns are
+    those of ``target_schema``, else of ``target``, else the mapping's target
+    columns plus the audit columns.
     Only the ``upsert`` operation exists; anything else raises.
     """
     if str(operation).lower() != "upsert":
         raise ValueError(f"unsupported operation type {operation!r}")
-    cols = target_schema.fieldNames() if target_schema is not None else (
-        target.columns if target is not None else None)
-    if cols is None:
-        raise ValueError("target or target_schema is required")
+    if target_schema is not None:
+        cols = target_schema.fieldNames()
+    elif target is not None:
+        cols = target.columns
+    else:  # first load without a schema: the mapped columns and the audit columns
+        cols = mapping.target_columns + list(AUDIT_COLUMNS)
     batch = conform_silver(bronze, mapping, keys, cols, dedupe)
     if full_load or target is None:
         out = full_reload(batch, run_id, run_ts)
