@@ -48,9 +48,13 @@ def parse_date_ladder(c) -> Column:
 
 def parse_zoned_timestamp(c, ntz: bool = False) -> Column:
     """Text like ``2024-03-04T10:00:00.00-05:00[America/New_York]`` to a
-    TIMESTAMP (the instant); NULL instead of an error on bad text."""
+    TIMESTAMP (the instant); NULL instead of an error on bad text. With
+    ``ntz`` the result is that instant's UTC wall time as TIMESTAMP_NTZ,
+    whatever the session time zone."""
     c = as_col(c)
     # the format holds the literals T and :, so text without them cannot parse
     parsed = F.when(_has(c, "T") & _has(c, ":"), F.try_to_timestamp(
         F.regexp_replace(c, ZONE_NAME_SUFFIX, ""), F.lit(ZONED_TIMESTAMP_FORMAT)))
-    return parsed.cast("timestamp_ntz") if ntz else parsed
+    if not ntz:
+        return parsed
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), parsed.cast("timestamp_ntz"))

@@ -93,3 +93,15 @@ def test_guarded_try_cast_equals_plain(spark):
     for t in ("int", "bigint", "smallint", "tinyint", "decimal(10,2)", "decimal(38,0)", "boolean"):
         got = df.select(try_cast_by_type("v", t).eqNullSafe(F.col("v").try_cast(t)).alias("ok"))
         assert all(r.ok for r in got.collect()), t
+
+
+def test_zoned_timestamp_ntz_is_utc_whatever_the_session_zone(spark):
+    df = spark.createDataFrame([("2024-03-04T10:00:00.00-05:00[America/New_York]",)], "v string")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "America/Los_Angeles", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            got = df.select(parse_zoned_timestamp("v", ntz=True).alias("t")).first().t
+            assert got == dt.datetime(2024, 3, 4, 15, 0), tz
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
