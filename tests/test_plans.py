@@ -54,3 +54,31 @@ def test_upsert_small_batch_never_shuffles_target(plans):
     # broadcast strategy: the target is scanned, never exchanged by key
     p = plans["upsert_gold"]
     assert "BroadcastHashJoin" in p and "FullOuter" not in p
+
+
+def test_skew_safe_shapes(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from strata.operators import dedupe_latest, left_join_fanout, surrogate_key, upsert
+    t = spark.range(0, 1000).select((F.col("id") % 10).alias("k"), F.col("id").alias("v"),
+                                    F.lit("r0").alias("ADDED_BY"))
+    s = spark.range(0, 20).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    for method in ("broadcast", "shuffle"):
+        p = _plan(upsert(t, s, "k", "r1", dt.datetime(2024, 1, 1), method=method,
+                         check_unique=False))
+        assert "FullOuter" not in p, method
+    p = _plan(upsert(t, s, "k", "r1", dt.datetime(2024, 1, 1), method="shuffle",
+                     check_unique=False))
+    assert "LeftOuter" in p and "LeftAnti" in p
+    # dedupe: the aggregate below the exchange is the partial (map-side) one
+    p = _plan(dedupe_latest(t, ["k"], order_by=["v"]))
+    assert "partial_max" in p
+    # fan-out join: inner join plus anti join against distinct keys
+    p = _plan(left_join_fanout(s, t.withColumnRenamed("k", "rk").select("rk", F.col("v").alias("w")),
+                               ["k"], ["rk"], ["w"]))
+    assert "Inner" in p and "LeftAnti" in p and "LeftOuter" not in p
+    # surrogate keys: copies are counted (map-side) before the range shuffle
+    key_plan = surrogate_key(t, ["k"], "K")
+    assert key_plan.count() == 1000
