@@ -10,7 +10,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from strata.functions.headers import normalize_headers
 
-HEADER_PROBE_BYTES = 1 << 20
+HEADER_PROBE_BYTES = 1 << 16            # read size while looking for the first newline
 MAX_HEADER_VARIANTS = 1000
 
 
@@ -53,13 +53,23 @@ def _first_line_reader(probe_bytes: int):
             filesystem, inner = pafs.FileSystem.from_uri(path)
             return filesystem.open_input_stream(inner)
 
+        def first_line(fh):
+            parts = []
+            while True:                      # read until the first newline or EOF
+                chunk = fh.read(probe_bytes)
+                if not chunk:
+                    break
+                head, sep, _ = chunk.partition(b"\n")
+                parts.append(head)
+                if sep:
+                    break
+            return b"".join(parts).rstrip(b"\r")
+
         for pdf in batches:
             headers = []
             for p in pdf["path"]:
                 with open_path(p) as fh:
-                    chunk = fh.read(probe_bytes)
-                line = chunk.split(b"\n", 1)[0].rstrip(b"\r")
-                headers.append(line.decode("utf-8-sig", errors="replace"))
+                    headers.append(first_line(fh).decode("utf-8-sig", errors="replace"))
             yield pd.DataFrame({"path": pdf["path"], "header": headers})
 
     return first_lines
