@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
-from strata.functions.headers import normalize_headers
+from strata.functions.headers import normalize_headers, normalize_name
 
 HEADER_PROBE_BYTES = 1 << 16            # read size while looking for the first newline
 MAX_HEADER_VARIANTS = 1000
@@ -84,12 +84,20 @@ def csv_headers(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataFr
     return files.mapInPandas(_first_line_reader(HEADER_PROBE_BYTES), "path string, header string")
 
 
+def _layout(header_line: str) -> tuple[str, ...]:
+    """Normalised column names of a header line, in order."""
+    import csv as pycsv
+    fields = next(pycsv.reader([header_line]), [])
+    return tuple(normalize_name(f) for f in fields)
+
+
 def scan_csv_folder(spark: SparkSession, folder: str, glob: str = "*.csv",
                     normalize: bool = True) -> DataFrame:
     """All files of an object's folder, with headers matched per file.
 
-    Distinct header lines are found first (a few bytes per file). With one
-    layout the folder is read once. Otherwise files are grouped by header;
+    Distinct header lines are found first (a few bytes per file). Headers
+    that normalise to the same names in the same order are one layout. With
+    one layout the folder is read once. Otherwise files are grouped by layout;
     each group is one CSV read over its file list, headers are normalised, and
     the groups are combined by column name (a column missing from a group is
     NULL there). The driver sees distinct header lines and, only when layouts
@@ -102,16 +110,19 @@ def scan_csv_folder(spark: SparkSession, folder: str, glob: str = "*.csv",
         raise FileNotFoundError(f"no {glob} files in {folder}")
     if len(headers) > MAX_HEADER_VARIANTS:
         raise ValueError(f"more than {MAX_HEADER_VARIANTS} header variants in {folder}")
-    if len(headers) == 1:
+    # files whose headers normalise to the same names in the same order can be
+    # read together: CSV columns are matched by position
+    layout = {h: _layout(h) for h in headers}
+    if len(set(layout.values())) == 1:
         # the common case: one layout, one read of the folder, no file list
         df = scan_csv(spark, folder, pathGlobFilter=glob)
         return normalize_headers(df) if normalize else df
-    groups: dict[str, list[str]] = {}
+    groups: dict[tuple, list[str]] = {}
     for r in probe.collect():                    # file names only, one pass
-        groups.setdefault(r["header"], []).append(r["path"])
+        groups.setdefault(layout[r["header"]], []).append(r["path"])
     frames = []
-    for header in sorted(groups):
-        df = scan_csv(spark, sorted(groups[header]))
+    for key in sorted(groups):
+        df = scan_csv(spark, sorted(groups[key]))
         frames.append(normalize_headers(df) if normalize else df)
     out = frames[0]
     for f in frames[1:]:

@@ -131,3 +131,11 @@ def test_header_probe_reads_whole_long_header(spark, workdir, monkeypatch):
     _write(f"{workdir}/wide.csv", ",".join(names) + "\n" + ",".join(str(i) for i in range(40)) + "\n")
     got = csv_headers(spark, workdir).collect()
     assert got[0].header == ",".join(names)
+
+
+def test_spelling_variants_of_one_layout_read_together(spark, workdir):
+    _write(f"{workdir}/a.csv", "Yard ID,Price ($)\n1,10\n")
+    _write(f"{workdir}/b.csv", "YARD_ID,price\n2,20\n")
+    df = scan_csv_folder(spark, workdir)
+    assert df.columns == ["YARD_ID", "PRICE"]
+    assert rows(df) == [("1", "10"), ("2", "20")]
