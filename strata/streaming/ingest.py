@@ -64,6 +64,16 @@ def incremental_ingest(spark: SparkSession, source_dir: str, table_path: str,
     return stats
 
 
-def read_ingested(spark: SparkSession, table_path: str, keep_batch_id: bool = False) -> DataFrame:
+def read_ingested(spark: SparkSession, table_path: str, keep_batch_id: bool = False,
+                  since_batch: int | None = None) -> DataFrame:
+    """The ingested table; with ``since_batch`` only batches after it, read by
+    partition pruning (an incremental silver run reads only new bronze)."""
     df = spark.read.parquet(table_path)
+    if since_batch is not None:
+        df = df.filter(F.col(BATCH_COLUMN) > F.lit(int(since_batch)))
     return df if keep_batch_id else df.drop(BATCH_COLUMN)
+
+
+def last_batch(spark: SparkSession, table_path: str) -> int | None:
+    """Highest batch id in the ingested table (a one-row aggregate)."""
+    return spark.read.parquet(table_path).agg(F.max(BATCH_COLUMN).alias("m")).first()["m"]

@@ -139,3 +139,20 @@ def test_spelling_variants_of_one_layout_read_together(spark, workdir):
     df = scan_csv_folder(spark, workdir)
     assert df.columns == ["YARD_ID", "PRICE"]
     assert rows(df) == [("1", "10"), ("2", "20")]
+
+
+def test_read_only_new_batches_by_partition_pruning(spark, workdir):
+    from strata.streaming import last_batch
+    src, base = f"{workdir}/in", f"{workdir}/bronze"
+    os.makedirs(src)
+    args = dict(source_dir=src, table_path=f"{base}/table", checkpoint_path=f"{base}/ckpt",
+                archive_dir=f"{workdir}/archive", target_schema=BRONZE, run_id="r1")
+    _write(f"{src}/Sales_1.csv", "Yard ID,Price ($),Note\n1,10,a\n")
+    incremental_ingest(spark, **args)
+    seen = last_batch(spark, f"{base}/table")
+    _write(f"{src}/Sales_2.csv", "Yard ID,Price ($),Note\n2,20,b\n")
+    incremental_ingest(spark, **args)
+    new = read_ingested(spark, f"{base}/table", since_batch=seen)
+    assert rows(new, "YARD_ID") == [("2",)]
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(BATCH_ID" in plan
