@@ -84,3 +84,11 @@ def test_with_audit_and_add_column(spark):
     ev = add_column_at(out, "YARD_KEY", "int", after="a")
     assert ev.columns[:3] == ["a", "YARD_KEY", "ADDED_BY"]
     assert ev.schema["YARD_KEY"].dataType == IntegerType()
+
+
+def test_conform_case_sensitive_option(spark):
+    df = spark.createDataFrame([("1",)], "K string")
+    schema = StructType([StructField("k", IntegerType())])
+    assert conform_to_schema(df, schema).first().k == 1
+    with pytest.raises(ValueError):
+        conform_to_schema(df, schema, case_insensitive=False)

@@ -119,3 +119,10 @@ def test_surrogate_key_spreads_a_large_group_of_copies(spark, monkeypatch):
     parts = spread.repartitionByRange(8, *order).filter("a = 'same'") \
         .select(F.spark_partition_id().alias("p")).distinct().count()
     assert parts > 1
+
+
+def test_stable_keys_match_null_natural_keys(spark):
+    prev = spark.createDataFrame([(None, 1), ("a", 2)], "n string, K int")
+    rows_now = spark.createDataFrame([(None,), ("a",), ("b",)], "n string")
+    got = rows(stable_keys(rows_now, prev, ["n"], "K", ["n"]))
+    assert got == [(None, 1), ("a", 2), ("b", 3)]
