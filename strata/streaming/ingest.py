@@ -31,12 +31,16 @@ def incremental_ingest(spark: SparkSession, source_dir: str, table_path: str,
                        checkpoint_path: str, archive_dir: str, target_schema: StructType,
                        run_id: str, run_ts=None, glob: str = "*.csv",
                        raw_schema: StructType | None = None,
-                       max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER) -> dict:
+                       max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER,
+                       on_batch=None) -> dict:
     """Run the stream until every file present is loaded (``availableNow``).
 
     A backlog is split into batches of at most ``max_files_per_trigger``
     files, so one batch never grows with the backlog and a retry redoes one
-    bounded batch. Returns ``{"batches": n, "rows": m}`` for this run.
+    bounded batch. ``on_batch(batch_id, rows)`` is called after each batch is
+    written (metrics, logging); if it raises, the stream stops and the batch
+    is not committed, so the next run redoes it over its own partition.
+    Returns ``{"batches": n, "rows": m}`` for this run.
     """
     raw_schema = raw_schema or landing_schema(spark, source_dir, glob)
     reader = (spark.readStream.schema(raw_schema).option("header", True)
@@ -54,8 +58,11 @@ def incremental_ingest(spark: SparkSession, source_dir: str, table_path: str,
         (out.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_COLUMN)
          .parquet(table_path))
+        n = int(obs.get["rows"])
         stats["batches"] += 1
-        stats["rows"] += int(obs.get["rows"])
+        stats["rows"] += n
+        if on_batch is not None:
+            on_batch(int(batch_id), n)
 
     query = (stream.writeStream.foreachBatch(write_batch)
              .option("checkpointLocation", checkpoint_path)

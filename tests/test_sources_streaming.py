@@ -156,3 +156,26 @@ def test_read_only_new_batches_by_partition_pruning(spark, workdir):
     assert rows(new, "YARD_ID") == [("2",)]
     plan = new._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(BATCH_ID" in plan
+
+
+def test_batch_failing_after_its_write_is_redone_once(spark, workdir):
+    src, base = f"{workdir}/in", f"{workdir}/bronze"
+    os.makedirs(src)
+    _write(f"{src}/Sales_1.csv", "Yard ID,Price ($),Note\n1,10,a\n2,20,b\n")
+    args = dict(source_dir=src, table_path=f"{base}/table", checkpoint_path=f"{base}/ckpt",
+                archive_dir=f"{workdir}/archive", target_schema=BRONZE, run_id="r1")
+    calls = []
+
+    def fail_first(batch_id, n):
+        calls.append(batch_id)
+        if len(calls) == 1:
+            raise RuntimeError("crash after the write")
+
+    with pytest.raises(Exception):
+        incremental_ingest(spark, on_batch=fail_first, **args)
+    assert spark.read.parquet(f"{base}/table").count() == 2      # written, not committed
+    again = incremental_ingest(spark, on_batch=fail_first, **args)
+    assert calls == [0, 0] and again["rows"] == 2                 # the same batch redone
+    t = read_ingested(spark, f"{base}/table", keep_batch_id=True)
+    assert t.count() == 2 and rows(t.select("BATCH_ID").distinct()) == [(0,)]
+    assert incremental_ingest(spark, **args)["rows"] == 0         # and now committed
