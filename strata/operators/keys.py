@@ -20,6 +20,7 @@ unpartitioned window, without moving all rows into one partition:
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
@@ -57,15 +58,19 @@ def surrogate_key_window(df: DataFrame, order_by, name: str, tie_break="all",
     return df.withColumn(name, F.row_number().over(w).cast(key_type))
 
 
-def spread_copies(df: DataFrame) -> DataFrame:
-    """``df`` plus a copy index (0..n-1 among identical rows), computed from
-    the data alone: identical rows are counted with a map-side-combined
-    aggregate and expanded again. Groups above ``COPY_CHUNK`` copies are cut
+def count_copies(df: DataFrame) -> DataFrame:
+    """Distinct rows of ``df`` with their number of copies (``__sk_n``), from a
+    map-side-combined aggregate on every column. As in any Spark grouping,
+    ``-0.0`` and ``0.0`` (and NaN variants) count as the same value."""
+    return df.groupBy(*[q(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("__sk_n"))
+
+
+def expand_copies(counted: DataFrame, columns) -> DataFrame:
+    """Rows again from ``count_copies`` output, each with a copy index
+    (0..n-1 among identical rows). Groups above ``COPY_CHUNK`` copies are cut
     into chunks that are hashed over the shuffle partitions before expanding,
-    so no task emits a large group alone. As in any Spark grouping, ``-0.0``
-    and ``0.0`` (and NaN variants) count as the same value."""
-    cols = [q(c) for c in df.columns]
-    counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__sk_n"))
+    so no task emits a large group alone."""
+    cols = [q(c) for c in columns]
     n = F.col("__sk_n")
     small = counted.filter(n <= COPY_CHUNK).select(
         *cols, F.explode(F.sequence(F.lit(0).cast("long"), n - 1)).alias(COPY_COLUMN))
@@ -79,6 +84,12 @@ def spread_copies(df: DataFrame) -> DataFrame:
     return small.unionByName(big)
 
 
+def spread_copies(df: DataFrame) -> DataFrame:
+    """``df`` plus a copy index among identical rows (see ``count_copies`` and
+    ``expand_copies``)."""
+    return expand_copies(count_copies(df), df.columns)
+
+
 def surrogate_key(df: DataFrame, order_by, name: str, tie_break="all", start: int = 1,
                   key_type: str = "int", num_partitions: int | None = None,
                   copies: str = "spread") -> DataFrame:
@@ -96,7 +107,15 @@ def surrogate_key(df: DataFrame, order_by, name: str, tie_break="all", start: in
     if copies not in ("spread", "assume_few"):
         raise ValueError("copies must be 'spread' or 'assume_few'")
     spread = copies == "spread" and all(_orderable(df, c) for c in df.columns)
-    work = spread_copies(df) if spread else df
+    counted = None
+    if spread:
+        # both expansion branches read the counts: keep them (on disk, with
+        # lineage, so a lost block is recomputed) until the tagged rows are
+        # written, instead of computing the input twice
+        counted = count_copies(df).persist(StorageLevel.DISK_ONLY)
+        work = expand_copies(counted, df.columns)
+    else:
+        work = df
     order = total_order(work, order_by, tie_break)
     if spread and tie_break != "all":
         order.append(F.col(COPY_COLUMN).asc())
@@ -106,7 +125,11 @@ def surrogate_key(df: DataFrame, order_by, name: str, tie_break="all", start: in
         "*", F.spark_partition_id().alias("__sk_part"),
         F.monotonically_increasing_id().alias("__sk_pos"))
     path = scratch_path(spark, "surrogate-key")
-    tagged.write.mode("overwrite").parquet(path)
+    try:
+        tagged.write.mode("overwrite").parquet(path)
+    finally:
+        if counted is not None:
+            counted.unpersist()
     fixed = spark.read.parquet(path)
     per_part = fixed.groupBy("__sk_part").agg(
         F.count(F.lit(1)).alias("__sk_n"), F.min("__sk_pos").alias("__sk_first"))
