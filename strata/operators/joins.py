@@ -44,7 +44,8 @@ def left_join_fanout(left: DataFrame, right: DataFrame, left_on, right_on,
     Written as ``inner`` join plus ``left_anti`` against the *distinct* right
     keys: AQE can split a hot key on either side of the inner join (it cannot
     split the right side of a left outer join), and the distinct keys fold a hot
-    key to one row before they are shuffled.
+    key to one row before they are shuffled. Each input is read by both
+    branches: cheap for table scans; write an expensive input first.
     """
     left_on = resolve(left, left_on)
     right_on = resolve(right, right_on)

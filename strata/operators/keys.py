@@ -147,7 +147,9 @@ def stable_keys(rows: DataFrame, dimension: DataFrame, natural_keys, key_col: st
                 order_by, tie_break="all", key_type: str = "int") -> DataFrame:
     """Keep the keys of rows already in ``dimension`` (matched null-safely on
     ``natural_keys``); number new rows from ``max(key) + 1`` in ``order_by``
-    order. Output: ``rows`` columns plus ``key_col``."""
+    order. Output: ``rows`` columns plus ``key_col``. ``rows`` and
+    ``dimension`` are each read more than once (stored tables are cheap to
+    re-read; write an expensive input first)."""
     nk = resolve(rows, natural_keys if not isinstance(natural_keys, str) else [natural_keys])
     dim = dimension.select(*[q(k) for k in resolve(dimension, nk)], q(key_col))
     dim = dim.toDF(*[f"__d_{k}" for k in nk], "__d_key")
