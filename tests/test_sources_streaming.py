@@ -179,3 +179,10 @@ def test_batch_failing_after_its_write_is_redone_once(spark, workdir):
     t = read_ingested(spark, f"{base}/table", keep_batch_id=True)
     assert t.count() == 2 and rows(t.select("BATCH_ID").distinct()) == [(0,)]
     assert incremental_ingest(spark, **args)["rows"] == 0         # and now committed
+
+
+def test_jdbc_partitioned_read_needs_bounds(spark):
+    # only argument checks: reading needs a database, which is not started here
+    from strata.sources import scan_jdbc
+    with pytest.raises(ValueError, match="bounds"):
+        scan_jdbc(spark, "jdbc:none://x", "t", partition_column="id")
