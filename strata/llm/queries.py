@@ -89,8 +89,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS te
 """,
     "op9_suffix_repeats": r"""
 WITH d AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'),
-                             x -> x <> '') AS w
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
   FROM documents),
 win AS (
   SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS body
