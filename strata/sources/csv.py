@@ -5,14 +5,14 @@ Every business column is read as text; types come later from metadata.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from strata.functions.headers import normalize_headers, normalize_name
 
-HEADER_PROBE_BYTES = 1 << 16            # read size while looking for the first newline
-MAX_HEADER_VARIANTS = 1000
-
 
 def scan_csv(spark: SparkSession, path, schema: StructType | None = None, **options) -> DataFrame:
     """Header row, every column STRING (no inference). Empty fields are NULL,
@@ -34,54 +34,18 @@ def string_schema(names) -> StructType:
     return StructType([StructField(n, StringType(), True) for n in names])
 
 
-def _first_line_reader(probe_bytes: int):
-    """The per-task function of :func:`csv_headers`.
-
-    Built as a closure with its imports inside, so it is shipped to Python
-    workers by value and needs no import of this package there.
-    """
-    def first_lines(batches):
-        from urllib.parse import unquote, urlparse
-
-        import pandas as pd
-
-        def open_path(path):
-            parsed = urlparse(path)
-            if parsed.scheme in ("", "file"):
-                return open(unquote(parsed.path), "rb")
-            from pyarrow import fs as pafs
-            filesystem, inner = pafs.FileSystem.from_uri(path)
-            return filesystem.open_input_stream(inner)
-
-        def first_line(fh):
-            parts = []
-            while True:                      # read until the first newline or EOF
-                chunk = fh.read(probe_bytes)
-                if not chunk:
-                    break
-                head, sep, _ = chunk.partition(b"\n")
-                parts.append(head)
-                if sep:
-                    break
-            return b"".join(parts).rstrip(b"\r")
-
-        for pdf in batches:
-            headers = []
-            for p in pdf["path"]:
-                with open_path(p) as fh:
-                    headers.append(first_line(fh).decode("utf-8-sig", errors="replace"))
-            yield pd.DataFrame({"path": pdf["path"], "header": headers})
-
-    return first_lines
-
-
-def csv_headers(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataFrame:
-    """``(path, header)`` for each file of a folder. Files are listed by the
-    binary-file source without reading their content; each task then reads
-    only the first line of its files."""
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-             .option("recursiveFileLookup", False).load(folder).select("path"))
-    return files.mapInPandas(_first_line_reader(HEADER_PROBE_BYTES), "path string, header string")
+def csv_headers(spark: SparkSession, paths, glob: str = "*.csv") -> DataFrame:
+    """``(path, header)`` for each file of a folder, or of a list of files, that
+    is not empty: the first line of its first block, found by Spark's own text
+    reader (so any file system that Spark reads will do) in one pass."""
+    lines = spark.read.option("pathGlobFilter", glob).text(paths).select(
+        "value", F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("at"),
+        F.monotonically_increasing_id().alias("line"))
+    # a block is read by one task, in order: its smallest line number is its first line
+    return (lines.where("at = 0").groupBy("path")
+            .agg(F.min_by("value", "line").alias("header"))
+            .select("path", F.regexp_replace("header", "^\ufeff", "").alias("header")))
 
 
 def _layout(header_line: str) -> tuple[str, ...]:
@@ -91,40 +55,37 @@ def _layout(header_line: str) -> tuple[str, ...]:
     return tuple(normalize_name(f) for f in fields)
 
 
-def scan_csv_folder(spark: SparkSession, folder: str, glob: str = "*.csv",
-                    normalize: bool = True) -> DataFrame:
-    """All files of an object's folder, with headers matched per file.
-
-    Distinct header lines are found first (a few bytes per file). Headers
-    that normalise to the same names in the same order are one layout. With
-    one layout the folder is read once. Otherwise files are grouped by layout;
-    each group is one CSV read over its file list, headers are normalised, and
-    the groups are combined by column name (a column missing from a group is
-    NULL there). The driver sees distinct header lines and, only when layouts
-    differ, file names; never rows.
+def header_groups(spark: SparkSession, paths, glob: str = "*.csv") -> list[list[str]]:
+    """Files grouped by column layout, each group sorted: headers that normalise
+    to the same names in the same order are one layout.
+
+    One probe; the driver holds file names and header lines, as it holds Spark's
+    own file index, never rows.
     """
-    probe = csv_headers(spark, folder, glob)
-    headers = [r["header"] for r in probe.select("header").distinct().limit(MAX_HEADER_VARIANTS + 1)
-               .collect()]
-    if not headers:
-        raise FileNotFoundError(f"no {glob} files in {folder}")
-    if len(headers) > MAX_HEADER_VARIANTS:
-        raise ValueError(f"more than {MAX_HEADER_VARIANTS} header variants in {folder}")
-    # files whose headers normalise to the same names in the same order can be
-    # read together: CSV columns are matched by position
-    layout = {h: _layout(h) for h in headers}
-    if len(set(layout.values())) == 1:
-        # the common case: one layout, one read of the folder, no file list
-        df = scan_csv(spark, folder, pathGlobFilter=glob)
-        return normalize_headers(df) if normalize else df
     groups: dict[tuple, list[str]] = {}
-    for r in probe.collect():                    # file names only, one pass
-        groups.setdefault(layout[r["header"]], []).append(r["path"])
-    frames = []
-    for key in sorted(groups):
-        df = scan_csv(spark, sorted(groups[key]))
-        frames.append(normalize_headers(df) if normalize else df)
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
+    for r in csv_headers(spark, paths, glob).collect():
+        groups.setdefault(_layout(r["header"]), []).append(unquote(r["path"]))
+    return [sorted(groups[k]) for k in sorted(groups)]
+
+
+def scan_csv_groups(spark: SparkSession, groups: list[list[str]],
+                    normalize: bool = True) -> DataFrame:
+    """One CSV read per group of files, combined by column name (a column
+    missing from a group is NULL there). Exactly the files given are read, so
+    one that arrives meanwhile is never read by another file's header."""
+    out = None
+    for files in groups:
+        df = scan_csv(spark, files)
+        df = normalize_headers(df) if normalize else df
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
     return out
+
+
+def scan_csv_folder(spark: SparkSession, folder: str, glob: str = "*.csv",
+                    normalize: bool = True) -> DataFrame:
+    """All files of an object's folder, with headers matched per file; the
+    probe for headers runs when this is called."""
+    groups = header_groups(spark, folder, glob)
+    if not groups:
+        raise FileNotFoundError(f"no {glob} files with a header in {folder}")
+    return scan_csv_groups(spark, groups, normalize)

@@ -1,5 +1,5 @@
 """Structured Streaming: load-once ingestion of landing folders."""
 
-from strata.streaming.ingest import incremental_ingest, landing_schema, last_batch, read_ingested
+from strata.streaming.ingest import incremental_ingest, last_batch, read_ingested
 
-__all__ = ["incremental_ingest", "landing_schema", "last_batch", "read_ingested"]
+__all__ = ["incremental_ingest", "last_batch", "read_ingested"]

@@ -13,46 +13,69 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (BinaryType, LongType, StringType, StructField, StructType,
+                               TimestampType)
 
 from strata.plans.bronze import conform_bronze
-from strata.sources.csv import scan_csv, string_schema
+from strata.sources.csv import header_groups, scan_csv_groups
 
 BATCH_COLUMN = "BATCH_ID"
 DEFAULT_MAX_FILES_PER_TRIGGER = 1000
 
 
-def landing_schema(spark: SparkSession, folder: str, glob: str = "*.csv") -> StructType:
-    """All-text schema named by the landing files' header (first line only)."""
-    return string_schema(scan_csv(spark, folder, pathGlobFilter=glob).columns)
+#: The file source forgets, and then never loads, files older than this. Landing
+#: folders receive copies with old times, so no real file may be that old.
+MAX_FILE_AGE = "36500d"
+_LISTING = StructType([StructField("path", StringType()),
+                       StructField("modificationTime", TimestampType()),
+                       StructField("length", LongType()), StructField("content", BinaryType())])
+
+
+def _folder_exists(spark: SparkSession, folder: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(path))
 
 
 def incremental_ingest(spark: SparkSession, source_dir: str, table_path: str,
                        checkpoint_path: str, archive_dir: str, target_schema: StructType,
                        run_id: str, run_ts=None, glob: str = "*.csv",
-                       raw_schema: StructType | None = None,
                        max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER,
                        on_batch=None) -> dict:
     """Run the stream until every file present is loaded (``availableNow``).
 
-    A backlog is split into batches of at most ``max_files_per_trigger``
-    files, so one batch never grows with the backlog and a retry redoes one
-    bounded batch. ``on_batch(batch_id, rows)`` is called after each batch is
-    written (metrics, logging); if it raises, the stream stops and the batch
-    is not committed, so the next run redoes it over its own partition.
+    The stream carries file names only; each batch reads its files by their own
+    headers, grouped by column layout, so files with other column orders, in one
+    backlog or a later delivery, load alike. Files of any age load. A missing or
+    empty folder is skipped. A backlog is split into batches of at most
+    ``max_files_per_trigger`` files, so one batch never grows with the backlog
+    and a retry redoes one bounded batch. ``on_batch(batch_id, rows)`` is called
+    after each batch is written (metrics, logging); if it raises, the stream
+    stops and the batch is not committed, so the next run redoes it over its own
+    partition.
+
+    A file whose path was loaded before is not loaded again, even with other
+    content: deliver a correction under a new name.
     Returns ``{"batches": n, "rows": m}`` for this run.
     """
-    raw_schema = raw_schema or landing_schema(spark, source_dir, glob)
-    reader = (spark.readStream.schema(raw_schema).option("header", True)
-              .option("enforceSchema", False).option("pathGlobFilter", glob)
+    stats = {"batches": 0, "rows": 0}
+    if not _folder_exists(spark, source_dir):
+        return stats
+    reader = (spark.readStream.format("binaryFile").schema(_LISTING)
+              .option("pathGlobFilter", glob).option("maxFileAge", MAX_FILE_AGE)
               .option("cleanSource", "archive").option("sourceArchiveDir", archive_dir))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.csv(source_dir)
-    stats = {"batches": 0, "rows": 0}
+    stream = reader.load(source_dir).select("path")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        out = conform_bronze(batch, target_schema, run_id, run_ts)
+        # at most max_files_per_trigger names
+        paths = [r["path"] for r in batch.collect()]
+        groups = header_groups(spark, paths, glob) if paths else []
+        if not groups:          # nothing but empty files
+            return
+        out = conform_bronze(scan_csv_groups(spark, groups), target_schema, run_id, run_ts,
+                             headers_normalized=True)
         out = out.withColumn(BATCH_COLUMN, F.lit(int(batch_id)))
         obs = Observation(f"ingest-{batch_id}")
         (out.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
