@@ -4,9 +4,8 @@ from strata.operators.conform import (add_column_at, cast_by_mapping, conform_to
                                       fill_nulls, project_to_target, rename_by_mapping,
                                       select_alias, with_audit)
 from strata.operators.dedupe import dedupe_any, dedupe_latest
-from strata.operators.joins import (broadcast_if_small, left_join_fanout, left_join_unique,
-                                    merge_match)
-from strata.operators.keys import stable_keys, surrogate_key, surrogate_key_window
+from strata.operators.joins import broadcast_if_small, left_join_fanout, left_join_unique
+from strata.operators.keys import stable_keys, surrogate_key
 from strata.operators.load import (append, full_reload, upsert, upsert_actions, upsert_counts,
                                    write_table)
 
@@ -14,7 +13,7 @@ __all__ = [
     "add_column_at", "cast_by_mapping", "conform_to_schema", "fill_nulls",
     "project_to_target", "rename_by_mapping", "select_alias", "with_audit",
     "dedupe_any", "dedupe_latest", "broadcast_if_small", "left_join_fanout",
-    "left_join_unique", "merge_match", "stable_keys", "surrogate_key",
-    "surrogate_key_window", "append", "full_reload", "upsert", "upsert_actions",
+    "left_join_unique", "stable_keys", "surrogate_key",
+    "append", "full_reload", "upsert", "upsert_actions",
     "upsert_counts", "write_table",
 ]

@@ -4,9 +4,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (BinaryType, BooleanType, ByteType, DateType, DecimalType, DoubleType,
-                               FloatType, IntegerType, LongType, ShortType, StringType,
-                               TimestampNTZType, TimestampType)
+from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, ByteType, DateType, DecimalType,
+                               DoubleType, FloatType, IntegerType, LongType, MapType, ShortType,
+                               StringType, StructType, TimestampNTZType, TimestampType)
 
 
 def q(name: str) -> Column:
@@ -69,13 +69,18 @@ def fixed_row_bytes(df: DataFrame) -> int:
                 else _WIDTH.get(type(f.dataType), 64)) + 8 for f in df.schema.fields) + 16
 
 
-def fits_budget(df: DataFrame, budget_bytes: int, max_rows: int | None = None) -> bool:
-    """Proven size check: looks at no more than the rows that could fit the
-    budget (plus one) and measures their real bytes, strings included."""
-    per_row = fixed_row_bytes(df)
-    cap = max(1, budget_bytes // per_row) if max_rows is None else max_rows
-    r = df.limit(cap + 1).agg(*_size_exprs(df)).first()
-    return r["rows"] <= cap and r["rows"] * per_row + r["text_bytes"] <= budget_bytes
+def nested(df: DataFrame) -> bool:
+    """Whether a column has no size known without looking inside its values."""
+    return any(isinstance(f.dataType, (ArrayType, MapType, StructType)) for f in df.schema.fields)
+
+
+def fits_budget(df: DataFrame, budget_bytes: int) -> bool:
+    """Size check by one distributed aggregate over ``df``: rows and the real
+    bytes of its strings. A frame with nested columns never fits."""
+    if nested(df):
+        return False
+    r = df.agg(*_size_exprs(df)).first()
+    return r["rows"] * fixed_row_bytes(df) + (r["text_bytes"] or 0) <= budget_bytes
 
 
 def materialize(df: DataFrame, label: str) -> tuple[DataFrame, int, int]:

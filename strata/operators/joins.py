@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, ByteType, DateType, DoubleType, FloatType,
                                IntegerType, LongType, ShortType, TimestampNTZType, TimestampType)
 
-from strata.operators._util import and_all, fits_budget, q, resolve
+from strata.operators._util import and_all, materialize, nested, q, resolve
 
 BROADCAST_BUDGET_BYTES = 64 * 1024 * 1024
 _FIXED_WIDTH = (ByteType, ShortType, IntegerType, LongType, FloatType, DoubleType, DateType,
@@ -19,10 +19,12 @@ _FIXED_WIDTH = (ByteType, ShortType, IntegerType, LongType, FloatType, DoubleTyp
 
 
 def broadcast_if_small(df: DataFrame, budget_bytes: int = BROADCAST_BUDGET_BYTES) -> DataFrame:
-    """``broadcast(df)`` when ``df`` is proven to fit the budget (rows counted
-    and string bytes measured, reading no more rows than could fit), else
-    ``df``, left to a sort-merge join with AQE."""
-    return F.broadcast(df) if fits_budget(df, budget_bytes) else df
+    """``df`` written once to the shared folder; a broadcast side if the size
+    observed on that write (rows and string bytes) fits the budget, else left
+    to a sort-merge join with AQE. Nested columns, whose size is not known
+    without looking inside, are never broadcast."""
+    out, _, n_bytes = materialize(df, "lookup")
+    return F.broadcast(out) if not nested(df) and n_bytes <= budget_bytes else out
 
 
 def _eq(left_on, right_on) -> object:
@@ -66,7 +68,8 @@ def left_join_unique(left: DataFrame, right: DataFrame, left_on, right_on, right
                      pick: str = "min", broadcast_budget: int = BROADCAST_BUDGET_BYTES) -> DataFrame:
     """Left lookup that never multiplies left rows: the right side is first cut
     to one row per key (the smallest, or greatest, ``right_cols`` tuple), then
-    left-joined; broadcast when the cut side is proven small."""
+    left-joined; broadcast when the cut side's measured size is small. The cut
+    side is computed and written once, when this is called."""
     left_on = resolve(left, left_on)
     right_on = resolve(right, right_on)
     right_cols = resolve(right, right_cols)
@@ -92,11 +95,3 @@ def left_join_unique(left: DataFrame, right: DataFrame, left_on, right_on, right
     one = broadcast_if_small(one, broadcast_budget)
     return left.join(one, _eq(left_on, r_names), "left").select(
         [left[f"`{c}`"] for c in left.columns] + [q(c) for c in right_cols])
-
-
-def merge_match(target: DataFrame, source: DataFrame, keys) -> DataFrame:
-    """Keys of a MERGE with the action each would get: ``updated`` (in both),
-    ``inserted`` (source only, including NULL keys) or ``kept`` (target only);
-    NULL keys never match. Same as :func:`strata.operators.load.upsert_actions`."""
-    from strata.operators.load import upsert_actions
-    return upsert_actions(target, source, keys)

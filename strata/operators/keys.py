@@ -20,16 +20,17 @@ unpartitioned window, without moving all rows into one partition:
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StructType
+from pyspark.sql.types import ArrayType, DoubleType, FloatType, MapType, StructType
 
-from strata.operators._util import q, resolve
+from strata.operators._util import and_all, q, resolve
 from strata.session import scratch_path
 
 COPY_CHUNK = 100_000          # rows one task emits per chunk of a large copy group
 COPY_COLUMN = "__sk_copy"
+_LARGEST = {"byte": 2**7 - 1, "tinyint": 2**7 - 1, "short": 2**15 - 1, "smallint": 2**15 - 1,
+            "int": 2**31 - 1, "integer": 2**31 - 1, "bigint": 2**63 - 1, "long": 2**63 - 1}
 
 
 def _orderable(df: DataFrame, name: str) -> bool:
@@ -50,19 +51,23 @@ def total_order(df: DataFrame, order_by, tie_break="all") -> list[Column]:
     return [q(c).asc_nulls_first() for c in names + [c for c in extra if c not in names]]
 
 
-def surrogate_key_window(df: DataFrame, order_by, name: str, tie_break="all",
-                         key_type: str = "int") -> DataFrame:
-    """The plain form, ``row_number()`` over an unpartitioned window. It moves
-    every row into one partition; kept only to check the scalable form."""
-    w = Window.orderBy(*total_order(df, order_by, tie_break))
-    return df.withColumn(name, F.row_number().over(w).cast(key_type))
+def _negative_zeros(df: DataFrame) -> list[tuple[str, Column]]:
+    """(name, test) per floating column: grouping makes ``-0.0`` and ``0.0`` equal."""
+    return [(f.name, (q(f.name) == 0) & q(f.name).cast("string").startswith("-"))
+            for f in df.schema.fields if isinstance(f.dataType, (DoubleType, FloatType))]
 
 
 def count_copies(df: DataFrame) -> DataFrame:
     """Distinct rows of ``df`` with their number of copies (``__sk_n``), from a
-    map-side-combined aggregate on every column. As in any Spark grouping,
-    ``-0.0`` and ``0.0`` (and NaN variants) count as the same value."""
-    return df.groupBy(*[q(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("__sk_n"))
+    map-side-combined aggregate on every column. ``-0.0`` and ``0.0`` stay
+    apart and keep their sign; all NaN are one value."""
+    zeros = _negative_zeros(df)
+    flags = [F.coalesce(test, F.lit(False)).alias(f"__sk_z{i}")
+             for i, (_, test) in enumerate(zeros)]
+    n = df.groupBy(*[q(c) for c in df.columns], *flags).agg(F.count(F.lit(1)).alias("__sk_n"))
+    signed = {c: F.when(F.col(f"__sk_z{i}"), F.lit(-0.0).cast(df.schema[c].dataType))
+              .otherwise(q(c)).alias(c) for i, (c, _) in enumerate(zeros)}
+    return n.select(*[signed.get(c, q(c)) for c in df.columns], "__sk_n")
 
 
 def expand_copies(counted: DataFrame, columns) -> DataFrame:
@@ -92,47 +97,55 @@ def spread_copies(df: DataFrame) -> DataFrame:
 
 def surrogate_key(df: DataFrame, order_by, name: str, tie_break="all", start: int = 1,
                   key_type: str = "int", num_partitions: int | None = None,
-                  copies: str = "spread") -> DataFrame:
+                  copies: str = "spread", unique_by=None) -> DataFrame:
     """Dense keys ``start..start+N-1`` over a total order, without a
-    single-partition step (see the module text).
+    single-partition step (see the module text). The jobs that fix the order
+    run when this is called; a key that ``key_type`` cannot hold raises.
 
     ``copies="spread"`` (default) first counts and re-expands identical rows so
     that even a group of exact copies holding a large share of the rows is
-    spread over many range partitions; ``"assume_few"`` skips that aggregation
-    (one shuffle less) for inputs known to have no large groups of copies.
-    Frames with map, array or struct columns cannot be grouped and always use
-    ``"assume_few"``.
+    spread over many range partitions. Frames with map, array or struct columns
+    cannot be grouped: they need ``"assume_few"``, which skips that aggregation
+    (one shuffle less) and is right for inputs without large groups of copies.
+    ``unique_by`` names columns that together are unique, as the caller knows:
+    they break all ties and no copies are counted.
     """
     spark = df.sparkSession
     if copies not in ("spread", "assume_few"):
         raise ValueError("copies must be 'spread' or 'assume_few'")
-    spread = copies == "spread" and all(_orderable(df, c) for c in df.columns)
-    counted = None
-    if spread:
-        # both expansion branches read the counts: keep them (on disk, with
-        # lineage, so a lost block is recomputed) until the tagged rows are
-        # written, instead of computing the input twice
-        counted = count_copies(df).persist(StorageLevel.DISK_ONLY)
-        work = expand_copies(counted, df.columns)
+    if unique_by is not None:
+        copies, tie_break = "assume_few", unique_by
+    if copies == "spread" and not all(_orderable(df, c) for c in df.columns):
+        raise ValueError("nested columns cannot be grouped; pass copies='assume_few'")
+    if copies == "spread":
+        # both expansion branches read the counts: written once to the shared folder
+        path = scratch_path(spark, "surrogate-copies")
+        count_copies(df).write.parquet(path)
+        work = expand_copies(spark.read.parquet(path), df.columns)
     else:
         work = df
     order = total_order(work, order_by, tie_break)
-    if spread and tie_break != "all":
-        order.append(F.col(COPY_COLUMN).asc())
+    if unique_by is None and tie_break != "all":
+        # rows that still tie may be many: a hash of the row spreads them, and the copy index
+        plain = [q(c) for c in df.columns if _orderable(df, c)]
+        order.append(F.xxhash64(*plain).asc())
+        if copies == "spread":
+            order.append(F.col(COPY_COLUMN).asc())
     sorted_df = (work.repartitionByRange(num_partitions, *order) if num_partitions
                  else work.repartitionByRange(*order)).sortWithinPartitions(*order)
     tagged = sorted_df.select(
         "*", F.spark_partition_id().alias("__sk_part"),
         F.monotonically_increasing_id().alias("__sk_pos"))
     path = scratch_path(spark, "surrogate-key")
-    try:
-        tagged.write.mode("overwrite").parquet(path)
-    finally:
-        if counted is not None:
-            counted.unpersist()
+    tagged.write.mode("overwrite").parquet(path)
     fixed = spark.read.parquet(path)
     per_part = fixed.groupBy("__sk_part").agg(
         F.count(F.lit(1)).alias("__sk_n"), F.min("__sk_pos").alias("__sk_first"))
+    most = _LARGEST.get(key_type.strip().lower())
+    if most is not None:
+        rows = per_part.agg(F.sum("__sk_n").alias("n")).first()["n"] or 0
+        if start + rows - 1 > most:
+            raise OverflowError(f"{rows} keys from {start} on do not fit {key_type}")
     offsets = per_part.select(
         "__sk_part", "__sk_first",
         F.coalesce(F.sum("__sk_n").over(
@@ -143,24 +156,61 @@ def surrogate_key(df: DataFrame, order_by, name: str, tie_break="all", start: in
     return keyed.select([q(c) for c in df.columns] + [key.cast(key_type).alias(name)])
 
 
+def _numbered_copies(df: DataFrame, keys, order_by, index: str) -> DataFrame:
+    """``df`` with the number (0..) of each row among those with equal ``keys``.
+
+    A dense position over (keys, order) less the group's smallest position: no
+    group is gathered in one task, and NULL keys are a group like any other.
+    """
+    placed = surrogate_key(df, [*keys, *order_by], "__st_pos", key_type="bigint")
+    first = placed.groupBy(*[q(k).alias(f"__st_{i}") for i, k in enumerate(keys)]).agg(
+        F.min("__st_pos").alias("__st_first"))
+    same = and_all([q(k).eqNullSafe(F.col(f"__st_{i}")) for i, k in enumerate(keys)])
+    return placed.join(first, same).select(
+        *[q(c) for c in df.columns], (F.col("__st_pos") - F.col("__st_first")).alias(index))
+
+
 def stable_keys(rows: DataFrame, dimension: DataFrame, natural_keys, key_col: str,
-                order_by, tie_break="all", key_type: str = "int") -> DataFrame:
-    """Keep the keys of rows already in ``dimension`` (matched null-safely on
-    ``natural_keys``); number new rows from ``max(key) + 1`` in ``order_by``
-    order. Output: ``rows`` columns plus ``key_col``. ``rows`` and
-    ``dimension`` are each read more than once (stored tables are cheap to
-    re-read; write an expensive input first)."""
+                order_by, tie_break="all", key_type: str = "int",
+                keep_vanished: bool = True) -> DataFrame:
+    """Keep the keys of rows already in ``dimension``; number new rows from
+    ``max(key) + 1`` in ``order_by`` order. Output: ``rows`` columns plus
+    ``key_col``.
+
+    Rows match null-safely on ``natural_keys``, one to one: the n-th of several
+    rows with equal natural keys takes the n-th smallest key of those in the
+    dimension, so no row multiplies and no key is given twice. Dimension rows
+    that match nothing stay in the output (columns the dimension lacks are
+    NULL), as an upsert would keep them: facts may point to them, and their
+    keys are never given to others. ``keep_vanished=False`` leaves them out;
+    the caller must then keep the largest key ever given in ``dimension``.
+    """
     nk = resolve(rows, natural_keys if not isinstance(natural_keys, str) else [natural_keys])
-    dim = dimension.select(*[q(k) for k in resolve(dimension, nk)], q(key_col))
-    dim = dim.toDF(*[f"__d_{k}" for k in nk], "__d_key")
-    cond = None
-    for k in nk:
-        c = q(k).eqNullSafe(F.col(f"__d_{k}"))
-        cond = c if cond is None else cond & c
-    existing = rows.join(dim, cond, "inner").select(
-        [q(c) for c in rows.columns] + [F.col("__d_key").cast(key_type).alias(key_col)])
-    fresh = rows.join(dim, cond, "left_anti")
+    dim_nk = resolve(dimension, nk)
+    rest = [c for c in rows.columns if c not in nk and _orderable(rows, c)]
+    numbered_rows = _numbered_copies(rows, nk, rest, "__st_n")
+    numbered_dim = _numbered_copies(dimension, dim_nk, [key_col], "__st_n")
+    dim = numbered_dim.select(
+        *[q(k).alias(f"__d_{i}") for i, k in enumerate(dim_nk)], F.col("__st_n").alias("__d_n"),
+        q(key_col).alias("__d_key"))
+    same = and_all([*[q(k).eqNullSafe(F.col(f"__d_{i}")) for i, k in enumerate(nk)],
+                    F.col("__st_n") == F.col("__d_n")])
+    path = scratch_path(rows.sparkSession, "stable-keys")
+    numbered_rows.join(dim, same, "left").write.parquet(path)
+    matched = rows.sparkSession.read.parquet(path)
+    columns = [q(c) for c in rows.columns]
+    existing = matched.where("__d_key IS NOT NULL").select(
+        *columns, F.col("__d_key").cast(key_type).alias(key_col))
     top = dimension.agg(F.coalesce(F.max(q(key_col)), F.lit(0)).cast("long").alias("m")).first()["m"]
-    numbered = surrogate_key(fresh, order_by, key_col, tie_break, start=int(top) + 1,
-                             key_type=key_type)
-    return existing.unionByName(numbered)
+    fresh = surrogate_key(matched.where("__d_key IS NULL").select(columns), order_by, key_col,
+                          tie_break, start=int(top) + 1, key_type=key_type)
+    out = existing.unionByName(fresh)
+    if not keep_vanished:
+        return out
+    by_upper = {c.upper(): c for c in dimension.columns}
+    gone = dimension.join(matched.select(F.col("__d_key").alias("__st_used")).where(
+        "__st_used IS NOT NULL"), q(key_col) == F.col("__st_used"), "left_anti")
+    return out.unionByName(gone.select(
+        *[(q(by_upper[c.upper()]) if c.upper() in by_upper else F.lit(None))
+          .cast(rows.schema[c].dataType).alias(c) for c in rows.columns],
+        q(key_col).cast(key_type).alias(key_col)))

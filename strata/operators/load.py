@@ -212,7 +212,9 @@ def _upsert_broadcast(target, src, keys, upd, audit, run_id, ts):
     # source rows with no target row: anti join against the matched keys,
     # found by a key-only scan of the target semi-joined to the source keys
     src_keys = src.select([q(k) for k in keys])
-    matched = target.select([q(k) for k in keys]).join(F.broadcast(src_keys), keys, "left_semi")
+    # made distinct, so copies of one target key fold to one row before they are shuffled
+    matched = (target.select([q(k) for k in keys]).join(F.broadcast(src_keys), keys, "left_semi")
+               .distinct())
     new_rows = src.join(matched, keys, "left_anti")
     return old.unionByName(_inserted(target, new_rows, keys, upd, audit, run_id, ts))
 

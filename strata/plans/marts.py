@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql.types import LongType, StructField, StructType
 
 from strata.operators.conform import conform_to_schema, select_alias, with_audit
 from strata.operators.joins import left_join_fanout, left_join_unique
@@ -10,35 +11,52 @@ from strata.operators.keys import stable_keys, surrogate_key
 from strata.schemas import GOLD_DIM_APPOINTMENT, GOLD_FACT_SALES
 
 
+def _keyed_schema(schema: StructType, key_type: str) -> StructType:
+    """The gold schema with its surrogate keys of ``key_type``."""
+    if key_type.strip().lower() in ("int", "integer"):
+        return schema
+    return StructType([StructField(f.name, LongType(), f.nullable)
+                       if f.name in ("APPOINTMENT_DATA_KEY", "SALES_KEY") else f
+                       for f in schema.fields])
+
+
 def dim_appointment(appointments: DataFrame, run_id: str, run_ts=None,
-                    on_error: str = "fail", existing: DataFrame | None = None) -> DataFrame:
+                    on_error: str = "fail", existing: DataFrame | None = None,
+                    key_type: str = "int", unique_by=None) -> DataFrame:
     """One row per appointment: yard, sales order, carrier; a dense key in
     yard order (ties broken by the other columns); audit; strict fit.
 
     With ``existing`` (the current dimension), rows already there keep their
-    key (matched on all three attributes, NULL-safe) and new rows are
-    numbered from its largest key + 1, so keys stay stable across runs.
+    key (matched one to one on all three attributes, NULL-safe), rows that
+    vanished from the source stay, and new rows are numbered from its largest
+    key + 1, so keys stay stable across runs. ``key_type="bigint"`` is for more
+    than 2**31-1 rows; ``unique_by`` as in :func:`surrogate_key`.
     """
     dim = select_alias(appointments, ["YARD_NAME", ("SALES_ORDER_TICKET_ID", "SALES_ORDER_ID"),
                                       "CARRIER_NAME"])
     if existing is None:
-        dim = surrogate_key(dim, ["YARD_NAME"], "APPOINTMENT_DATA_KEY")
+        dim = surrogate_key(dim, ["YARD_NAME"], "APPOINTMENT_DATA_KEY", key_type=key_type,
+                            unique_by=unique_by)
     else:
         dim = stable_keys(dim, existing, ["YARD_NAME", "SALES_ORDER_ID", "CARRIER_NAME"],
-                          "APPOINTMENT_DATA_KEY", ["YARD_NAME"])
+                          "APPOINTMENT_DATA_KEY", ["YARD_NAME"], key_type=key_type)
     dim = with_audit(dim, run_id, run_ts)
-    return conform_to_schema(dim, GOLD_DIM_APPOINTMENT, on_error=on_error)
+    return conform_to_schema(dim, _keyed_schema(GOLD_DIM_APPOINTMENT, key_type),
+                             on_error=on_error)
 
 
 def fact_sales(sales: DataFrame, dimension: DataFrame, run_id: str, run_ts=None,
-               lookup: str = "unique", on_error: str = "fail") -> DataFrame:
+               lookup: str = "unique", on_error: str = "fail", key_type: str = "int",
+               unique_by=None) -> DataFrame:
     """Sales with the appointment key of their yard, a dense sales key in
     ``YARD_ID, YARD_KEY, COMMODITY_NAME`` order (ties broken by the other
     columns), audit, strict fit (``YARD`` is dropped).
 
     ``lookup="unique"`` takes one dimension row per yard (the smallest key),
     so sales never multiply; ``"fanout"`` joins every appointment of the yard,
-    as a plain left join on a non-unique dimension would.
+    as a plain left join on a non-unique dimension would: its output has the
+    product of a yard's sales and appointments, so it is for small yards only.
+    ``key_type`` and ``unique_by`` as in :func:`dim_appointment`.
     """
     s = select_alias(sales, ["YARD_ID", "YARD_KEY", "COMMODITY_NAME", "PRICE", "SELL_PRICE",
                              "INVOICE_TOTAL", "YARD"])
@@ -48,6 +66,7 @@ def fact_sales(sales: DataFrame, dimension: DataFrame, run_id: str, run_ts=None,
         joined = left_join_fanout(s, dimension, ["YARD"], ["YARD_NAME"], ["APPOINTMENT_DATA_KEY"])
     else:
         raise ValueError("lookup must be 'unique' or 'fanout'")
-    keyed = surrogate_key(joined, ["YARD_ID", "YARD_KEY", "COMMODITY_NAME"], "SALES_KEY")
+    keyed = surrogate_key(joined, ["YARD_ID", "YARD_KEY", "COMMODITY_NAME"], "SALES_KEY",
+                          key_type=key_type, unique_by=unique_by)
     keyed = with_audit(keyed, run_id, run_ts)
-    return conform_to_schema(keyed, GOLD_FACT_SALES, on_error=on_error)
+    return conform_to_schema(keyed, _keyed_schema(GOLD_FACT_SALES, key_type), on_error=on_error)
