@@ -41,9 +41,12 @@ def try_cast_by_type(c, type_name: str | DataType, text_input: bool = True) -> C
 
 
 def cast_by_type_name(c, type_name: str, text_input: bool = True) -> Column:
-    """The three metadata cast rules: ``date`` -> date ladder; ``timestamp`` /
-    ``timestamp_ntz`` -> zoned timestamp parse; anything else -> try_cast."""
+    """The three metadata cast rules for text: ``date`` -> date ladder;
+    ``timestamp`` / ``timestamp_ntz`` -> zoned timestamp parse; anything else
+    -> try_cast. Input that is typed already is only cast."""
     kind = type_name.strip().lower()
+    if not text_input:      # already typed: the text rules do not apply
+        return as_col(c).try_cast(type_name.strip())
     if kind == "date":
         return parse_date_ladder(c)
     if kind in ("timestamp", "timestamp_ntz"):

@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 
 from strata.schemas import COLUMN_MAPPING
 
-MAX_MAPPING_ROWS = 10_000
-
 
 @dataclass(frozen=True)
 class ColumnMapping:
@@ -37,11 +35,15 @@ class ColumnMapping:
             cond = cond & (F.lower(F.col("SOURCE_NAME")) == F.lower(F.lit(source_name)))
         rows = (mapping.filter(cond)
                 .select("SOURCE_COLUMN_NAME", "TARGET_COLUMN_NAME", "COLUMN_DATATYPE", "VALUES")
-                .limit(MAX_MAPPING_ROWS + 1).collect())
-        if len(rows) > MAX_MAPPING_ROWS:
-            raise ValueError(f"more than {MAX_MAPPING_ROWS} mapping rows for {object_name}")
+                .distinct().collect())
         if not rows:
             raise ValueError(f"no column mapping found for {object_name}")
+        for name in ("SOURCE_COLUMN_NAME", "TARGET_COLUMN_NAME"):
+            seen = [r[name].lower() for r in rows if r[name] is not None]
+            twice = sorted({c for c in seen if seen.count(c) > 1})
+            if twice:
+                raise ValueError(f"{object_name}: {name} mapped more than once: {twice}; "
+                                 "name the source system if several have this object")
         renames, defaults, types = {}, {}, {}
         for r in rows:
             if r["SOURCE_COLUMN_NAME"] is not None and r["TARGET_COLUMN_NAME"] is not None:

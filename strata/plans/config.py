@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 
 from strata.operators._util import split_keys
 
-MAX_OBJECTS = 10_000
-
 
 @dataclass(frozen=True)
 class ObjectConfig:
@@ -34,10 +32,7 @@ class ObjectConfig:
 def active_objects(config: DataFrame, flag: str = "IS_RUN") -> list[ObjectConfig]:
     """Active rows (``flag = 1``, pushed into the source) as ``ObjectConfig``,
     ordered by object name. An operation other than upsert raises."""
-    rows = config.filter(F.col(flag) == 1).orderBy("OBJECT_NAME") \
-        .limit(MAX_OBJECTS + 1).collect()
-    if len(rows) > MAX_OBJECTS:
-        raise ValueError(f"more than {MAX_OBJECTS} active objects")
+    rows = config.filter(F.col(flag) == 1).orderBy("OBJECT_NAME").collect()
     out = []
     for r in rows:
         d = r.asDict()
@@ -58,7 +53,7 @@ def silver_job(cfg: ObjectConfig, bronze: DataFrame, mapping_table: DataFrame, r
     """``silver_load`` for one configured object (mapping fetched for it)."""
     from strata.mapping import ColumnMapping
     from strata.plans.silver import silver_load
-    mapping = ColumnMapping.from_frame(mapping_table, cfg.object_name)
+    mapping = ColumnMapping.from_frame(mapping_table, cfg.object_name, cfg.source_name)
     return silver_load(bronze, mapping, list(cfg.keys), run_id, run_ts, target=target,
                        full_load=cfg.full_load or target is None, operation=cfg.operation,
                        target_schema=target_schema)

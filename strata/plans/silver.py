@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
 from strata.mapping import ColumnMapping
-from strata.operators._util import split_keys
+from strata.operators._util import q, split_keys
 from strata.operators.conform import (cast_by_mapping, conform_to_schema, fill_nulls,
                                       project_to_target, rename_by_mapping)
 from strata.operators.dedupe import dedupe_any, dedupe_latest
@@ -45,7 +45,8 @@ def silver_load(bronze: DataFrame, mapping: ColumnMapping, keys, run_id: str, ru
     ``full_load``: the conformed batch with all audit columns from this run.
     Otherwise an upsert of the batch into ``target`` on ``keys``. Columns are
     those of ``target_schema``, else of ``target``, else the mapping's target
-    columns plus the audit columns.
+    columns plus the audit columns; columns that are neither mapped nor keys
+    keep the target's values (NULL in inserted and reloaded rows).
     Only the ``upsert`` operation exists; anything else raises.
     """
     if str(operation).lower() != "upsert":
@@ -57,8 +58,13 @@ def silver_load(bronze: DataFrame, mapping: ColumnMapping, keys, run_id: str, ru
     else:  # first load without a schema: the mapped columns and the audit columns
         cols = mapping.target_columns + list(AUDIT_COLUMNS)
     batch = conform_silver(bronze, mapping, keys, cols, dedupe)
+    # only mapped columns and keys are written, whatever else bronze and target share
+    mapped = {c.lower() for c in [*mapping.target_columns, *split_keys(keys)]}
+    batch = batch.select([q(c) for c in batch.columns if c.lower() in mapped])
+    shape = target_schema if target_schema is not None else target and target.schema
     if full_load or target is None:
         out = full_reload(batch, run_id, run_ts)
-        return out if target_schema is None else conform_to_schema(out, target_schema,
-                                                                   missing="null")
+        return out if shape is None else conform_to_schema(out, shape, missing="null")
+    if target_schema is not None:       # columns added since the target was written
+        target = conform_to_schema(target, target_schema, missing="null")
     return upsert(target, batch, keys, run_id, run_ts, method=method)
