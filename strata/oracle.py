@@ -176,8 +176,7 @@ ORACLE: dict[str, str] = {
         FROM customer WHERE c_acctbal > 0""",
     # joins
     "left_join_fanout": """SELECT o.*, l.l_linenumber, l.l_quantity FROM orders o
-        LEFT JOIN (SELECT * FROM lineitem WHERE l_returnflag = 'R') l
-          ON o.o_orderkey = l.l_orderkey""",
+        LEFT JOIN lineitem l ON l.l_returnflag = 'R' AND o.o_orderkey = l.l_orderkey""",
     "left_join_unique": """SELECT c.*, o.o_orderdate, o.o_orderkey FROM customer c
         LEFT JOIN (SELECT o_custkey, o_orderdate, o_orderkey FROM orders
                    QUALIFY row_number() OVER (PARTITION BY o_custkey
@@ -190,7 +189,8 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT s.CUST_KEY, s.ORDER_KEY, 'inserted'
           FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE {COMPOSITE})""",
     # dedupe
-    "dedupe_any": "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem",
+    "dedupe_any": """SELECT DISTINCT l_orderkey, l_linenumber, true AS is_input_row
+        FROM lineitem""",
     "dedupe_latest": """SELECT * FROM lineitem QUALIFY row_number() OVER (
         PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC NULLS LAST,
         l_partkey DESC NULLS LAST, l_suppkey DESC NULLS LAST, l_quantity DESC NULLS LAST,

@@ -9,6 +9,7 @@ return the written table read back.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -243,8 +244,10 @@ def q_filter_active(spark, sf):
 # ---------------------------------------------------------------- joins
 def q_left_join_fanout(spark, sf):
     o = T(spark, sf, "orders")
-    returned = T(spark, sf, "lineitem").filter(F.col("l_returnflag") == "R")
-    return left_join_fanout(o, returned, ["o_orderkey"], ["l_orderkey"],
+    # lines that are not returned have no order here: some orders stay unmatched
+    lines = T(spark, sf, "lineitem").withColumn(
+        "l_orderkey", F.when(F.col("l_returnflag") == "R", F.col("l_orderkey")))
+    return left_join_fanout(o, lines, ["o_orderkey"], ["l_orderkey"],
                             ["l_linenumber", "l_quantity"])
 
 
@@ -261,8 +264,13 @@ def q_merge_join_composite(spark, sf):
 
 # ---------------------------------------------------------------- dedupe
 def q_dedupe_any(spark, sf):
-    return dedupe_any(T(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"]) \
-        .select("l_orderkey", "l_linenumber")
+    # which row of a key stays is open, so each is checked to be a whole row of the input
+    lines = T(spark, sf, "lineitem")
+    one = dedupe_any(lines, ["l_orderkey", "l_linenumber"])
+    rows = lines.distinct().withColumn("is_input_row", F.lit(True))
+    same = reduce(lambda a, b: a & b, [one[c].eqNullSafe(rows[c]) for c in lines.columns])
+    return one.join(rows, same, "left").select(one["l_orderkey"], one["l_linenumber"],
+                                               "is_input_row")
 
 
 def q_dedupe_latest(spark, sf):

@@ -5,6 +5,8 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from strata.oracle import ORACLE
+from strata.registry import QUERIES
 from tools.oracle_compare import compare, duck
 
 SF = os.environ.get("STRATA_TEST_SF", "/root/testdata/sf0.001")
@@ -17,10 +19,10 @@ def con():
 
 
 def test_every_query_has_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_matches_oracle(spark, con, key):
     res = compare(spark, SF, [key], con)[key]
     assert "error" not in res, res

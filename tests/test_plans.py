@@ -5,7 +5,7 @@ import os
 
 import pytest
 
-import __spark_entry__ as entry
+from strata.registry import QUERIES
 
 SF = os.environ.get("STRATA_TEST_SF", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="test data not present")
@@ -17,7 +17,7 @@ def _plan(df) -> str:
 
 @pytest.fixture(scope="module")
 def plans(spark):
-    return {k: _plan(q(spark, SF)) for k, q in entry.queries().items()}
+    return {k: _plan(q(spark, SF)) for k, q in QUERIES.items()}
 
 
 def test_no_python_in_row_path(plans):
@@ -39,9 +39,9 @@ def test_single_partition_only_on_partition_counts(plans):
 
 
 def test_filters_pushed_and_columns_pruned(spark):
-    p = _plan(entry.queries()["filter_equals"](spark, SF))
+    p = _plan(QUERIES["filter_equals"](spark, SF))
     assert "PushedFilters: [IsNotNull(o_orderstatus), EqualTo(o_orderstatus,F)]" in p
-    p = _plan(entry.queries()["select_alias"](spark, SF))
+    p = _plan(QUERIES["select_alias"](spark, SF))
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderstatus:string,o_orderpriority:string>" in p
 
 

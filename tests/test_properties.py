@@ -6,7 +6,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from strata.operators import dedupe_latest, surrogate_key, surrogate_key_window, upsert
+from strata.operators import dedupe_latest, surrogate_key, upsert
+from tests.reference import surrogate_key_window
 from tests.conftest import rows
 
 SETTINGS = settings(max_examples=6, deadline=None,
