@@ -49,7 +49,7 @@ WINDOW = 13
 GRAM = 6
 #: Grams in a window, and so places an anchor can have in it.
 PLACES = WINDOW - GRAM + 1
-GROUP_ROWS = 20_000
+GROUP_ROWS = 4_000
 #: Sorted suffixes that a task looks at together (a whole group at least).
 STEP_ROWS = 60_000
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -112,25 +112,27 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["doc_id", "th", "n_words", "sha", "places", "grams", "cls"])
 
 
-SUFFIX = "gram long, doc_id long, th long, place int, before int, words binary, most int"
+SUFFIX = ("gram long, doc_id long, th long, place int, before int, words binary, most int, "
+          "n int")
 
 
 def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per live anchor: ``before`` words on its left, then its suffix, as word codes.
 
     ``most`` has a bit for each number l of words before the anchor at which a
-    window with this anchor begins.
+    window with this anchor begins; ``n`` suffixes share the anchor's gram.
     """
     for batch in batches:
         for part in slices(batch):
-            out: list[list] = [[] for _ in range(7)]
-            for doc, th, text, live in zip(part.column("doc_id").to_pylist(),
-                                           part.column("th").to_pylist(), utf8(part),
-                                           part.column("live"), strict=True):
+            out: list[list] = [[] for _ in range(8)]
+            for doc, th, text, live, shared in zip(
+                    part.column("doc_id").to_pylist(), part.column("th").to_pylist(), utf8(part),
+                    part.column("live"), part.column("shared"), strict=True):
                 codes = codes_of(text.split())
                 g = grams_of(codes)
                 anchor = anchors_of(g)
-                live = np.sort(live.values.to_numpy())
+                live = live.values.to_numpy()
+                out[7] += shared.as_py()
                 first = np.searchsorted(anchor, live)       # anchors ascend with their windows
                 end = np.searchsorted(anchor, live, "right")
                 raw = codes.astype(">u8").tobytes()
@@ -143,10 +145,10 @@ def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     out[5].append(raw[8 * a:8 * (b - 1 + WINDOW)])
                     out[6].append(sum(1 << (p - s) for s in range(a, b)))
             types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(),
-                     pa.int32()]
+                     pa.int32(), pa.int32()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x, t) for x, t in zip(out, types, strict=True)],
-                names=["gram", "doc_id", "th", "place", "before", "words", "most"])
+                names=["gram", "doc_id", "th", "place", "before", "words", "most", "n"])
 
 
 def repeated_in(group: pa.Table) -> np.ndarray:
@@ -273,34 +275,32 @@ def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     ship(spark)
     d = _keyed(docs)
     scan = written(d.mapInArrow(_scan, "doc_id long, th long, n_words long, sha binary, "
-                                       "places array<int>, grams array<long>, cls long"),
-                   "suffix-scan")
+                                       "places array<int>, grams array<long>, cls long")
+                   .withColumn("row", F.monotonically_increasing_id()), "suffix-scan")
     # of equal sequences the smallest (id, text hash) stays in play
-    first = scan.groupBy("sha").agg(F.min(F.struct("doc_id", "th")).alias("f")).select(
-        F.col("f.doc_id").alias("doc_id"), F.col("f.th").alias("th"))
-    first = written(first, "suffix-first")
+    first = written(scan.groupBy("sha").agg(F.min(F.struct("doc_id", "th", "row")).alias("f"))
+                    .select("f.*"), "suffix-first")
     least = scan.groupBy("sha").agg(F.min("doc_id").alias("least"))
     heads = scan.select("doc_id", "th", "n_words", "sha").join(least, "sha")
     flags = written(heads.select("doc_id", "th", "n_words", "sha", (
         (F.col("doc_id") > F.col("least")) & (F.col("n_words") >= WINDOW)).alias("copy")),
         "suffix-docs")
-    each = scan.select("doc_id", "th", "cls",
-                       F.explode(F.arrays_zip("places", "grams")).alias("z")).select(
-        "doc_id", "th", "cls", F.col("z.places").alias("place"), F.col("z.grams").alias("gram"))
+    each = scan.select("row", "cls", F.explode(F.arrays_zip("places", "grams")).alias("z")).select(
+        "row", "cls", F.col("z.places").alias("place"), F.col("z.grams").alias("gram"))
     # anchors of more than one class, with their number of occurrences
     live = written(each.groupBy("gram").agg(F.min("cls").alias("a"), F.max("cls").alias("b"),
                                             F.count("*").alias("n"))
-                   .where("a < b").select("gram", "n"), "suffix-live")
+                   .where("a < b").select("gram", F.col("n").cast("int")), "suffix-live")
     free_shuffles(spark)
-    spots = (each.join(live, "gram").groupBy("doc_id", "th")
-             .agg(F.collect_set("place").alias("live")).join(first, ["doc_id", "th"])
-             .select("doc_id", "th", "live"))
-    spots = written(spots, "suffix-spots")
+    spots = written(each.select("row", "place", "gram").join(live, "gram").groupBy("row")
+                    .agg(F.sort_array(F.collect_list(F.struct("place", "n"))).alias("live"))
+                    .join(first, "row").select(
+                        "doc_id", "th", F.col("live.place").alias("live"),
+                        F.col("live.n").alias("shared")), "suffix-spots")
     drop_scratch(scan)
     free_shuffles(spark)
-    suffixes = written(d.dropDuplicates(["doc_id", "th"]).join(spots, ["doc_id", "th"])
-                       .mapInArrow(_suffixes, SUFFIX)
-                       .join(live, "gram"), "suffixes")
+    suffixes = written(d.join(spots, ["doc_id", "th"])
+                       .mapInArrow(_suffixes, SUFFIX), "suffixes")
     free_shuffles(spark)
     tail = F.expr(f"substring(words, 8 * before + 1, {8 * WINDOW})")
     trees = (suffixes.where(F.col("n") <= GROUP_ROWS).withColumn("tail", tail)
