@@ -20,15 +20,22 @@ LAST_ID = 2**63 - 1
 #: Text bytes that one vectorised step works on; bounds the memory of a Python worker.
 SLICE_BYTES = 2_000_000
 _SHIPPED = "_strata_llm_code_shipped"
+#: Bytes of one Arrow batch between Spark and a Python worker (Spark's default is 64 MB).
+ARROW_BYTES = "4m"
+_BATCH_KEY, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package's code to the executors, once per Spark context.
+    """Send this package's code to the executors, once per Spark context, and
+    bound the bytes of an Arrow batch unless the session has set its own bound.
 
     Tasks then import it like any module, so what a worker loads (a tokenizer,
     a word cache) lives as long as the worker and not only for one task.
     """
     sc = spark.sparkContext
+    # whole texts make large batches; both the JVM and the worker hold several at a time
+    if spark.conf.get(_BATCH_KEY, _BATCH_DEFAULT) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH_KEY, ARROW_BYTES)
     if getattr(sc, _SHIPPED, False):
         return
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

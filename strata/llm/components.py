@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import drop_scratch, ship, written
 
-LOCAL_LINKS = 500_000
+LOCAL_LINKS = 200_000
 
 
 def _unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

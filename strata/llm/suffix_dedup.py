@@ -59,7 +59,7 @@ class _Codes(dict):
     """64-bit code of a word, remembered while the worker has room."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > 200_000:
             self.clear()
         code = self[word] = xxhash.xxh3_64_intdigest(word)
         return code
