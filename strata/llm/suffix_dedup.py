@@ -18,7 +18,8 @@ smaller id is removed, judged on the input.
    Sorted groups stream through a task in pieces of bounded memory.
 4. Prefixes shared by more suffixes are lengthened to the full ``WINDOW`` words
    of each window; such a suffix is a leaf run, of which only the smallest id
-   matters, so it is aggregated before the shuffle and joined back.
+   matters, so equal surroundings are aggregated before they are lengthened and
+   shuffled, and the result is joined back.
 
 Words are compared by 64-bit hashes, 13 in a row.
 
@@ -49,7 +50,7 @@ WINDOW = 13
 GRAM = 6
 #: Grams in a window, and so places an anchor can have in it.
 PLACES = WINDOW - GRAM + 1
-GROUP_ROWS = 4_000
+GROUP_ROWS = 20_000
 #: Sorted suffixes that a task looks at together (a whole group at least).
 STEP_ROWS = 60_000
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -112,13 +113,14 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["doc_id", "th", "n_words", "sha", "places", "grams", "cls"])
 
 
-SUFFIX = ("gram long, doc_id long, th long, place int, before int, words binary, most int, "
+SUFFIX = ("gram long, doc_id long, th long, places array<int>, before int, words binary, most int, "
           "n int")
 
 
 def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per live anchor: ``before`` words on its left, then its suffix, as word codes.
 
+    Anchors of one document with equal surroundings share a row, which has their ``places``.
     ``most`` has a bit for each number l of words before the anchor at which a
     window with this anchor begins; ``n`` suffixes share the anchor's gram.
     """
@@ -132,23 +134,23 @@ def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 g = grams_of(codes)
                 anchor = anchors_of(g)
                 live = live.values.to_numpy()
-                out[7] += shared.as_py()
                 first = np.searchsorted(anchor, live)       # anchors ascend with their windows
                 end = np.searchsorted(anchor, live, "right")
                 raw = codes.astype(">u8").tobytes()
-                for p, a, b in zip(live.tolist(), first.tolist(), end.tolist(), strict=True):
-                    out[0].append(int(g[p].view(np.int64)))
-                    out[1].append(doc)
-                    out[2].append(th)
-                    out[3].append(p)
-                    out[4].append(p - a)
-                    out[5].append(raw[8 * a:8 * (b - 1 + WINDOW)])
-                    out[6].append(sum(1 << (p - s) for s in range(a, b)))
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(),
+                rows: dict[tuple, list[int]] = {}
+                for p, a, b, n in zip(live.tolist(), first.tolist(), end.tolist(),
+                                      shared.as_py(), strict=True):
+                    rows.setdefault((p - a, raw[8 * a:8 * (b - 1 + WINDOW)],
+                                     sum(1 << (p - s) for s in range(a, b)), n), []).append(p)
+                for (before, words, most, n), places in rows.items():
+                    for k, v in enumerate((int(g[places[0]].view(np.int64)), doc, th, places,
+                                           before, words, most, n)):
+                        out[k].append(v)
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.int32(), pa.binary(),
                      pa.int32(), pa.int32()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x, t) for x, t in zip(out, types, strict=True)],
-                names=["gram", "doc_id", "th", "place", "before", "words", "most", "n"])
+                names=["gram", "doc_id", "th", "places", "before", "words", "most", "n"])
 
 
 def repeated_in(group: pa.Table) -> np.ndarray:
@@ -207,11 +209,10 @@ def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hit = np.flatnonzero(found)
         if not len(hit):
             return
-        place = table.column("place").to_numpy()[hit]
         for batch in pa.table({
                 "doc_id": table.column("doc_id").take(pa.array(hit)),
                 "th": table.column("th").take(pa.array(hit)),
-                "place": pa.array(place, pa.int32()),
+                "places": table.column("places").take(pa.array(hit)),
                 "windows": pa.array(found[hit], pa.int32())}).combine_chunks().to_batches():
             yield batch
 
@@ -233,22 +234,43 @@ def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Suffixes of hot prefixes, lengthened: one row per window, by a 128-bit hash of its words."""
+    """Distinct surroundings of hot anchors: one row per window, by a 128-bit hash of its words."""
     for batch in batches:
         out: list[list] = [[] for _ in range(5)]
-        for doc, th, p, before, words, most in zip(
+        for gram, around, doc, before, words, most in zip(
                 *[batch.column(c).to_pylist()
-                  for c in ("doc_id", "th", "place", "before", "words", "most")], strict=True):
+                  for c in ("gram", "around", "doc_id", "before", "words", "most")], strict=True):
             for l in range(PLACES):
                 if most >> l & 1:
                     a = 8 * (before - l)
-                    for k, v in enumerate((doc, th, p, 1 << l, xxhash.xxh3_128_digest(
+                    for k, v in enumerate((gram, around, doc, 1 << l, xxhash.xxh3_128_digest(
                             words[a:a + 8 * WINDOW]))):
                         out[k].append(v)
         yield pa.RecordBatch.from_arrays(
             [pa.array(x, t) for x, t in zip(
-                out, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)],
-            names=["doc_id", "th", "place", "windows", "key"])
+                out, (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)],
+            names=["gram", "around", "doc_id", "bit", "key"])
+
+
+def _hot(suffixes: DataFrame) -> DataFrame:
+    """Repeated windows at anchors whose prefix too many suffixes share.
+
+    Suffixes with equal surroundings are aggregated first, to their smallest id;
+    only distinct surroundings are lengthened to their windows.
+    """
+    hot = suffixes.withColumn("around", F.xxhash64("words", "before", "most"))
+    key = ["gram", "around"]
+    distinct = hot.groupBy(*key).agg(F.min("doc_id").alias("doc_id"), *[
+        F.first(c).alias(c) for c in ("before", "words", "most")])
+    windows = written(distinct.mapInArrow(
+        _windows, "gram long, around long, doc_id long, bit int, key binary"), "suffix-hot")
+    holder = windows.groupBy("key").agg(F.min("doc_id").alias("least"))
+    firsts = windows.join(holder, "key").groupBy(*key).agg(
+        F.collect_list(F.struct("bit", "least")).alias("firsts"))      # at most PLACES
+    late = F.aggregate(F.filter("firsts", lambda x: F.col("doc_id") > x["least"]), F.lit(0),
+                       lambda mask, x: mask + x["bit"])
+    return (hot.select("doc_id", "th", "places", *key).join(firsts, key)
+            .select("doc_id", "th", "places", late.alias("windows")).where("windows > 0"))
 
 
 def covered(n_words: int, places, windows) -> np.ndarray:
@@ -305,15 +327,12 @@ def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     tail = F.expr(f"substring(words, 8 * before + 1, {8 * WINDOW})")
     trees = (suffixes.where(F.col("n") <= GROUP_ROWS).withColumn("tail", tail)
              .repartition("gram").sortWithinPartitions("gram", "tail").drop("tail", "n")
-             .mapInArrow(_trees, "doc_id long, th long, place int, windows int"))
-    hot = (suffixes.where(F.col("n") > GROUP_ROWS)
-           .mapInArrow(_windows, "doc_id long, th long, place int, windows int, key binary"))
-    holder = hot.groupBy("key").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("last"))
-    late = (hot.join(holder.where("least < last"), "key").where("doc_id > least")
-            .select("doc_id", "th", "place", "windows"))
+             .mapInArrow(_trees, "doc_id long, th long, places array<int>, windows int"))
+    late = _hot(suffixes.where(F.col("n") > GROUP_ROWS))
     found = (trees.union(late).groupBy("doc_id", "th")
-             .agg(F.collect_list("place").alias("places"),
-                  F.collect_list("windows").alias("windows")))
+             .agg(F.flatten(F.collect_list("places")).alias("places"),
+                  F.flatten(F.collect_list(F.array_repeat("windows", F.size("places"))))
+                  .alias("windows")))
     found = written(found, "suffix-repeats")
     drop_scratch(suffixes)
     free_shuffles(spark)
