@@ -32,6 +32,7 @@ BRONZE_RUN_ID = "bronze-0001"
 
 NULL_YARD = "NATION_7"
 OLD_BEFORE = "1998-01-01"    # previous snapshot: rows dated before this day
+PENDING_YEAR = 9999
 NEW_FROM = "1997-01-01"      # new batch: rows dated from this day (one year overlaps)
 
 
@@ -39,8 +40,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def appointments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _dated(df: DataFrame, column: str, date_from: str | None, date_before: str | None) -> DataFrame:
+    if date_from is not None:
+        df = df.filter(df[column] >= F.lit(date_from).cast("timestamp_ntz"))
+    if date_before is not None:
+        df = df.filter(df[column] < F.lit(date_before).cast("timestamp_ntz"))
+    return df
+
+
+def appointments(spark: SparkSession, sf_dir: str, date_from: str | None = None,
+                 date_before: str | None = None) -> DataFrame:
     o, c, n = (table(spark, sf_dir, t) for t in ("orders", "customer", "nation"))
+    o = _dated(o, "o_orderdate", date_from, date_before)
     return (o.join(c, o.o_custkey == c.c_custkey)
             .join(n, c.c_nationkey == n.n_nationkey)
             .select(n.n_name.alias("YARD_NAME"),
@@ -48,8 +59,10 @@ def appointments(spark: SparkSession, sf_dir: str) -> DataFrame:
                     o.o_orderpriority.alias("CARRIER_NAME")))
 
 
-def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sales(spark: SparkSession, sf_dir: str, date_from: str | None = None,
+          date_before: str | None = None) -> DataFrame:
     li, s, n = (table(spark, sf_dir, t) for t in ("lineitem", "supplier", "nation"))
+    li = _dated(li, "l_shipdate", date_from, date_before)
     net = li.l_extendedprice * (1 - li.l_discount)
     return (li.join(s, li.l_suppkey == s.s_suppkey)
             .join(n, s.s_nationkey == n.n_nationkey)
@@ -118,11 +131,7 @@ def bronze_lineitem(spark: SparkSession, sf_dir: str, date_from: str | None = No
                     date_before: str | None = None) -> DataFrame:
     """Lineitem as a bronze table: every value text (dates as M/d/yyyy), return
     flag N as NULL, load time = ship date."""
-    li = table(spark, sf_dir, "lineitem")
-    if date_from is not None:
-        li = li.filter(li.l_shipdate >= F.lit(date_from).cast("timestamp_ntz"))
-    if date_before is not None:
-        li = li.filter(li.l_shipdate < F.lit(date_before).cast("timestamp_ntz"))
+    li = _dated(table(spark, sf_dir, "lineitem"), "l_shipdate", date_from, date_before)
     return li.select(
         li.l_orderkey.cast("string").alias("L_ORDERKEY"),
         li.l_linenumber.cast("string").alias("L_LINENUMBER"),
@@ -168,9 +177,10 @@ def silver_lineitem_schema() -> StructType:
     ])
 
 
-def orders_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+def orders_snapshot(spark: SparkSession, sf_dir: str, by_year: bool = False) -> DataFrame:
     """Previous silver snapshot of orders (dated before OLD_BEFORE), with a
-    target-only NOTE column, a NULL customer for customer 0, previous audit."""
+    target-only NOTE column, a NULL customer for customer 0, previous audit;
+    ``by_year`` adds the year of the order, to partition by."""
     o = table(spark, sf_dir, "orders")
     o = o.filter(o.o_orderdate < F.lit(OLD_BEFORE).cast("timestamp_ntz"))
     ts = F.lit(PREV_RUN_TS).cast("timestamp")
@@ -182,11 +192,13 @@ def orders_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
         o.o_totalprice.alias("TOTAL_PRICE"),
         F.concat(F.lit("v1-"), o.o_orderstatus).alias("NOTE"),
         F.lit(PREV_RUN_ID).alias("ADDED_BY"), ts.alias("ADDED_ON"),
-        F.lit(PREV_RUN_ID).alias("MODIFIED_BY"), ts.alias("MODIFIED_ON"))
+        F.lit(PREV_RUN_ID).alias("MODIFIED_BY"), ts.alias("MODIFIED_ON"),
+        *([F.year(o.o_orderdate).alias("ORDER_YEAR")] if by_year else []))
 
 
-def orders_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """New orders batch (dated from NEW_FROM) with changed values."""
+def orders_batch(spark: SparkSession, sf_dir: str, by_year: bool = False) -> DataFrame:
+    """New orders batch (dated from NEW_FROM) with changed values; with
+    ``by_year`` orders in process move to the year PENDING_YEAR."""
     o = table(spark, sf_dir, "orders")
     o = o.filter(o.o_orderdate >= F.lit(NEW_FROM).cast("timestamp_ntz"))
     return o.select(
@@ -194,4 +206,6 @@ def orders_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.nullif(o.o_custkey, F.lit(0)).alias("CUST_KEY"),
         F.when(o.o_orderstatus == "O", F.lit("F")).otherwise(o.o_orderstatus).alias("STATUS"),
         o.o_orderpriority.alias("PRIORITY"),
-        (o.o_totalprice + 1).alias("TOTAL_PRICE"))
+        (o.o_totalprice + 1).alias("TOTAL_PRICE"),
+        *([F.when(o.o_orderstatus == "P", F.lit(PENDING_YEAR)).otherwise(F.year(o.o_orderdate))
+           .alias("ORDER_YEAR")] if by_year else []))

@@ -8,6 +8,7 @@ from strata.operators.joins import broadcast_if_small, left_join_fanout, left_jo
 from strata.operators.keys import stable_keys, surrogate_key
 from strata.operators.load import (append, full_reload, upsert, upsert_actions, upsert_counts,
                                    write_table)
+from strata.operators.partitioned import upsert_partitioned
 
 __all__ = [
     "add_column_at", "cast_by_mapping", "conform_to_schema", "fill_nulls",
@@ -15,5 +16,5 @@ __all__ = [
     "dedupe_any", "dedupe_latest", "broadcast_if_small", "left_join_fanout",
     "left_join_unique", "stable_keys", "surrogate_key",
     "append", "full_reload", "upsert", "upsert_actions",
-    "upsert_counts", "write_table",
+    "upsert_counts", "upsert_partitioned", "write_table",
 ]

@@ -88,6 +88,62 @@ def _li_cols(alias: str) -> str:
     return ", ".join(f"{alias}.{c.strip()}" for c in LI_COLS.split(","))
 
 
+def _stable(previous: str, batch: str, columns: str, natural: list[str], key: str,
+            order: str) -> str:
+    """Rows of a table keyed by ``k``, upserted with a batch under stable keys (CTEs, then rows)."""
+    same = " AND ".join(f"pn.{c} IS NOT DISTINCT FROM bn.{c}" for c in [*natural, "n"])
+    by = f"PARTITION BY {', '.join(natural)}"
+    cols = [c.strip() for c in columns.split(",")]
+    new = ", ".join(f"coalesce(bn.{c}, pn.{c}) AS {c}" for c in cols)
+    return f"""pn AS (SELECT *, row_number() OVER ({by} ORDER BY k) AS n FROM ({previous})),
+        bn AS (SELECT *, row_number() OVER ({by}) AS n FROM ({batch}))
+        SELECT CAST(k AS INTEGER) AS {key}, {new}, {PREV} AS ADDED_BY, {PREV_TS} AS ADDED_ON,
+               CASE WHEN bn.n IS NULL THEN {PREV} ELSE {RUN} END AS MODIFIED_BY,
+               CASE WHEN bn.n IS NULL THEN {PREV_TS} ELSE {RUN_TS} END AS MODIFIED_ON
+          FROM pn LEFT JOIN bn ON {same}
+        UNION ALL
+        SELECT CAST((SELECT max(k) FROM pn) + row_number() OVER (ORDER BY {order}) AS INTEGER),
+               {columns}, {RUN}, {RUN_TS}, {RUN}, {RUN_TS}
+          FROM (SELECT bn.* FROM bn ANTI JOIN pn ON {same})"""
+
+
+def _nulls_first(columns) -> str:
+    return ", ".join(f"{c} NULLS FIRST" for c in columns)
+
+
+def _copied(where: str) -> str:
+    rows = f"SELECT * FROM ({APPOINTMENTS} WHERE o.o_orderdate {where})"
+    return f"{rows} UNION ALL {rows} WHERE CARRIER_NAME = '1-URGENT'"
+
+
+DIM_KEYS = ["YARD_NAME", "SALES_ORDER_ID", "CARRIER_NAME"]
+DIM_INCREMENTAL = "WITH " + _stable(
+    f"""SELECT *, row_number() OVER (ORDER BY {_nulls_first(DIM_KEYS)}) AS k
+        FROM ({_copied(f"< TIMESTAMP '{A.OLD_BEFORE}'")})""",
+    _copied(f">= TIMESTAMP '{A.NEW_FROM}'"), ", ".join(DIM_KEYS), DIM_KEYS,
+    "APPOINTMENT_DATA_KEY", _nulls_first(DIM_KEYS))
+
+
+def _fact(where: str) -> str:
+    return f"""SELECT s.*, one.APPOINTMENT_DATA_KEY FROM ({SALES} WHERE l.l_shipdate {where}) s
+        LEFT JOIN one ON s.YARD = one.YARD_NAME"""
+
+
+FACT_KEYS = ["YARD_ID", "YARD_KEY", "COMMODITY_NAME", "PRICE", "SELL_PRICE", "INVOICE_TOTAL"]
+FACT_GOLD = """YARD_ID, CAST(YARD_KEY AS INTEGER) AS YARD_KEY, APPOINTMENT_DATA_KEY, COMMODITY_NAME,
+        CAST(PRICE AS FLOAT) AS PRICE, CAST(SELL_PRICE AS FLOAT) AS SELL_PRICE,
+        CAST(INVOICE_TOTAL AS FLOAT) AS INVOICE_TOTAL"""
+FACT_INCREMENTAL = f"""WITH {DIM},
+        one AS (SELECT YARD_NAME, CAST(min(APPOINTMENT_DATA_KEY) AS INTEGER) AS APPOINTMENT_DATA_KEY
+          FROM dim WHERE YARD_NAME IS NOT NULL GROUP BY YARD_NAME), """ + _stable(
+    f"""SELECT {FACT_GOLD}, row_number() OVER ({SALES_ORDER}) AS k
+        FROM ({_fact(f"< TIMESTAMP '{A.OLD_BEFORE}'")})""",
+    f"""SELECT {FACT_GOLD} FROM ({_fact(f">= TIMESTAMP '{A.NEW_FROM}'")})""",
+    "YARD_ID, YARD_KEY, APPOINTMENT_DATA_KEY, COMMODITY_NAME, PRICE, SELL_PRICE, INVOICE_TOTAL",
+    FACT_KEYS, "SALES_KEY", _nulls_first([*FACT_KEYS[:3], "APPOINTMENT_DATA_KEY", *FACT_KEYS[3:]]))
+
+ORDER_YEAR = "year(o_orderdate)"
+
 ORACLE: dict[str, str] = {
     # sources
     "table_scan": "SELECT * FROM customer",
@@ -130,6 +186,24 @@ ORACLE: dict[str, str] = {
         UNION ALL
         SELECT s.*, {RUN}, {RUN_TS}, {RUN}, {RUN_TS}
           FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE s.ORDER_KEY = t.ORDER_KEY)""",
+    "upsert_partitioned": f"""WITH
+        t AS (SELECT o_orderkey AS ORDER_KEY, NULLIF(o_custkey, 0) AS CUST_KEY,
+            o_orderstatus AS STATUS, o_orderpriority AS PRIORITY, o_totalprice AS TOTAL_PRICE,
+            'v1-' || o_orderstatus AS NOTE, CAST({ORDER_YEAR} AS INTEGER) AS ORDER_YEAR
+          FROM orders WHERE o_orderdate < TIMESTAMP '{A.OLD_BEFORE}'),
+        s AS (SELECT o_orderkey AS ORDER_KEY, NULLIF(o_custkey, 0) AS CUST_KEY,
+            CASE WHEN o_orderstatus = 'O' THEN 'F' ELSE o_orderstatus END AS STATUS,
+            o_orderpriority AS PRIORITY, o_totalprice + 1 AS TOTAL_PRICE,
+            CAST(CASE WHEN o_orderstatus = 'P' THEN {A.PENDING_YEAR} ELSE {ORDER_YEAR} END
+                 AS INTEGER) AS ORDER_YEAR
+          FROM orders WHERE o_orderdate >= TIMESTAMP '{A.NEW_FROM}')
+        SELECT t.*, {PREV} AS ADDED_BY, {PREV_TS} AS ADDED_ON, {PREV} AS MODIFIED_BY,
+               {PREV_TS} AS MODIFIED_ON FROM t ANTI JOIN s ON s.ORDER_KEY = t.ORDER_KEY
+        UNION ALL
+        SELECT s.ORDER_KEY, s.CUST_KEY, s.STATUS, s.PRIORITY, s.TOTAL_PRICE, t.NOTE, s.ORDER_YEAR,
+               CASE WHEN t.ORDER_KEY IS NULL THEN {RUN} ELSE {PREV} END,
+               CASE WHEN t.ORDER_KEY IS NULL THEN {RUN_TS} ELSE {PREV_TS} END, {RUN}, {RUN_TS}
+          FROM s LEFT JOIN t ON s.ORDER_KEY = t.ORDER_KEY""",
     "load_metrics": f"""WITH {ORDERS_T}, {ORDERS_S}
         SELECT 'kept' AS action, count(*) AS row_count
           FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE {COMPOSITE})
@@ -273,6 +347,8 @@ ORACLE: dict[str, str] = {
     "dim_appointment": f"""WITH {DIM}
         SELECT CAST(APPOINTMENT_DATA_KEY AS INTEGER) AS APPOINTMENT_DATA_KEY, YARD_NAME,
         SALES_ORDER_ID, CARRIER_NAME, {AUDIT_RUN} FROM dim""",
+    "dim_appointment_incremental": DIM_INCREMENTAL,
+    "fact_sales_incremental": FACT_INCREMENTAL,
     "fact_sales": f"""WITH {SALES_JOINED}
         SELECT CAST(row_number() OVER ({SALES_ORDER}) AS INTEGER) AS SALES_KEY, YARD_ID,
           CAST(YARD_KEY AS INTEGER) AS YARD_KEY, APPOINTMENT_DATA_KEY, COMMODITY_NAME,

@@ -8,7 +8,8 @@ from pyspark.sql.types import LongType, StructField, StructType
 from strata.operators.conform import conform_to_schema, select_alias, with_audit
 from strata.operators.joins import left_join_fanout, left_join_unique
 from strata.operators.keys import stable_keys, surrogate_key
-from strata.schemas import GOLD_DIM_APPOINTMENT, GOLD_FACT_SALES
+from strata.operators.load import upsert
+from strata.schemas import AUDIT_COLUMNS, GOLD_DIM_APPOINTMENT, GOLD_FACT_SALES
 
 
 def _keyed_schema(schema: StructType, key_type: str) -> StructType:
@@ -20,6 +21,21 @@ def _keyed_schema(schema: StructType, key_type: str) -> StructType:
                        for f in schema.fields])
 
 
+def _upsert_keyed(rows: DataFrame, existing: DataFrame, schema: StructType, key: str,
+                  natural_keys, order_by, key_type: str, run_id: str, run_ts,
+                  on_error: str) -> DataFrame:
+    """``existing`` with ``rows`` upserted under stable keys: a row found there by its natural
+    keys (one to one, NULL-safe) keeps its key and ``ADDED_*``, other rows get new keys, and
+    rows that vanished stay as they are."""
+    attributes = StructType([f for f in schema.fields if f.name not in (key, *AUDIT_COLUMNS)])
+    # fitted first, so both sides are compared in the stored types
+    batch = conform_to_schema(rows, attributes, on_error=on_error)
+    keyed = stable_keys(batch, existing.select(*natural_keys, key), natural_keys, key, order_by,
+                        key_type=key_type, keep_vanished=False)
+    return conform_to_schema(upsert(existing, keyed, key, run_id, run_ts), schema,
+                             on_error=on_error)
+
+
 def dim_appointment(appointments: DataFrame, run_id: str, run_ts=None,
                     on_error: str = "fail", existing: DataFrame | None = None,
                     key_type: str = "int", unique_by=None) -> DataFrame:
@@ -27,27 +43,26 @@ def dim_appointment(appointments: DataFrame, run_id: str, run_ts=None,
     yard order (ties broken by the other columns); audit; strict fit.
 
     With ``existing`` (the current dimension), rows already there keep their
-    key (matched one to one on all three attributes, NULL-safe), rows that
-    vanished from the source stay, and new rows are numbered from its largest
-    key + 1, so keys stay stable across runs. ``key_type="bigint"`` is for more
+    key and ``ADDED_*`` (matched one to one on all three attributes,
+    NULL-safe), rows that vanished from the source stay unchanged, and new rows
+    are numbered from its largest key + 1, so keys stay stable across runs. ``key_type="bigint"`` is for more
     than 2**31-1 rows; ``unique_by`` as in :func:`surrogate_key`.
     """
     dim = select_alias(appointments, ["YARD_NAME", ("SALES_ORDER_TICKET_ID", "SALES_ORDER_ID"),
                                       "CARRIER_NAME"])
-    if existing is None:
-        dim = surrogate_key(dim, ["YARD_NAME"], "APPOINTMENT_DATA_KEY", key_type=key_type,
-                            unique_by=unique_by)
-    else:
-        dim = stable_keys(dim, existing, ["YARD_NAME", "SALES_ORDER_ID", "CARRIER_NAME"],
-                          "APPOINTMENT_DATA_KEY", ["YARD_NAME"], key_type=key_type)
-    dim = with_audit(dim, run_id, run_ts)
-    return conform_to_schema(dim, _keyed_schema(GOLD_DIM_APPOINTMENT, key_type),
-                             on_error=on_error)
+    schema = _keyed_schema(GOLD_DIM_APPOINTMENT, key_type)
+    if existing is not None:
+        return _upsert_keyed(dim, existing, schema, "APPOINTMENT_DATA_KEY",
+                             ["YARD_NAME", "SALES_ORDER_ID", "CARRIER_NAME"], ["YARD_NAME"],
+                             key_type, run_id, run_ts, on_error)
+    dim = surrogate_key(dim, ["YARD_NAME"], "APPOINTMENT_DATA_KEY", key_type=key_type,
+                        unique_by=unique_by)
+    return conform_to_schema(with_audit(dim, run_id, run_ts), schema, on_error=on_error)
 
 
 def fact_sales(sales: DataFrame, dimension: DataFrame, run_id: str, run_ts=None,
                lookup: str = "unique", on_error: str = "fail", key_type: str = "int",
-               unique_by=None) -> DataFrame:
+               unique_by=None, existing: DataFrame | None = None) -> DataFrame:
     """Sales with the appointment key of their yard, a dense sales key in
     ``YARD_ID, YARD_KEY, COMMODITY_NAME`` order (ties broken by the other
     columns), audit, strict fit (``YARD`` is dropped).
@@ -56,7 +71,10 @@ def fact_sales(sales: DataFrame, dimension: DataFrame, run_id: str, run_ts=None,
     so sales never multiply; ``"fanout"`` joins every appointment of the yard,
     as a plain left join on a non-unique dimension would: its output has the
     product of a yard's sales and appointments, so it is for small yards only.
-    ``key_type`` and ``unique_by`` as in :func:`dim_appointment`.
+    ``key_type`` and ``unique_by`` as in :func:`dim_appointment`. With
+    ``existing`` (the current fact) the sales are upserted into it: one found
+    there (all attributes but the appointment key equal, one to one) keeps its
+    sales key, others get new ones, and sales no longer in the source stay.
     """
     s = select_alias(sales, ["YARD_ID", "YARD_KEY", "COMMODITY_NAME", "PRICE", "SELL_PRICE",
                              "INVOICE_TOTAL", "YARD"])
@@ -66,7 +84,11 @@ def fact_sales(sales: DataFrame, dimension: DataFrame, run_id: str, run_ts=None,
         joined = left_join_fanout(s, dimension, ["YARD"], ["YARD_NAME"], ["APPOINTMENT_DATA_KEY"])
     else:
         raise ValueError("lookup must be 'unique' or 'fanout'")
-    keyed = surrogate_key(joined, ["YARD_ID", "YARD_KEY", "COMMODITY_NAME"], "SALES_KEY",
-                          key_type=key_type, unique_by=unique_by)
-    keyed = with_audit(keyed, run_id, run_ts)
-    return conform_to_schema(keyed, _keyed_schema(GOLD_FACT_SALES, key_type), on_error=on_error)
+    order = ["YARD_ID", "YARD_KEY", "COMMODITY_NAME"]
+    schema = _keyed_schema(GOLD_FACT_SALES, key_type)
+    if existing is not None:
+        return _upsert_keyed(joined, existing, schema, "SALES_KEY",
+                             [*order, "PRICE", "SELL_PRICE", "INVOICE_TOTAL"], order,
+                             key_type, run_id, run_ts, on_error)
+    keyed = surrogate_key(joined, order, "SALES_KEY", key_type=key_type, unique_by=unique_by)
+    return conform_to_schema(with_audit(keyed, run_id, run_ts), schema, on_error=on_error)

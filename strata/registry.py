@@ -21,11 +21,13 @@ from strata.functions import (cast_to, normalize_headers, parse_date_ladder,
                               parse_zoned_timestamp, try_cast_by_type)
 from strata.mapping import ColumnMapping, mapping_frame
 from strata.operators import (add_column_at, append, cast_by_mapping, conform_to_schema,
-                              dedupe_any, dedupe_latest, fill_nulls,
+                              dedupe_any, dedupe_latest, fill_nulls, full_reload,
                               left_join_fanout, left_join_unique, project_to_target,
                               rename_by_mapping, select_alias, stable_keys, surrogate_key,
-                              upsert, upsert_actions, upsert_counts, with_audit, write_table)
+                              upsert, upsert_actions, upsert_counts, upsert_partitioned,
+                              with_audit, write_table)
 from strata.plans import bronze_load, dim_appointment, fact_sales, silver_load
+from strata.schemas import AUDIT_COLUMNS, GOLD_DIM_APPOINTMENT
 from strata.session import scratch_path
 from strata.sources import (filter_active, scan_csv, scan_csv_folder, scan_csv_inferred,
                             scan_table, sql_view_scan)
@@ -80,14 +82,24 @@ def q_full_reload_silver(spark, sf):
     snap = silver_load(A.bronze_lineitem(spark, sf), mapping, A.LINEITEM_KEYS, A.RUN_ID,
                        A.RUN_TS, full_load=True, target_schema=A.silver_lineitem_schema())
     path = scratch_path(spark, "silver-reload")
+    lines = T(spark, sf, "lineitem")                # what the reload replaces
+    other = with_audit(lines.select(lines.l_orderkey.alias("ORDER_KEY"),
+                                    lines.l_linenumber.alias("LINE_NUMBER")),
+                       A.PREV_RUN_ID, A.PREV_RUN_TS)
+    write_table(conform_to_schema(other, A.silver_lineitem_schema(), missing="null"), path)
     write_table(snap, path)
     return spark.read.parquet(path)
 
 
 def q_full_reload_gold(spark, sf):
-    dim = dim_appointment(A.appointments(spark, sf), A.RUN_ID, A.RUN_TS)
     path = scratch_path(spark, "gold-reload")
-    write_table(dim, path)
+    other = A.appointments(spark, sf).select(       # what the reload replaces
+        F.lit(0).alias("APPOINTMENT_DATA_KEY"), "YARD_NAME",
+        F.col("SALES_ORDER_TICKET_ID").alias("SALES_ORDER_ID"), "CARRIER_NAME")
+    write_table(full_reload(other, A.PREV_RUN_ID, A.PREV_RUN_TS, GOLD_DIM_APPOINTMENT), path)
+    dim = dim_appointment(A.appointments(spark, sf), A.PREV_RUN_ID, A.PREV_RUN_TS)
+    write_table(full_reload(dim.drop(*AUDIT_COLUMNS), A.RUN_ID, A.RUN_TS, GOLD_DIM_APPOINTMENT),
+                path)
     return spark.read.parquet(path)
 
 
@@ -101,6 +113,14 @@ def q_upsert_gold(spark, sf):
     return upsert(target, A.orders_batch(spark, sf), "ORDER_KEY", A.RUN_ID, A.RUN_TS)
 
 
+def q_upsert_partitioned(spark, sf):
+    path = scratch_path(spark, "orders-by-year")
+    write_table(A.orders_snapshot(spark, sf, by_year=True), path, partition_by="ORDER_YEAR")
+    upsert_partitioned(spark, path, A.orders_batch(spark, sf, by_year=True), "ORDER_KEY",
+                       "ORDER_YEAR", A.RUN_ID, A.RUN_TS)
+    return spark.read.parquet(path)
+
+
 def q_load_metrics(spark, sf):
     snap = upsert(A.orders_snapshot(spark, sf), A.orders_batch(spark, sf), "CUST_KEY, ORDER_KEY",
                   A.RUN_ID, A.RUN_TS, with_action=True)
@@ -436,6 +456,34 @@ def q_dim_appointment(spark, sf):
     return dim_appointment(A.appointments(spark, sf), A.RUN_ID, A.RUN_TS)
 
 
+def _with_copies(appointments):
+    """Urgent appointments twice: exact copies are rows of their own."""
+    return appointments.unionByName(appointments.filter(F.col("CARRIER_NAME") == "1-URGENT"))
+
+
+def _stored(spark, df, label):
+    path = scratch_path(spark, label)
+    write_table(df, path)
+    return spark.read.parquet(path)
+
+
+def q_dim_appointment_incremental(spark, sf):
+    # appointments before the batch's first day have vanished from the source
+    previous = dim_appointment(_with_copies(A.appointments(spark, sf, date_before=A.OLD_BEFORE)),
+                               A.PREV_RUN_ID, A.PREV_RUN_TS)
+    return dim_appointment(_with_copies(A.appointments(spark, sf, date_from=A.NEW_FROM)),
+                           A.RUN_ID, A.RUN_TS, existing=_stored(spark, previous, "gold-dim"))
+
+
+def q_fact_sales_incremental(spark, sf):
+    dim = _stored(spark, dim_appointment(A.appointments(spark, sf), A.PREV_RUN_ID, A.PREV_RUN_TS),
+                  "gold-dim")
+    previous = fact_sales(A.sales(spark, sf, date_before=A.OLD_BEFORE), dim, A.PREV_RUN_ID,
+                          A.PREV_RUN_TS)
+    return fact_sales(A.sales(spark, sf, date_from=A.NEW_FROM), dim, A.RUN_ID, A.RUN_TS,
+                      existing=_stored(spark, previous, "gold-fact"))
+
+
 def q_fact_sales(spark, sf):
     # the dimension is loaded first and the fact reads the stored table
     dim_path = scratch_path(spark, "gold-dim")
@@ -457,6 +505,7 @@ QUERIES: dict[str, Query] = {
     "full_reload_gold": q_full_reload_gold,
     "upsert_silver": q_upsert_silver,
     "upsert_gold": q_upsert_gold,
+    "upsert_partitioned": q_upsert_partitioned,
     "load_metrics": q_load_metrics,
     "incremental_ingest": q_incremental_ingest,
     "evolve_add_column": q_evolve_add_column,
@@ -508,4 +557,6 @@ QUERIES: dict[str, Query] = {
     "silver_load": q_silver_load,
     "dim_appointment": q_dim_appointment,
     "fact_sales": q_fact_sales,
+    "dim_appointment_incremental": q_dim_appointment_incremental,
+    "fact_sales_incremental": q_fact_sales_incremental,
 }
