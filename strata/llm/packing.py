@@ -171,7 +171,8 @@ def _pack(vocabulary: str, window: int):
 def pack(docs: DataFrame, window: int = WINDOW, vocabulary: str = BYTE_BPE) -> DataFrame:
     """One row per piece: where in its document, where in which sequence."""
     ship(docs.sparkSession)
-    ordered = (documents(docs).repartitionByRange("doc_id")
-               .sortWithinPartitions("doc_id", F.length("text"), "text"))
+    # the hash splits an id (or null) that many rows share
+    order = ("doc_id", F.xxhash64("text"))
+    ordered = documents(docs).repartitionByRange(*order).sortWithinPartitions(*order, "text")
     made = ordered.mapInArrow(_pack(vocabulary, window), SCHEMA)
     return made.select(shown_id(), *[c for c in made.columns if c != "doc_id"])
