@@ -6,14 +6,22 @@ each. Equal lines fold into one id first. Every distinct line gets ``BANDS``
 bands of ``ROWS`` minima; at Jaccard 0.8 a pair shares a band with probability
 0.995, and more above. Lines of a band are candidates: each is paired with its
 bucket's smallest line and the two before it in order, which are all pairs of
-up to four lines and a well connected chain of more, never the square of a hot
-bucket. Candidates whose exact Jaccard similarity reaches ``SIMILARITY`` are
-united; of each component the line that occurs first, by (doc_id, line number),
-stays, and every other occurrence is removed.
+up to ``ALL_PAIRS`` lines and a well connected chain of more. Candidates whose
+exact Jaccard similarity reaches ``SIMILARITY`` are united.
+
+The lines of larger buckets are crowded: an exact prefix-filter join finds every
+other similar pair of them. Each line's shingles are put in one order, rare ones
+first; a similar pair shares one among the first of both, and its positions
+bound what else the two can share. Pairs that the chains have united are left
+out, so a dense group is not squared, and a shingle of many lines is salted in
+two dimensions.
+
+Of each component the line that occurs first, by (doc_id, line number), stays,
+and every other occurrence is removed.
 
 A bucket's rows are range-partitioned by (band, line), so a bucket of any size
 is spread over partitions; the fragments, two per partition at most, are
-stitched by further candidates.
+stitched by further candidates, and their lines count as crowded.
 
 Edge cases: shorter lines always stay; null and empty texts have no lines to
 remove; a null id is the largest; repeated rows keep and lose the same lines;
@@ -23,6 +31,7 @@ no rows give no rows. Line ids are 64-bit hashes of whole lines.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,6 +52,12 @@ SIMILARITY = 0.8
 BANDS, ROWS = 10, 4
 SPACE = b" \t\n\x0b\x0c\r"
 STEP_BYTES = 400_000
+#: Lines of a bucket up to which the chain is all pairs.
+ALL_PAIRS = 4
+#: Counters that approximate how many crowded lines have a shingle; bounds what the driver holds.
+SLOTS = 1 << 18
+#: Lines with one shingle that are compared in one cell; more are salted.
+CELL = 1000
 _RANDOM = np.random.default_rng(20240229)
 _XOR = _RANDOM.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
 _MULTIPLY = _RANDOM.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
@@ -127,11 +142,16 @@ def _explode_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a partition sorted by (band, line); its edge buckets as (band, first, last)."""
+    """Pairs of a partition sorted by (band, line); its edge buckets as (band, first, last).
+
+    A line of a bucket with more than ``ALL_PAIRS`` lines here is also paired with itself.
+    """
     # of the bucket at hand: band, its first line here, the last two; whether it began the partition
     band = first = None
     last: list[int] = []
     opening = True
+    # its lines so far, and the first of them
+    size, early = 0, np.empty(0, np.int64)
 
     def out(a, b, kind, bands=None):
         return pa.RecordBatch.from_arrays(
@@ -166,6 +186,17 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if a.size:
             pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
             yield out(pairs[:, 0], pairs[:, 1], 0)
+        counts = np.add.reduceat(fresh_rows, new, dtype=np.int64)
+        counts[0] += size
+        crowded = lines[fresh_rows & np.repeat(counts > ALL_PAIRS, np.diff(np.append(new, len(bands))))]
+        if counts[0] > ALL_PAIRS >= size:
+            crowded = np.concatenate([early, crowded])
+        if crowded.size:
+            crowded = np.unique(crowded)
+            yield out(crowded, crowded, 0)
+        here = lines[new[-1]:][fresh_rows[new[-1]:]]
+        early = (np.concatenate([early, here]) if len(new) == 1 else here)[:ALL_PAIRS]
+        size = int(counts[-1])
         if opening and len(new) > 1:
             yield out([lines[0]], [lines[new[1] - 1]], 1, [int(bands[0])])
             opening = False
@@ -197,6 +228,91 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [batch.column("a").filter(mask), batch.column("b").filter(mask)], names=["a", "b"])
 
 
+def _slots(grams: np.ndarray) -> np.ndarray:
+    return ((grams * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64) % SLOTS
+
+
+def _slot_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(SLOTS, np.int64)
+    for batch in batches:
+        for body in batch.column("body").to_pylist():
+            np.add.at(total, _slots(shingles(body)), 1)
+    slot = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(total[slot])], names=["slot", "n"])
+
+
+def _beyond(share: float, size: int) -> int:
+    """How many of ``size`` ordered shingles must be looked at if ``share`` of them are shared."""
+    return size - math.ceil(share * size - 1e-9) + 1
+
+
+def _prefixes(counts: np.ndarray):
+    """The first shingles of each line, rare ones first, and their positions.
+
+    The larger line of a similar pair (``probe``) has a shared one among its
+    first ``_beyond(SIMILARITY)``, the smaller (``index``) among fewer.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "body", STEP_BYTES):
+                gram, sizes, lengths, index = [], [], [], []
+                for body in part.column("body").to_pylist():
+                    g = shingles(body)
+                    n = _beyond(SIMILARITY, g.size)
+                    gram.append(g[np.lexsort((g, counts[_slots(g)]))[:n]])
+                    sizes.append(g.size)
+                    lengths.append(n)
+                    index.append(_beyond(2 * SIMILARITY / (1 + SIMILARITY), g.size))
+                lengths = np.array(lengths)
+                at = np.concatenate([np.arange(n) for n in lengths])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(gram).view(np.int64)),
+                     pa.array(np.repeat(part.column("line").to_numpy(), lengths)),
+                     pa.array(np.repeat(part.column("component").to_numpy(), lengths)),
+                     pa.array(np.repeat(sizes, lengths).astype(np.int32)),
+                     pa.array(at.astype(np.int32)),
+                     pa.array(at < np.repeat(index, lengths))],
+                    names=["gram", "line", "component", "size", "at", "index"])
+    return run
+
+
+def crowded_pairs(lines: DataFrame) -> DataFrame:
+    """(a, b): pairs of ``lines`` (line, body, component) that may be similar.
+
+    Every similar pair of two components is among them.
+    """
+    spark = lines.sparkSession
+    counted = lines.select("body").mapInArrow(_slot_counts, "slot long, n long").groupBy(
+        "slot").agg(F.sum("n").alias("n")).toPandas()
+    counts = np.zeros(SLOTS, np.uint16)
+    counts[counted["slot"].to_numpy(np.int64)] = np.minimum(counted["n"].to_numpy(np.int64), 65535)
+    every = written(lines.select("line", "body", "component").mapInArrow(
+        _prefixes(counts),
+        "gram long, line long, component long, size int, at int, index boolean"), "line-prefixes")
+    # a shingle of one component leads to no new pair
+    shared = every.groupBy("gram").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"),
+        F.ceil(F.count("*") / F.lit(CELL)).cast("int").alias("salts")).where("lo < hi")
+    rows = written(every.join(shared.select("gram", "salts"), "gram"), "line-shared")
+    drop_scratch(every)
+    free_shuffles(spark)
+    own = F.pmod(F.xxhash64("line"), F.col("salts")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("salts") - 1))
+    x = rows.select("gram", own.alias("i"), other.alias("j"), F.col("line").alias("b"),
+                    F.col("component").alias("cx"), F.col("size").alias("nx"),
+                    F.col("at").alias("px"))
+    y = rows.where("index").select("gram", own.alias("j"), other.alias("i"), F.col("line").alias("a"),
+                                   F.col("component").alias("cy"), F.col("size").alias("ny"),
+                                   F.col("at").alias("py"))
+    t = SIMILARITY
+    # at the first shared shingle no more than what follows can be shared
+    may = ("cx <> cy AND (ny < nx OR ny = nx AND a < b) "
+           f"AND ny >= {t}D * nx - 1e-6D "
+           f"AND least(nx - px, ny - py) >= {t / (1 + t)!r}D * (nx + ny) - 1e-6D")
+    return (x.join(y, ["gram", "i", "j"]).where(may)
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch):
@@ -210,6 +326,14 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return documents(docs).withColumn("th", F.xxhash64("text"))
 
 
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The (a, b) of ``pairs`` that are similar; ``texts`` has the body of each line."""
+    both = (pairs.join(texts.select(F.col("line").alias("a"), F.col("body").alias("s")), "a")
+            .join(texts.select(F.col("line").alias("b"), F.col("body").alias("t")), "b")
+            .select("a", "b", "s", "t"))
+    return both.mapInArrow(_similar, "a long, b long")
+
+
 def similar_lines(docs: DataFrame) -> DataFrame:
     """(a, b): verified links between ids of distinct lines."""
     spark = docs.sparkSession
@@ -234,18 +358,30 @@ def similar_lines(docs: DataFrame) -> DataFrame:
         F.struct(F.col("last").alias("x"), F.col("most").alias("y")))).alias("p"))
         .select(F.least("p.x", "p.y").alias("a"), F.greatest("p.x", "p.y").alias("b"))
         .where("a <> b"))
-    pairs = written(found.where("edge = 0").select("a", "b").union(joined).distinct(),
+    pairs = written(found.where("edge = 0 AND a <> b").select("a", "b").union(joined).distinct(),
                     "line-pairs")
+    crowded = found.where("edge = 0 AND a = b").select(F.col("a").alias("line"))
+    if not stitched.isEmpty():
+        crowded = crowded.union(distinct.mapInArrow(_explode_keys, "band long, line long").join(
+            F.broadcast(ahead.where("n > 1")), "band", "left_semi").select("line"))
+    crowded = written(crowded.distinct(), "line-crowded")
     drop_scratch(distinct)
     free_shuffles(spark)
     wanted = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "line")
     texts = written(d.mapInArrow(_texts, "line long, body binary").join(wanted, "line", "left_semi")
                     .dropDuplicates(["line"]), "line-texts")
     free_shuffles(spark)
-    both = (pairs.join(texts.select(F.col("line").alias("a"), F.col("body").alias("s")), "a")
-            .join(texts.select(F.col("line").alias("b"), F.col("body").alias("t")), "b")
-            .select("a", "b", "s", "t"))
-    return written(both.mapInArrow(_similar, "a long, b long"), "line-links")
+    links = written(_verified(pairs, texts), "line-links")
+    if crowded.isEmpty():
+        return links
+    among = (links.join(crowded.toDF("a"), "a", "left_semi")
+             .join(crowded.toDF("b"), "b", "left_semi").select("a", "b"))
+    united = components(among)
+    lines = written(crowded.join(texts, "line").join(united, F.col("line") == F.col("node"), "left")
+                    .select("line", "body", F.coalesce("component", "line").alias("component")),
+                    "line-crowded-texts")
+    free_shuffles(spark)
+    return links.union(written(_verified(crowded_pairs(lines), lines), "line-links"))
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
