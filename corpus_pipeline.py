@@ -21,8 +21,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without lines that are similar to an earlier one."""
-    return line_dedup.drop_lines(docs)
+    """All documents, without lines that are similar to an earlier one; short ones: equal."""
+    return line_dedup.drop_lines(docs, short_copies=True)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

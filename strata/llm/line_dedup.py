@@ -23,8 +23,10 @@ A bucket's rows are range-partitioned by (band, line), so a bucket of any size
 is spread over partitions; the fragments, two per partition at most, are
 stitched by further candidates, and their lines count as crowded.
 
-Edge cases: shorter lines always stay; null and empty texts have no lines to
-remove; a null id is the largest; repeated rows keep and lose the same lines;
+Shorter lines are alike only if they are equal: each is a component of its own,
+with its copies. :func:`drop_lines` leaves them all unless told otherwise.
+
+Edge cases: empty lines always stay; null and empty texts have no lines to remove; a null id is the largest; repeated rows keep and lose the same lines;
 no rows give no rows. Line ids are 64-bit hashes of whole lines.
 """
 
@@ -75,10 +77,10 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return both / (a.size + b.size - both)
 
 
-def long_lines(text: bytes) -> list[tuple[int, bytes]]:
-    """(number, stripped line) of the lines that count."""
+def long_lines(text: bytes, least: int = LEAST_BYTES) -> list[tuple[int, bytes]]:
+    """(number, stripped line) of the lines of at least ``least`` bytes."""
     return [(i, s) for i, x in enumerate(text.split(b"\n"))
-            if len(s := x.strip(SPACE)) >= LEAST_BYTES]
+            if len(s := x.strip(SPACE)) >= least]
 
 
 def line_id(line: bytes) -> int:
@@ -110,15 +112,17 @@ def band_keys(lines: list[bytes]) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in slices(batch):
-            found = [long_lines(t) for t in utf8(part)]
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("th"),
-                 pa.array([[i for i, _ in x] for x in found], pa.list_(pa.int32())),
-                 pa.array([[line_id(s) for _, s in x] for x in found], pa.list_(pa.int64()))],
-                names=["doc_id", "th", "numbers", "lines"])
+def _occurrences(least: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                found = [long_lines(t, least) for t in utf8(part)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("th"),
+                     pa.array([[i for i, _ in x] for x in found], pa.list_(pa.int32())),
+                     pa.array([[line_id(s) for _, s in x] for x in found], pa.list_(pa.int64()))],
+                    names=["doc_id", "th", "numbers", "lines"])
+    return run
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -384,17 +388,19 @@ def similar_lines(docs: DataFrame) -> DataFrame:
     return links.union(written(_verified(crowded_pairs(lines), lines), "line-links"))
 
 
-def removed_lines(docs: DataFrame) -> DataFrame:
+def removed_lines(docs: DataFrame, short_copies: bool = True) -> DataFrame:
     """(doc_id, th, gone): line numbers to remove, for documents that lose any.
 
-    ``th`` is ``xxhash64`` of the text; a null id is ``LAST_ID``.
+    Lines under ``LEAST_BYTES`` bytes go if they repeat an earlier one exactly,
+    or not at all without ``short_copies``. ``th`` is ``xxhash64`` of the text; a null id is ``LAST_ID``.
     """
     spark = docs.sparkSession
     ship(spark)
     found = components(similar_lines(docs))
     free_shuffles(spark)
     at = written(_keyed(docs).select("doc_id", "th", "text").mapInArrow(
-        _occurrences, "doc_id long, th long, numbers array<int>, lines array<long>"), "lines")
+        _occurrences(1 if short_copies else LEAST_BYTES),
+        "doc_id long, th long, numbers array<int>, lines array<long>"), "lines")
     each = at.select("doc_id", "th", F.explode(F.arrays_zip("numbers", "lines")).alias("z")).select(
         "doc_id", "th", F.col("z.numbers").alias("number"), F.col("z.lines").alias("line"))
     named = each.join(found, F.col("line") == F.col("node"), "left").select(
@@ -420,12 +426,13 @@ def _cut(text: pd.Series, gone: pd.Series) -> pd.Series:
                      dtype=object)
 
 
-def drop_lines(docs: DataFrame) -> DataFrame:
+def drop_lines(docs: DataFrame, short_copies: bool = False) -> DataFrame:
     """``docs`` with the removed lines cut out of ``text``; all columns and rows stay.
 
-    ``n_chars``, if there is such a column, becomes the new length.
+    ``n_chars``, if there is such a column, becomes the new length. Copies of
+    lines under ``LEAST_BYTES`` bytes are cut with ``short_copies`` only.
     """
-    gone = removed_lines(docs)
+    gone = removed_lines(docs, short_copies)
     i, h, g = (fresh(docs, x) for x in ("line_doc", "line_hash", "line_gone"))
     keyed = docs.withColumns({i: F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)),
                               h: F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
@@ -457,10 +464,10 @@ def line_report(docs: DataFrame) -> DataFrame:
 
 
 def brute_force(texts: list[tuple[int, str]]) -> dict[int, str]:
-    """Reference result for small inputs: every pair of lines is compared."""
-    occurrences = [(d, i, s) for d, t in sorted(texts) for i, s in long_lines(t.encode())]
-    bodies = sorted({s for _, _, s in occurrences})
-    sets = [shingles(s) for s in bodies]
+    """Reference result for small inputs: every pair of lines is compared, short ones as a whole."""
+    occurrences = [(d, i, s) for d, t in sorted(texts) for i, s in long_lines(t.encode(), 1)]
+    bodies = sorted({s for _, _, s in occurrences}, key=lambda s: (len(s) < LEAST_BYTES, s))
+    sets = [shingles(s) for s in bodies if len(s) >= LEAST_BYTES]
     root = list(range(len(bodies)))
 
     def find(x):
@@ -468,7 +475,7 @@ def brute_force(texts: list[tuple[int, str]]) -> dict[int, str]:
             x = root[x]
         return x
 
-    for i in range(len(bodies)):
+    for i in range(len(sets)):
         for j in range(i):
             if jaccard(sets[i], sets[j]) >= SIMILARITY:
                 root[max(find(i), find(j))] = min(find(i), find(j))

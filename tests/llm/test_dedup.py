@@ -213,6 +213,20 @@ def test_candidates_cover_buckets_over_batches_and_partitions(spark):
     assert [r["band"] for r in out if r["edge"]] == [0, 29]
 
 
+def test_copies_of_short_lines_go(spark):
+    rows = [(1, "And so.\n漢字\nx\n\nAnd so."), (2, " And so. \n漢字\n\nown"), (3, "x"), (3, "x"),
+            (None, "And so!\nx"), (4, LINE + "\nAnd so.\nnineteen bytes here")]
+    want = {1: "And so.\n漢字\nx\n", 2: "\nown", 3: "", None: "And so!",
+            4: LINE + "\nnineteen bytes here"}
+    df = frame(spark, rows)
+    got = line_dedup.line_report(df).collect()
+    assert len(got) == len(rows)
+    assert {r.doc_id: r.kept_sha256 for r in got} == {d: line_dedup.digest(t)
+                                                      for d, t in want.items()}
+    out = line_dedup.drop_lines(df, short_copies=True).collect()
+    assert {(r.doc_id, r.text, r.n_chars) for r in out} == {(d, t, len(t)) for d, t in want.items()}
+
+
 def _family(n, seed=3):
     """``n`` lines of one template: pairs with nearly the same field (0.86), others at about 0.75."""
     import random
