@@ -8,10 +8,9 @@ stage's ``docs``. All stages but the last return the columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from strata.llm import line_dedup, ordinal_quality, packing, simhash, suffix_dedup
-from strata.llm.common import LAST_ID, fresh, read, written
+from strata.llm.common import read, written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,12 +26,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component: the one with the smallest id."""
-    groups = simhash.near_groups(docs)
-    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.coalesce("doc_id", F.lit(LAST_ID)).alias("id")).distinct()
-    key = fresh(docs, "simhash_doc")
-    return (docs.withColumn(key, F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)))
-            .join(first.withColumnRenamed("id", key), key, "left_semi").select(*docs.columns))
+    return simhash.first_rows(docs)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +42,8 @@ def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("quality", quality), ("lines", lines), ("near_duplicates", near_duplicates),
           ("repeats", repeats), ("packing", pieces)]
 
-#: SQL has no way to express the fitted classifier, MinHash, XXH64 or the tokenizer.
+#: SQL has no way to express the fitted classifier, MinHash, XXH64 or the tokenizer;
+#: tests/llm/test_pipeline.py holds the stages of ``run`` against brute force.
 ORACLE_SQL = None
 
 

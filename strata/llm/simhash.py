@@ -23,7 +23,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import documents, ship, shown_id, slices, utf8, written
+from strata.llm.common import (LAST_ID, documents, fresh, ship, shown_id, slices, utf8,
+                               written)
 from strata.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -59,11 +60,12 @@ def fingerprints_of(texts: list[bytes], shingle: int) -> np.ndarray:
 def _fingerprint(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            names = [n for n in batch.schema.names if n != "text"]
             for part in slices(batch):
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"),
+                    [*[part.column(n) for n in names],
                      pa.array(fingerprints_of(utf8(part), shingle).view(np.int64))],
-                    names=["doc_id", "fp"])
+                    names=[*names, "fp"])
     return run
 
 
@@ -104,16 +106,46 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
             .where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits))
 
 
+def _rooted(rows: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, doc, root): each fingerprint of ``rows``, its smallest id, its component."""
+    fps = written(rows.groupBy("fp").agg(F.min("doc_id").alias("doc")), "simhash-distinct")
+    found = components(near_links(fps, max_bits))
+    return (fps.join(found, F.col("fp") == F.col("node"), "left")
+            .select("fp", "doc", F.coalesce("component", "fp").alias("root")))
+
+
 def near_groups(docs: DataFrame, shingle: int = SHINGLE_WORDS,
                 max_bits: int = MAX_BITS) -> DataFrame:
     """(doc_id, fingerprint, component_id), one row per input row."""
     rows = written(fingerprints(docs, shingle), "simhash")
-    fps = written(rows.groupBy("fp").agg(F.min("doc_id").alias("doc")), "simhash-distinct")
-    found = components(near_links(fps, max_bits))
-    rooted = (fps.join(found, F.col("fp") == F.col("node"), "left")
-              .select("fp", "doc", F.coalesce("component", "fp").alias("root")))
+    rooted = _rooted(rows, max_bits)
     least = rooted.groupBy("root").agg(F.min("doc").alias("component_id"))
     named = rooted.join(least, "root").select("fp", "component_id")
     return (rows.join(named, "fp")
             .select(shown_id(), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                     shown_id("component_id")))
+
+
+def first_rows(docs: DataFrame, shingle: int = SHINGLE_WORDS,
+               max_bits: int = MAX_BITS) -> DataFrame:
+    """One row of ``docs`` per component, all columns: the one with the smallest id.
+
+    Rows are told apart by a hash of all columns, which also orders rows that
+    share an id or have none; of rows equal in every column one stays.
+    """
+    ship(docs.sparkSession)
+    i, h, n = (fresh(docs, x) for x in ("simhash_doc", "simhash_row", "simhash_copies"))
+    whole = F.xxhash64(*[c for x in docs.columns for c in (F.col(x), F.col(x).isNull())])
+    keyed = docs.withColumns({i: F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), h: whole})
+    rows = written(
+        keyed.select(F.col(i).alias("doc_id"), F.col(h).alias("row"),
+                     F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+        .mapInArrow(_fingerprint(shingle), "doc_id long, row long, fp long"), "simhash")
+    first = written(
+        rows.groupBy("doc_id", "row", "fp").agg(F.count("*").alias("n"))
+        .join(_rooted(rows, max_bits).select("fp", "root"), "fp")
+        .groupBy("root").agg(F.min(F.struct("doc_id", "row", "n")).alias("kept"))
+        .select("kept.*"), "simhash-first").toDF(i, h, n)
+    once = keyed.join(first.where(F.col(n) == 1), [i, h], "left_semi")
+    copies = keyed.join(first.where(F.col(n) > 1), [i, h], "left_semi").dropDuplicates([i, h])
+    return once.union(copies).select(*docs.columns)
