@@ -1,7 +1,8 @@
 """Order-preserving packing of token streams into windows by dynamic programming.
 
 Documents, each ended by one id, are laid out in ascending id order; a range of
-ids is one stream. A stream may be cut at document ends, sentence ends and,
+ids is one stream. A stream may be cut at document ends, every sentence end that
+is the end of an id (closing quotes and brackets belong to the sentence) and,
 where those are further apart than ``HARD_GAP``, between any ids, at growing
 penalties. The cuts minimise padding plus penalties:
 
@@ -9,7 +10,8 @@ penalties. The cuts minimise padding plus penalties:
 
 whose inner minimum over ``f(i) + i`` moves along a monotone queue, so a stream
 takes linear time. A stream is solved in blocks of ``BLOCK_IDS`` ids; the last
-window of a block stays open and begins the next one, which bounds memory.
+window of a block stays open and begins the next one, which bounds memory: cuts
+are the cheapest of their block, not of the whole stream.
 Each partition's last window alone may be short.
 
 Edge cases: null and empty texts hold only the end id; a document longer than a
@@ -35,8 +37,6 @@ END_ID = 1
 BLOCK_IDS = 1 << 20
 #: Penalties, in padding ids, of a cut at a sentence's end and anywhere else; a document's end is free.
 SENTENCE_CUT, HARD_CUT = 2.0, 12.0
-#: Sentence ends closer than this to the one before are not considered.
-LEAST_GAP = 16
 HARD_GAP = 32
 #: Sequence numbers: partition * SEQUENCES + number within the partition.
 SEQUENCES = 1 << 32
@@ -80,8 +80,6 @@ def cut_places(sentence: np.ndarray, doc_ends: np.ndarray, hard_gap: int = HARD_
     """
     n = len(sentence)
     soft = np.flatnonzero(sentence) + 1
-    # the first sentence end of every LEAST_GAP ids will do
-    soft = soft[np.diff(soft // LEAST_GAP, prepend=-1) > 0]
     kind = np.zeros(n + 1, np.int8)     # 1: sentence end, 2: document end
     kind[soft] = 1
     kind[[0, n]] = 1
@@ -107,11 +105,14 @@ class Packer:
         self._window, self._block = window, block
         self._docs: list[tuple[int, int, int]] = []     # id, ids, ids already packed
         self._ids: list[np.ndarray] = []
+        self._ends: list[np.ndarray] = []
         self._held = 0
 
-    def add(self, doc_id: int, ids: np.ndarray) -> Iterator[dict]:
+    def add(self, doc_id: int, ids: np.ndarray, ends: np.ndarray | None = None) -> Iterator[dict]:
+        """``ends`` says which ids end a sentence; without it the table does."""
         self._docs.append((doc_id, len(ids), 0))
         self._ids.append(ids)
+        self._ends.append(self._table[ids] if ends is None else ends)
         self._held += len(ids)
         if self._held >= self._block:
             yield self._solve(False)
@@ -124,7 +125,8 @@ class Packer:
         ids = np.concatenate(self._ids)
         left = np.array([n - done for _, n, done in self._docs], np.int64)
         doc_ends = np.cumsum(left)
-        places, penalties = cut_places(self._table[ids], doc_ends, min(HARD_GAP, self._window))
+        sentence = np.concatenate(self._ends)
+        places, penalties = cut_places(sentence, doc_ends, min(HARD_GAP, self._window))
         cuts = places[best_cuts(places, penalties, self._window)]
         if not last and len(cuts) > 2:
             cuts = cuts[:-1]        # the last window stays open
@@ -146,7 +148,7 @@ class Packer:
         if self._docs:
             d, n, before = self._docs[0]
             self._docs[0] = (d, n, before + max(0, end - int(begun[first])))
-        self._ids = [ids[end:]] if end < len(ids) else []
+        self._ids, self._ends = ([ids[end:]], [sentence[end:]]) if end < len(ids) else ([], [])
         self._held = len(ids) - end
         return out
 
@@ -161,7 +163,9 @@ def _pack(vocabulary: str, window: int):
         for batch in batches:
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"),
                                  strict=True):
-                for piece in packer.add(doc, np.concatenate([bpe.encode(text.as_py()), end])):
+                ids = bpe.encode(text := text.as_py())
+                ends = np.append(bpe.sentence_ends(text, ids), False)
+                for piece in packer.add(doc, np.concatenate([ids, end]), ends):
                     yield pa.RecordBatch.from_pydict(piece)
         for piece in packer.finish():
             yield pa.RecordBatch.from_pydict(piece)

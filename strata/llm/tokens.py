@@ -12,11 +12,17 @@ from __future__ import annotations
 
 import base64
 import os
+import re
 import zlib
 
 import numpy as np
 
 BYTE_BPE = "byte_bpe_50k"
+#: Marks that end a sentence, in many scripts, and the quotes and brackets that close it.
+_SENTENCE_END = re.compile(
+    "[.!?…‼‽⁇⁈⁉。！．？｡؟۔।॥"
+    "։።፧፨၊။។៕᠃᠉܀܁܂]+"
+    "[\"')\\]}»›’”」』》〉】）］｝＂＇]*")
 
 
 def public_path(name: str) -> str:
@@ -37,6 +43,9 @@ class ByteBpe:
                                         mergeable_ranks=ranks, special_tokens=special)
         self._ranks = ranks
         self._special, self._whole = special, whole_path
+        self._sizes = np.zeros(max(*ranks.values(), *special.values()) + 1, np.int64)
+        for piece, i in [*ranks.items(), *((s.encode(), i) for s, i in special.items())]:
+            self._sizes[i] = len(piece)
 
     def encode(self, text: str) -> np.ndarray:
         """The ids of a whole text; a special token's string gives its id."""
@@ -46,6 +55,20 @@ class ByteBpe:
             ids = np.array(library(self._whole).encode(text, add_special_tokens=False).ids)
         return ids.astype("<u4", copy=False)
 
+    def sentence_ends(self, text: str, ids: np.ndarray) -> np.ndarray:
+        """For each of the text's ids whether a sentence or a line ends with it.
+
+        Judged by the text's bytes, as a mark may be several ids or share one.
+        """
+        body = np.frombuffer(text.encode(), np.uint8)
+        ends = np.zeros(len(body) + 1, bool)
+        ends[1:] = body == 10
+        marks = np.array([m.end() for m in _SENTENCE_END.finditer(text)], np.int64)
+        if not text.isascii():      # places of characters to those of bytes
+            marks = np.append(np.flatnonzero((body & 0xC0) != 0x80), len(body))[marks]
+        ends[marks] = True
+        return ends[np.cumsum(self._sizes[ids])]
+
     def ending_sentence(self) -> np.ndarray:
         """For each id whether its bytes end a sentence or a line."""
         table = np.zeros(max(*self._ranks.values(), *self._special.values()) + 1, bool)

@@ -154,6 +154,33 @@ def test_cuts_are_the_cheapest():
         assert cost == _cheapest(places, penalties, 16)
 
 
+def test_every_sentence_end_is_a_place():
+    rng = np.random.default_rng(6)
+    for _ in range(20):
+        sentence = rng.random(200) < rng.choice([0.02, 0.2, 0.9])
+        doc_ends = np.array([50, 120, 200])
+        places, penalties = packing.cut_places(sentence, doc_ends)
+        assert set(np.flatnonzero(sentence) + 1) <= set(places[penalties < packing.HARD_CUT])
+        assert set(np.flatnonzero(penalties == 0)) == set(np.searchsorted(places, doc_ends))
+
+
+def test_sentence_ends_of_quotes_and_scripts():
+    bpe = byte_bpe()
+    for text, sentences in (
+            ('He said "go." Then (so!) he left.', ['He said "go."', " Then (so!)", " he left."]),
+            ("Wait... \u201cNo?!\u201d She ran.\nOn", ["Wait...", " \u201cNo?!\u201d", " She ran.", "\n"]),
+            ("\u6211\u5011\u8d70\u3002\u4f60\u5462\uff1f\u300c\u597d\uff01\u300d\u4ed6",
+             ["\u6211\u5011\u8d70\u3002", "\u4f60\u5462\uff1f", "\u300c\u597d\uff01\u300d"]),
+            ("\u0915\u0964 \u0916", ["\u0915\u0964"]), ("<|endoftext|>A. b", ["<|endoftext|>A."]),
+            ("", []), ("none here", [])):
+        ids = bpe.encode(text)
+        ends = bpe.sentence_ends(text, ids)
+        assert len(ends) == len(ids)
+        at = np.cumsum([len(s.encode()) for s in sentences])
+        got = np.cumsum(bpe._sizes[ids])[ends] if len(ids) else []
+        assert list(got) == list(at)
+
+
 def test_packer_blocks_carry_the_open_window():
     table = np.zeros(100, bool)
     table[7] = True
