@@ -197,19 +197,24 @@ def _leaves(word_bits: np.ndarray, pair_bits: np.ndarray):
 
 
 def partitioned(leaves: DataFrame, group_leaves: int = GROUP_LEAVES) -> DataFrame:
-    """``leaves`` (lang, words, n) with their ``prefix`` and the ``grp`` of that prefix."""
+    """``leaves`` (lang, words, n) with their ``prefix`` and the ``grp`` of that prefix.
+
+    Nodes of fewer words than ``from_depth`` may lie in other groups as well.
+    """
     spark = leaves.sparkSession
-    parts = leaves.withColumn("prefix", F.slice("words", 1, 1))
+    parts = leaves.select("*", F.slice("words", 1, 1).alias("prefix"), F.lit(1).alias("from_depth"))
     for depth in range(1, MOST_WORDS):
         large = written(parts.groupBy("lang", "prefix").agg(F.count("*").alias("size"))
                         .where(F.col("size") > group_leaves)
                         .select("lang", "prefix", F.lit(True).alias("large")), "phrase-prefixes")
         if large.isEmpty():
             break
-        longer = F.col("large").isNotNull() & (F.size("words") > depth)
+        longer = F.col("large").isNotNull()     # a leaf that ends here keeps its prefix
         parts = written(parts.join(large, ["lang", "prefix"], "left").select(
             "lang", "words", "n", F.when(longer, F.slice("words", 1, depth + 1))
-            .otherwise(F.col("prefix")).alias("prefix")), "phrase-parts")
+            .otherwise(F.col("prefix")).alias("prefix"),
+            F.when(longer, depth + 1).otherwise(F.col("from_depth")).alias("from_depth")),
+            "phrase-parts")
         free_shuffles(spark)
     # half full on average: prefixes are hashed, and each is within the budget
     groups = 2 * leaves.count() // group_leaves + 1
@@ -302,7 +307,7 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, group_leaves: int = GROUP
     free_shuffles(spark)
     order = ["grp", "lang", "words"]
     nodes = (partitioned(leaves, group_leaves)
-             .select(*order, "n", F.size("prefix").alias("from_depth"))
+             .select(*order, "n", "from_depth")
              .repartition("grp").sortWithinPartitions(*order)
              .mapInArrow(_subtrees(least), "lang string, phrase string, size int, n long")
              .groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))

@@ -65,7 +65,8 @@ def crc32_all(features: list[bytes]) -> np.ndarray:
     size = np.fromiter(map(len, features), np.int64, len(features))
     order = np.argsort(size, kind="stable")
     lengths, first = np.unique(size[order], return_index=True)
-    for n, rows in zip(lengths.tolist(), np.split(order, first[1:]), strict=True):
+    for n, start, end in zip(lengths.tolist(), first, np.append(first[1:], len(order)), strict=False):
+        rows = order[start:end]
         block = np.frombuffer(b"".join([features[r] for r in rows]), np.uint8).reshape(len(rows), n)
         crc = np.full(len(rows), 0xFFFFFFFF, np.uint32)
         for column in np.ascontiguousarray(block.T):
