@@ -33,6 +33,8 @@ BRONZE_RUN_ID = "bronze-0001"
 NULL_YARD = "NATION_7"
 OLD_BEFORE = "1998-01-01"    # previous snapshot: rows dated before this day
 PENDING_YEAR = 9999
+UNDATED = "1996-03-13"       # versions of this day have no date
+MIDDLE_FROM = "1994-06-01"   # second of three deliveries: from this day to NEW_FROM
 NEW_FROM = "1997-01-01"      # new batch: rows dated from this day (one year overlaps)
 
 
@@ -177,6 +179,23 @@ def silver_lineitem_schema() -> StructType:
     ])
 
 
+def line_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lineitem as versions of its keys, the version being the ship date: the newest row
+    of each key (``NEWER``), and the oldest as a delivery of its own."""
+    from strata.operators import dedupe_latest
+    li = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("ORDER_KEY"), F.col("l_linenumber").alias("LINE_NUMBER"),
+        F.col("l_partkey").alias("PART_KEY"), F.col("l_quantity").alias("QUANTITY"),
+        F.col("l_extendedprice").cast("decimal(12,2)").alias("EXTENDED_PRICE"),
+        F.nullif("l_returnflag", F.lit("N")).alias("RETURN_FLAG"),
+        F.to_date("l_shipdate").alias("SHIP_DATE"),
+        F.nullif(F.col("l_shipdate"), F.lit(UNDATED).cast("timestamp_ntz"))
+        .cast("timestamp").alias("SOURCE_ADDED_ON"))
+    ends = [dedupe_latest(li, LINEITEM_KEYS, ["SOURCE_ADDED_ON"], newest=n).withColumn(
+        "NEWER", F.lit(n)) for n in (True, False)]
+    return ends[0].unionByName(ends[1])
+
+
 def orders_snapshot(spark: SparkSession, sf_dir: str, by_year: bool = False) -> DataFrame:
     """Previous silver snapshot of orders (dated before OLD_BEFORE), with a
     target-only NOTE column, a NULL customer for customer 0, previous audit;

@@ -24,7 +24,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, FloatType, MapType, StructType
 
-from strata.operators._util import and_all, q, resolve
+from strata.operators._util import and_all, materialize, q, resolve
+from strata.operators.joins import broadcast_if_small
 from strata.session import scratch_path
 
 COPY_CHUNK = 100_000          # rows one task emits per chunk of a large copy group
@@ -156,23 +157,48 @@ def surrogate_key(df: DataFrame, order_by, name: str, tie_break="all", start: in
     return keyed.select([q(c) for c in df.columns] + [key.cast(key_type).alias(name)])
 
 
+def _same(columns, prefix: str) -> Column:
+    return and_all([q(c).eqNullSafe(F.col(f"{prefix}{i}")) for i, c in enumerate(columns)])
+
+
+def _renamed(df: DataFrame, columns, prefix: str, *more) -> DataFrame:
+    return df.select(*[q(c).alias(f"{prefix}{i}") for i, c in enumerate(columns)], *more)
+
+
 def _numbered_copies(df: DataFrame, keys, order_by, index: str) -> DataFrame:
-    """``df`` with the number (0..) of each row among those with equal ``keys``.
+    """``df``, a written table, with the number (0..) of each row among those with equal ``keys``.
 
-    A dense position over (keys, order) less the group's smallest position: no
-    group is gathered in one task, and NULL keys are a group like any other.
+    Keys that occur once, which is nearly all of them, are told by one aggregate
+    and need no order. Only the rows of the others get a dense position over
+    (keys, order), less the group's smallest: no group is gathered in one task,
+    and NULL keys are a group like any other.
     """
-    placed = surrogate_key(df, [*keys, *order_by], "__st_pos", key_type="bigint")
+    several = df.groupBy(*[q(k).alias(f"__st_{i}") for i, k in enumerate(keys)]).agg(
+        F.count(F.lit(1)).alias("__st_size")).where("__st_size > 1").drop("__st_size")
+    several, n, _ = materialize(several, "stable-copies")
+    zero = F.lit(0).cast("bigint").alias(index)
+    if not n:
+        return df.select("*", zero)
+    several = broadcast_if_small(several)
+    same = _same(keys, "__st_")
+    alone = df.join(several, same, "left_anti").select("*", zero)
+    placed = surrogate_key(df.join(several, same, "left_semi"), [*keys, *order_by], "__st_pos",
+                           key_type="bigint")
     first = placed.groupBy(*[q(k).alias(f"__st_{i}") for i, k in enumerate(keys)]).agg(
         F.min("__st_pos").alias("__st_first"))
-    same = and_all([q(k).eqNullSafe(F.col(f"__st_{i}")) for i, k in enumerate(keys)])
-    return placed.join(first, same).select(
-        *[q(c) for c in df.columns], (F.col("__st_pos") - F.col("__st_first")).alias(index))
+    return alone.unionByName(placed.join(first, same).select(
+        *[q(c) for c in df.columns], (F.col("__st_pos") - F.col("__st_first")).alias(index)))
+
+
+def high_water(dimension: DataFrame, key_col: str) -> int:
+    """The largest key given so far (0 for none): one pass over the key column alone."""
+    top = dimension.agg(F.coalesce(F.max(q(key_col)), F.lit(0)).cast("long").alias("m"))
+    return int(top.first()["m"])
 
 
 def stable_keys(rows: DataFrame, dimension: DataFrame, natural_keys, key_col: str,
                 order_by, tie_break="all", key_type: str = "int",
-                keep_vanished: bool = True) -> DataFrame:
+                keep_vanished: bool = True, last_key: int | None = None) -> DataFrame:
     """Keep the keys of rows already in ``dimension``; number new rows from
     ``max(key) + 1`` in ``order_by`` order. Output: ``rows`` columns plus
     ``key_col``.
@@ -184,32 +210,42 @@ def stable_keys(rows: DataFrame, dimension: DataFrame, natural_keys, key_col: st
     NULL), as an upsert would keep them: facts may point to them, and their
     keys are never given to others. ``keep_vanished=False`` leaves them out;
     the caller must then keep the largest key ever given in ``dimension``.
+
+    The work follows ``rows``, the batch: the dimension is cut to its natural
+    keys by a semi-join (against a broadcast of them if their measured size
+    allows, so the dimension is read but not shuffled), and only what is left is
+    ordered and numbered. ``last_key``, the high-water mark that the caller
+    stores, spares the pass over the key column that finds it.
     """
+    spark = rows.sparkSession
     nk = resolve(rows, natural_keys if not isinstance(natural_keys, str) else [natural_keys])
     dim_nk = resolve(dimension, nk)
     rest = [c for c in rows.columns if c not in nk and _orderable(rows, c)]
-    numbered_rows = _numbered_copies(rows, nk, rest, "__st_n")
-    numbered_dim = _numbered_copies(dimension, dim_nk, [key_col], "__st_n")
-    dim = numbered_dim.select(
-        *[q(k).alias(f"__d_{i}") for i, k in enumerate(dim_nk)], F.col("__st_n").alias("__d_n"),
-        q(key_col).alias("__d_key"))
-    same = and_all([*[q(k).eqNullSafe(F.col(f"__d_{i}")) for i, k in enumerate(nk)],
-                    F.col("__st_n") == F.col("__d_n")])
-    path = scratch_path(rows.sparkSession, "stable-keys")
+    batch, _, _ = materialize(rows, "stable-batch")
+    wanted = broadcast_if_small(_renamed(batch, nk, "__b_").distinct())
+    touched, _, _ = materialize(
+        dimension.select(*[q(k) for k in dim_nk], q(key_col)).join(
+            wanted, _same(dim_nk, "__b_"), "left_semi"), "stable-touched")
+    numbered_rows = _numbered_copies(batch, nk, rest, "__st_n")
+    dim = _renamed(_numbered_copies(touched, dim_nk, [key_col], "__st_n"), dim_nk, "__d_",
+                   F.col("__st_n").alias("__d_n"), q(key_col).alias("__d_key"))
+    same = _same(nk, "__d_") & (F.col("__st_n") == F.col("__d_n"))
+    path = scratch_path(spark, "stable-keys")
     numbered_rows.join(dim, same, "left").write.parquet(path)
-    matched = rows.sparkSession.read.parquet(path)
+    matched = spark.read.parquet(path)
     columns = [q(c) for c in rows.columns]
     existing = matched.where("__d_key IS NOT NULL").select(
         *columns, F.col("__d_key").cast(key_type).alias(key_col))
-    top = dimension.agg(F.coalesce(F.max(q(key_col)), F.lit(0)).cast("long").alias("m")).first()["m"]
+    top = high_water(dimension, key_col) if last_key is None else int(last_key)
     fresh = surrogate_key(matched.where("__d_key IS NULL").select(columns), order_by, key_col,
-                          tie_break, start=int(top) + 1, key_type=key_type)
+                          tie_break, start=top + 1, key_type=key_type)
     out = existing.unionByName(fresh)
     if not keep_vanished:
         return out
     by_upper = {c.upper(): c for c in dimension.columns}
-    gone = dimension.join(matched.select(F.col("__d_key").alias("__st_used")).where(
-        "__st_used IS NOT NULL"), q(key_col) == F.col("__st_used"), "left_anti")
+    used = broadcast_if_small(matched.where("__d_key IS NOT NULL").select(
+        F.col("__d_key").alias("__st_used")))
+    gone = dimension.join(used, q(key_col) == F.col("__st_used"), "left_anti")
     return out.unionByName(gone.select(
         *[(q(by_upper[c.upper()]) if c.upper() in by_upper else F.lit(None))
           .cast(rows.schema[c].dataType).alias(c) for c in rows.columns],

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from strata.operators._util import (all_not_null, and_all, any_null, fits_budget, materialize, q,
                                     resolve, split_keys)
@@ -92,7 +93,8 @@ def _ts(run_ts) -> Column:
 def upsert(target: DataFrame, source: DataFrame, keys, run_id: str, run_ts=None,
            update_columns=None, check_unique: bool = True, null_keys: str = "merge",
            method: str = "auto", broadcast_budget: int = BROADCAST_BUDGET_BYTES,
-           with_action: bool = False, materialize_source: bool = True) -> DataFrame:
+           with_action: bool = False, materialize_source: bool = True,
+           newest_by=None) -> DataFrame:
     """MERGE-as-snapshot on one or more key columns.
 
     Matched rows take the source's values of ``update_columns`` (default: every
@@ -113,10 +115,19 @@ def upsert(target: DataFrame, source: DataFrame, keys, run_id: str, run_ts=None,
     recomputing it (a deduplicated batch would otherwise shuffle again per
     pass); the size observed on that write (rows, and the real bytes of the
     string columns) decides the strategy.
+
+    ``newest_by`` names columns that order the versions of a row; both sides
+    must have them and the target stores them (they are update columns). A
+    matched row is then updated only if the source's version is the greater
+    one, else it is kept as it is. Equal versions are decided by the other
+    update columns, so there is one total order (NULL is the smallest value, as
+    in ``dedupe_latest``): deliveries may come late, repeated or in any order,
+    and the target ends with the same values.
     """
     if not run_id:
         raise ValueError("run_id is required")
     keys, src_keys, upd, src_upd, audit = _plan_columns(target, source, keys, update_columns)
+    version = _version_columns(target, newest_by, keys, upd)
     src = source.select([q(c).alias(k) for c, k in zip(src_keys + src_upd, keys + upd)])
     n_bytes = None
     if materialize_source:
@@ -127,14 +138,33 @@ def upsert(target: DataFrame, source: DataFrame, keys, run_id: str, run_ts=None,
                  else fits_budget(src, broadcast_budget))
         method = "broadcast" if small else "shuffle"
     if method == "broadcast":
-        out = _upsert_broadcast(target, src, keys, upd, audit, run_id, _ts(run_ts))
+        out = _upsert_broadcast(target, src, keys, upd, audit, run_id, _ts(run_ts), version)
     elif method == "shuffle":
-        out = _upsert_shuffle(target, src, keys, upd, audit, run_id, _ts(run_ts))
+        out = _upsert_shuffle(target, src, keys, upd, audit, run_id, _ts(run_ts), version)
     else:
         raise ValueError("method must be 'auto', 'broadcast' or 'shuffle'")
     return out if with_action else out.drop("__action")
 
 
+def _version_columns(target: DataFrame, newest_by, keys, upd) -> list[str]:
+    """The columns that decide between two versions of a row, most telling first."""
+    if newest_by is None:
+        return []
+    first = resolve(target, split_keys(newest_by))
+    if lost := [c for c in first if c not in upd]:
+        raise ValueError(f"newest_by columns {lost} are not among the updated columns {upd}")
+    maps = [f.name for f in target.schema.fields if isinstance(f.dataType, MapType)]
+    return first + [c for c in upd if c not in first and c not in maps]
+
+
+def _wins(target: DataFrame, version: list[str]) -> Column:
+    """Whether the joined row's source version is greater than the target's."""
+    if not version:
+        return F.lit(True)
+    mine = F.struct(*[q(f"__s_{c}").cast(target.schema[c].dataType).alias(c) for c in version])
+    return mine > F.struct(*[q(f"__t_{c}").alias(c) for c in version])
+
+
 def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
     return df.select([q(c).alias(prefix + c) for c in df.columns])
 
@@ -161,7 +191,7 @@ def _assemble(target_cols, keys, upd, audit, has_t: Column, has_s: Column, run_i
     return out + [action.alias("__action")]
 
 
-def _upsert_shuffle(target, src, keys, upd, audit, run_id, ts):
+def _upsert_shuffle(target, src, keys, upd, audit, run_id, ts, version):
     # kept + updated: the target left-joined to the batch. AQE may split a hot
     # target partition (the left side of a left outer join), so copies of one
     # key in the target do not pile onto one task; the batch side is unique.
@@ -176,8 +206,9 @@ def _upsert_shuffle(target, src, keys, upd, audit, run_id, ts):
                                       F.lit(True).alias("__in_s"))
     cond = and_all([q(f"__t_{k}") == q(f"__s_{k}") for k in keys]
                    + [F.col("__t__salt") == F.col("__s__salt")])
+    updated = F.col("__in_s").isNotNull() & _wins(target, version)
     old = t.join(s, cond, "left_outer").select(_assemble(
-        target.schema, keys, upd, audit, F.lit(True), F.col("__in_s").isNotNull(), run_id, ts))
+        target.schema, keys, upd, audit, F.lit(True), updated, run_id, ts))
     # inserted: batch rows whose key is not in the target; the target's keys
     # are made distinct first (combined on the map side)
     target_keys = target.select([q(k) for k in keys]).distinct()
@@ -201,14 +232,14 @@ def _inserted(target, new_rows, keys, upd, audit, run_id, ts):
     return new_rows.select(cols + [F.lit("inserted").alias("__action")])
 
 
-def _upsert_broadcast(target, src, keys, upd, audit, run_id, ts):
+def _upsert_broadcast(target, src, keys, upd, audit, run_id, ts, version):
     t = _prefixed(target, "__t_")
     s = _prefixed(src, "__s_").select("*", F.lit(True).alias("__in_s"))
     cond = and_all([q(f"__t_{k}") == q(f"__s_{k}") for k in keys])
     # one pass over the target: kept and updated rows
     tj = t.join(F.broadcast(s), cond, "left_outer")
-    old = tj.select(_assemble(target.schema, keys, upd, audit, F.lit(True),
-                              F.col("__in_s").isNotNull(), run_id, ts))
+    updated = F.col("__in_s").isNotNull() & _wins(target, version)
+    old = tj.select(_assemble(target.schema, keys, upd, audit, F.lit(True), updated, run_id, ts))
     # source rows with no target row: anti join against the matched keys,
     # found by a key-only scan of the target semi-joined to the source keys
     src_keys = src.select([q(k) for k in keys])

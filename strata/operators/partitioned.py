@@ -12,8 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from strata.operators._commit import delete, exists, forget, note, noted, of_uri
 from strata.operators._util import and_all, materialize, q, resolve, split_keys
 from strata.operators.load import upsert
+from strata.session import scratch_path
 
 
 def _one_of(columns: list[str], values: list) -> Column:
@@ -35,17 +37,31 @@ def _partitions(df: DataFrame, columns: list[str]) -> list[tuple]:
     return [tuple(r) for r in df.select([q(c) for c in columns]).distinct().collect()]
 
 
-def _replace_partitions(spark: SparkSession, path: str, rows: DataFrame, columns: list[str],
-                        emptied: DataFrame) -> None:
-    """Put ``rows`` in place of their partitions; delete the folders of ``emptied``."""
-    folders = [r[0] for r in emptied.select(
-        F.regexp_replace("_metadata.file_path", "/[^/]*$", "")).distinct().collect()]
+def _replace_partitions(spark: SparkSession, path: str, change: dict) -> None:
+    """Put the merged rows in place of their partitions; delete the folders left empty.
+
+    May be repeated: both steps give the same table again.
+    """
+    columns = change["columns"]
+    rows = spark.read.schema(StructType.fromJson(change["schema"])).parquet(change["merged"])
     (rows.hint("rebalance", *columns).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*columns).parquet(path))
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for folder in folders:
-        at = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
-        at.getFileSystem(conf).delete(at, True)
+    for folder in change["emptied"]:
+        delete(spark, folder)
+
+
+def recover_partitioned(spark: SparkSession, path: str) -> bool:
+    """Finish a replacement that a failed run has left half done; whether there was one.
+
+    ``upsert_partitioned`` does this by itself; readers that must see a whole table
+    after a failure call it first. The merged rows are still in the scratch folder.
+    """
+    change = noted(spark, path)
+    if change is None:
+        return False
+    _replace_partitions(spark, path, change)
+    forget(spark, path)
+    return True
 
 
 def upsert_partitioned(spark: SparkSession, path: str, source: DataFrame, keys, partition_by,
@@ -62,8 +78,11 @@ def upsert_partitioned(spark: SparkSession, path: str, source: DataFrame, keys,
     The merged rows are in the shared scratch folder before the table is
     touched, so a lost executor cannot mix old and new. Folders are replaced
     one after another, as Parquet has no commit over several: do not read the
-    table meanwhile, and after a failed run restore it before running again.
+    table meanwhile. The change is noted in the table first, and the next run
+    finishes one that failed half way before it begins its own.
     """
+    if exists(spark, path):
+        recover_partitioned(spark, path)
     reader = spark.read.schema(schema) if schema is not None else spark.read
     target = reader.parquet(path)
     keys = resolve(target, split_keys(keys))
@@ -79,9 +98,16 @@ def upsert_partitioned(spark: SparkSession, path: str, source: DataFrame, keys,
     old_homes = set(_partitions(target.join(batch_keys, keys, "left_semi"), columns))
     affected = sorted(new_homes | old_homes, key=repr)
     part = target.where(_one_of(columns, affected))
-    merged, _, _ = materialize(upsert(part, batch, keys, run_id, run_ts, **options),
-                               "upsert-merged")
+    merged_path = scratch_path(spark, "upsert-merged")
+    upsert(part, batch, keys, run_id, run_ts, **options).write.parquet(merged_path)
+    merged = spark.read.schema(target.schema).parquet(merged_path)
     left = set(_partitions(merged, columns))
-    emptied = target.where(_one_of(columns, [p for p in affected if p not in left]))
-    _replace_partitions(spark, path, merged, columns, emptied)
+    emptied = [of_uri(spark, r[0]) for r in
+               target.where(_one_of(columns, [p for p in affected if p not in left])).select(
+                   F.regexp_replace("_metadata.file_path", "/[^/]*$", "")).distinct().collect()]
+    change = {"merged": merged_path, "schema": target.schema.jsonValue(), "columns": columns,
+              "emptied": emptied}
+    note(spark, path, change)
+    _replace_partitions(spark, path, change)
+    forget(spark, path)
     return len(affected)

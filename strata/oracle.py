@@ -70,6 +70,19 @@ ORDERS_S = f"""s AS (SELECT o_orderkey AS ORDER_KEY, NULLIF(o_custkey, 0) AS CUS
   FROM orders WHERE o_orderdate >= TIMESTAMP '{A.NEW_FROM}')"""
 COMPOSITE = "s.CUST_KEY = t.CUST_KEY AND s.ORDER_KEY = t.ORDER_KEY"
 
+#: Orders upserted on the order key alone.
+UPSERT_BY_ORDER = f"""WITH {ORDERS_T}, {ORDERS_S}
+    SELECT t.ORDER_KEY, t.CUST_KEY, t.STATUS, t.PRIORITY, t.TOTAL_PRICE,
+           {PREV} AS ADDED_BY, {PREV_TS} AS ADDED_ON, {PREV} AS MODIFIED_BY,
+           {PREV_TS} AS MODIFIED_ON
+      FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.ORDER_KEY = t.ORDER_KEY)
+    UNION ALL
+    SELECT s.*, {PREV}, {PREV_TS}, {RUN}, {RUN_TS}
+      FROM s JOIN t ON s.ORDER_KEY = t.ORDER_KEY
+    UNION ALL
+    SELECT s.*, {RUN}, {RUN_TS}, {RUN}, {RUN_TS}
+      FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE s.ORDER_KEY = t.ORDER_KEY)"""
+
 BRONZE_LI = """b AS (SELECT l_orderkey AS ORDER_KEY, l_linenumber AS LINE_NUMBER,
     l_partkey AS PART_KEY, l_quantity AS QUANTITY,
     CAST(l_extendedprice AS DECIMAL(12,2)) AS EXTENDED_PRICE,
@@ -175,17 +188,7 @@ ORACLE: dict[str, str] = {
         UNION ALL
         SELECT s.*, CAST(NULL AS VARCHAR), {RUN}, {RUN_TS}, {RUN}, {RUN_TS}
           FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE {COMPOSITE})""",
-    "upsert_gold": f"""WITH {ORDERS_T}, {ORDERS_S}
-        SELECT t.ORDER_KEY, t.CUST_KEY, t.STATUS, t.PRIORITY, t.TOTAL_PRICE,
-               {PREV} AS ADDED_BY, {PREV_TS} AS ADDED_ON, {PREV} AS MODIFIED_BY,
-               {PREV_TS} AS MODIFIED_ON
-          FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.ORDER_KEY = t.ORDER_KEY)
-        UNION ALL
-        SELECT s.*, {PREV}, {PREV_TS}, {RUN}, {RUN_TS}
-          FROM s JOIN t ON s.ORDER_KEY = t.ORDER_KEY
-        UNION ALL
-        SELECT s.*, {RUN}, {RUN_TS}, {RUN}, {RUN_TS}
-          FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE s.ORDER_KEY = t.ORDER_KEY)""",
+    "upsert_gold": UPSERT_BY_ORDER,
     "upsert_partitioned": f"""WITH
         t AS (SELECT o_orderkey AS ORDER_KEY, NULLIF(o_custkey, 0) AS CUST_KEY,
             o_orderstatus AS STATUS, o_orderpriority AS PRIORITY, o_totalprice AS TOTAL_PRICE,
@@ -204,6 +207,19 @@ ORACLE: dict[str, str] = {
                CASE WHEN t.ORDER_KEY IS NULL THEN {RUN} ELSE {PREV} END,
                CASE WHEN t.ORDER_KEY IS NULL THEN {RUN_TS} ELSE {PREV_TS} END, {RUN}, {RUN_TS}
           FROM s LEFT JOIN t ON s.ORDER_KEY = t.ORDER_KEY""",
+    "upsert_by_file": UPSERT_BY_ORDER,
+    "upsert_newest": f"""SELECT ORDER_KEY, LINE_NUMBER, PART_KEY, QUANTITY, EXTENDED_PRICE,
+          RETURN_FLAG, SHIP_DATE, CAST(NULL AS VARCHAR) AS NOTE, V AS SOURCE_ADDED_ON,
+          {PREV} AS ADDED_BY, {PREV_TS} AS ADDED_ON, {PREV} AS MODIFIED_BY,
+          {PREV_TS} AS MODIFIED_ON
+        FROM (SELECT l_orderkey AS ORDER_KEY, l_linenumber AS LINE_NUMBER, l_partkey AS PART_KEY,
+            l_quantity AS QUANTITY, CAST(l_extendedprice AS DECIMAL(12,2)) AS EXTENDED_PRICE,
+            NULLIF(l_returnflag, 'N') AS RETURN_FLAG, CAST(l_shipdate AS DATE) AS SHIP_DATE,
+            CAST(NULLIF(l_shipdate, TIMESTAMP '{A.UNDATED}') AS TIMESTAMP) AS V FROM lineitem)
+        QUALIFY row_number() OVER (PARTITION BY ORDER_KEY, LINE_NUMBER
+          ORDER BY V DESC NULLS LAST, PART_KEY DESC NULLS LAST, QUANTITY DESC NULLS LAST,
+          EXTENDED_PRICE DESC NULLS LAST, RETURN_FLAG DESC NULLS LAST,
+          SHIP_DATE DESC NULLS LAST) = 1""",
     "load_metrics": f"""WITH {ORDERS_T}, {ORDERS_S}
         SELECT 'kept' AS action, count(*) AS row_count
           FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE {COMPOSITE})
@@ -344,6 +360,9 @@ ORACLE: dict[str, str] = {
         SELECT {_li_cols('n')}, CAST(NULL AS VARCHAR), {RUN}, {RUN_TS}, {RUN}, {RUN_TS}
           FROM new n WHERE NOT EXISTS (SELECT 1 FROM old o
               WHERE n.ORDER_KEY = o.ORDER_KEY AND n.LINE_NUMBER = o.LINE_NUMBER)""",
+    "silver_incremental": f"""WITH {BRONZE_LI}
+        SELECT {LI_COLS}, CAST(NULL AS VARCHAR) AS NOTE, SD AS SOURCE_ADDED_ON, {AUDIT_RUN}
+        FROM (SELECT * FROM b {LATEST_LI})""",
     "dim_appointment": f"""WITH {DIM}
         SELECT CAST(APPOINTMENT_DATA_KEY AS INTEGER) AS APPOINTMENT_DATA_KEY, YARD_NAME,
         SALES_ORDER_ID, CARRIER_NAME, {AUDIT_RUN} FROM dim""",

@@ -23,7 +23,7 @@ def _keyed_schema(schema: StructType, key_type: str) -> StructType:
 
 def _upsert_keyed(rows: DataFrame, existing: DataFrame, schema: StructType, key: str,
                   natural_keys, order_by, key_type: str, run_id: str, run_ts,
-                  on_error: str) -> DataFrame:
+                  on_error: str, last_key: int | None = None) -> DataFrame:
     """``existing`` with ``rows`` upserted under stable keys: a row found there by its natural
     keys (one to one, NULL-safe) keeps its key and ``ADDED_*``, other rows get new keys, and
     rows that vanished stay as they are."""
@@ -31,21 +31,24 @@ def _upsert_keyed(rows: DataFrame, existing: DataFrame, schema: StructType, key:
     # fitted first, so both sides are compared in the stored types
     batch = conform_to_schema(rows, attributes, on_error=on_error)
     keyed = stable_keys(batch, existing.select(*natural_keys, key), natural_keys, key, order_by,
-                        key_type=key_type, keep_vanished=False)
+                        key_type=key_type, keep_vanished=False, last_key=last_key)
     return conform_to_schema(upsert(existing, keyed, key, run_id, run_ts), schema,
                              on_error=on_error)
 
 
 def dim_appointment(appointments: DataFrame, run_id: str, run_ts=None,
                     on_error: str = "fail", existing: DataFrame | None = None,
-                    key_type: str = "int", unique_by=None) -> DataFrame:
+                    key_type: str = "int", unique_by=None,
+                    last_key: int | None = None) -> DataFrame:
     """One row per appointment: yard, sales order, carrier; a dense key in
     yard order (ties broken by the other columns); audit; strict fit.
 
     With ``existing`` (the current dimension), rows already there keep their
     key and ``ADDED_*`` (matched one to one on all three attributes,
     NULL-safe), rows that vanished from the source stay unchanged, and new rows
-    are numbered from its largest key + 1, so keys stay stable across runs. ``key_type="bigint"`` is for more
+    are numbered from its largest key + 1, so keys stay stable across runs. Pass the rows that
+    are new or may have changed: what is shuffled follows them, while ``existing`` is
+    only read (and its largest key, unless ``last_key`` says it). ``key_type="bigint"`` is for more
     than 2**31-1 rows; ``unique_by`` as in :func:`surrogate_key`.
     """
     dim = select_alias(appointments, ["YARD_NAME", ("SALES_ORDER_TICKET_ID", "SALES_ORDER_ID"),
@@ -54,7 +57,7 @@ def dim_appointment(appointments: DataFrame, run_id: str, run_ts=None,
     if existing is not None:
         return _upsert_keyed(dim, existing, schema, "APPOINTMENT_DATA_KEY",
                              ["YARD_NAME", "SALES_ORDER_ID", "CARRIER_NAME"], ["YARD_NAME"],
-                             key_type, run_id, run_ts, on_error)
+                             key_type, run_id, run_ts, on_error, last_key)
     dim = surrogate_key(dim, ["YARD_NAME"], "APPOINTMENT_DATA_KEY", key_type=key_type,
                         unique_by=unique_by)
     return conform_to_schema(with_audit(dim, run_id, run_ts), schema, on_error=on_error)
@@ -62,7 +65,8 @@ def dim_appointment(appointments: DataFrame, run_id: str, run_ts=None,
 
 def fact_sales(sales: DataFrame, dimension: DataFrame, run_id: str, run_ts=None,
                lookup: str = "unique", on_error: str = "fail", key_type: str = "int",
-               unique_by=None, existing: DataFrame | None = None) -> DataFrame:
+               unique_by=None, existing: DataFrame | None = None,
+               last_key: int | None = None) -> DataFrame:
     """Sales with the appointment key of their yard, a dense sales key in
     ``YARD_ID, YARD_KEY, COMMODITY_NAME`` order (ties broken by the other
     columns), audit, strict fit (``YARD`` is dropped).
@@ -74,7 +78,8 @@ def fact_sales(sales: DataFrame, dimension: DataFrame, run_id: str, run_ts=None,
     ``key_type`` and ``unique_by`` as in :func:`dim_appointment`. With
     ``existing`` (the current fact) the sales are upserted into it: one found
     there (all attributes but the appointment key equal, one to one) keeps its
-    sales key, others get new ones, and sales no longer in the source stay.
+    sales key, others get new ones, and sales no longer in the source stay; the
+    work follows ``sales``, and ``last_key`` is as in :func:`dim_appointment`.
     """
     s = select_alias(sales, ["YARD_ID", "YARD_KEY", "COMMODITY_NAME", "PRICE", "SELL_PRICE",
                              "INVOICE_TOTAL", "YARD"])
@@ -89,6 +94,6 @@ def fact_sales(sales: DataFrame, dimension: DataFrame, run_id: str, run_ts=None,
     if existing is not None:
         return _upsert_keyed(joined, existing, schema, "SALES_KEY",
                              [*order, "PRICE", "SELL_PRICE", "INVOICE_TOTAL"], order,
-                             key_type, run_id, run_ts, on_error)
+                             key_type, run_id, run_ts, on_error, last_key)
     keyed = surrogate_key(joined, order, "SALES_KEY", key_type=key_type, unique_by=unique_by)
     return conform_to_schema(with_audit(keyed, run_id, run_ts), schema, on_error=on_error)

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (DateType, DoubleType, FloatType, IntegerType, LongType,
@@ -24,14 +25,16 @@ from strata.operators import (add_column_at, append, cast_by_mapping, conform_to
                               dedupe_any, dedupe_latest, fill_nulls, full_reload,
                               left_join_fanout, left_join_unique, project_to_target,
                               rename_by_mapping, select_alias, stable_keys, surrogate_key,
-                              upsert, upsert_actions, upsert_counts, upsert_partitioned,
-                              with_audit, write_table)
+                              upsert, upsert_actions, upsert_by_file, upsert_counts,
+                              upsert_partitioned, with_audit, write_clustered, write_table)
 from strata.plans import bronze_load, dim_appointment, fact_sales, silver_load
-from strata.schemas import AUDIT_COLUMNS, GOLD_DIM_APPOINTMENT
+from strata.schemas import AUDIT_COLUMNS, GOLD_DIM_APPOINTMENT, VERSION_COLUMN, versioned
 from strata.session import scratch_path
 from strata.sources import (filter_active, scan_csv, scan_csv_folder, scan_csv_inferred,
                             scan_table, sql_view_scan)
-from strata.streaming import incremental_ingest, read_ingested
+from strata.streaming import (incremental_ingest, incremental_silver, read_ingested,
+                              read_silver)
+from strata.streaming.ingest import BATCH_COLUMN
 
 Query = Callable[[SparkSession, str], DataFrame]
 T = A.table
@@ -121,6 +124,28 @@ def q_upsert_partitioned(spark, sf):
     return spark.read.parquet(path)
 
 
+def q_upsert_by_file(spark, sf):
+    path = scratch_path(spark, "orders-by-file")
+    write_clustered(A.orders_snapshot(spark, sf).drop("NOTE"), path, "ORDER_KEY", 16)
+    upsert_by_file(spark, path, A.orders_batch(spark, sf), "ORDER_KEY", A.RUN_ID, A.RUN_TS)
+    return spark.read.parquet(path)
+
+
+def q_upsert_newest(spark, sf):
+    # the newer delivery first, then the older one, which comes late, then both again
+    versions = A.line_versions(spark, sf)
+    late, early = (versions.filter(F.col("NEWER") == n).drop("NEWER") for n in (False, True))
+    schema = versioned(A.silver_lineitem_schema())
+    table = conform_to_schema(full_reload(early, A.PREV_RUN_ID, A.PREV_RUN_TS), schema,
+                              missing="null")
+    for k, delivery in enumerate((late, early, late)):
+        path = scratch_path(spark, f"newest-{k}")
+        write_table(table, path)
+        table = upsert(spark.read.parquet(path), delivery, A.LINEITEM_KEYS, A.RUN_ID, A.RUN_TS,
+                       newest_by=VERSION_COLUMN)
+    return table
+
+
 def q_load_metrics(spark, sf):
     snap = upsert(A.orders_snapshot(spark, sf), A.orders_batch(spark, sf), "CUST_KEY, ORDER_KEY",
                   A.RUN_ID, A.RUN_TS, with_action=True)
@@ -452,6 +477,38 @@ def q_silver_load(spark, sf):
                        A.LINEITEM_KEYS, A.RUN_ID, A.RUN_TS, target=previous)
 
 
+class _Lost(Exception):
+    """A delivery whose merge was done, but not committed."""
+
+
+def q_silver_incremental(spark, sf):
+    # three deliveries, the newest first; the second one's merge is lost and done again
+    base = scratch_path(spark, "silver-stream")
+    mapping = ColumnMapping.from_frame(mapping_frame(spark, A.LINEITEM_MAPPING), "LINEITEM")
+    bronze = A.bronze_lineitem(spark, sf)
+    schema = versioned(A.silver_lineitem_schema())
+
+    def run(on_batch=None):
+        incremental_silver(spark, f"{base}/bronze", bronze.schema, f"{base}/silver", schema,
+                           f"{base}/checkpoint", mapping, A.LINEITEM_KEYS, "RETURN_FLAG",
+                           A.RUN_ID, A.RUN_TS, on_batch=on_batch)
+
+    def lose(batch_id, partitions):
+        raise _Lost
+
+    for k, days in enumerate(((A.NEW_FROM, None), (A.MIDDLE_FROM, A.NEW_FROM),
+                              (None, A.MIDDLE_FROM))):
+        (A.bronze_lineitem(spark, sf, *days).withColumn(BATCH_COLUMN, F.lit(k))
+         .write.mode("append").partitionBy(BATCH_COLUMN).parquet(f"{base}/bronze"))
+        if k == 1:
+            try:
+                run(lose)
+            except StreamingQueryException:
+                pass
+        run()
+    return read_silver(spark, f"{base}/silver", schema)
+
+
 def q_dim_appointment(spark, sf):
     return dim_appointment(A.appointments(spark, sf), A.RUN_ID, A.RUN_TS)
 
@@ -506,6 +563,8 @@ QUERIES: dict[str, Query] = {
     "upsert_silver": q_upsert_silver,
     "upsert_gold": q_upsert_gold,
     "upsert_partitioned": q_upsert_partitioned,
+    "upsert_by_file": q_upsert_by_file,
+    "upsert_newest": q_upsert_newest,
     "load_metrics": q_load_metrics,
     "incremental_ingest": q_incremental_ingest,
     "evolve_add_column": q_evolve_add_column,
@@ -555,6 +614,7 @@ QUERIES: dict[str, Query] = {
     # composed products
     "bronze_load": q_bronze_load,
     "silver_load": q_silver_load,
+    "silver_incremental": q_silver_incremental,
     "dim_appointment": q_dim_appointment,
     "fact_sales": q_fact_sales,
     "dim_appointment_incremental": q_dim_appointment_incremental,

@@ -76,6 +76,20 @@ GOLD_FACT_SALES = StructType([
     StructField("INVOICE_TOTAL", FloatType(), True),
 ] + _ADDED + _MODIFIED)
 
+#: Silver column with the bronze load time of the stored version of a row. A silver table
+#: that has it never lets an older delivery overwrite a newer row.
+VERSION_COLUMN = "SOURCE_ADDED_ON"
+
+
+def versioned(schema: StructType) -> StructType:
+    """``schema`` with the version column before the audit columns at its end."""
+    first = next((i for i, f in enumerate(schema.fields) if f.name in AUDIT_COLUMNS),
+                 len(schema.fields))
+    return StructType([*schema.fields[:first],
+                       StructField(VERSION_COLUMN, TimestampType(), True),
+                       *schema.fields[first:]])
+
+
 # Metadata tables: only the fields the jobs read are known; types are ours.
 OBJECT_CONFIG = StructType(_strings((
     "OBJECT_NAME", "SOURCE_NAME", "BRONZE_TABLE_NAME", "SILVER_TABLE_NAME",
