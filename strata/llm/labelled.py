@@ -21,7 +21,8 @@ def sample(docs: DataFrame, labels: DataFrame, columns: list[str], rows: int,
     Labels with a null id or a null in ``columns`` are left out; of conflicting
     labels of one document the largest of each column counts. The sample is the
     ``rows`` smallest seeded hashes of the ids, so it does not depend on layout.
-    The chosen labels, ``rows`` at most, are broadcast; documents are read once.
+    The chosen labels, ``rows`` at most, are broadcast; documents are read once. Of rows
+    that share an id the one with the smallest text hash counts, whatever the layout.
     """
     ship(docs.sparkSession)
     clean = (labels.select(F.col("doc_id").cast("long").alias("doc_id"),
@@ -31,17 +32,19 @@ def sample(docs: DataFrame, labels: DataFrame, columns: list[str], rows: int,
     ys = [f"y{i}" for i in range(len(columns))]
     texts = (docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                          F.coalesce(F.col("text"), F.lit("")).alias("text"))
-             .join(F.broadcast(chosen), "doc_id").select("doc_id", *ys, "text"))
+             .join(F.broadcast(chosen), "doc_id").select("doc_id", *ys, F.xxhash64("text")
+                                                         .alias("th"), "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 yield pa.RecordBatch.from_arrays(
-                    [*[part.column(c) for c in ("doc_id", *ys)], pack_rows(featurise(utf8(part)))],
-                    names=["doc_id", *ys, "x"])
+                    [*[part.column(c) for c in ("doc_id", *ys, "th")],
+                     pack_rows(featurise(utf8(part)))], names=["doc_id", *ys, "th", "x"])
 
-    schema = "doc_id long, " + "".join(f"{c} int, " for c in ys) + "x binary"
-    got = texts.mapInArrow(run, schema).dropDuplicates(["doc_id"]).orderBy("doc_id").toArrow()
+    schema = "doc_id long, " + "".join(f"{c} int, " for c in ys) + "th long, x binary"
+    one = texts.mapInArrow(run, schema).groupBy("doc_id", *ys).agg(F.min_by("x", "th").alias("x"))
+    got = one.orderBy("doc_id").toArrow()
     ids = got.column("doc_id").to_numpy()
     y = np.stack([got.column(c).to_numpy() for c in ys], axis=1).astype(float)
     return ids, unpack_rows(got.column("x").to_pylist()), y

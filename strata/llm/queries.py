@@ -49,7 +49,7 @@ def op7_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Probabilities of the chained categories; flagged or not."""
     return toxicity.score(read(spark, sf_dir, "documents"),
                           toxicity.categories(read(spark, sf_dir, "labels")),
-                          ["toxic", "toxic_prose", "toxic_junk"])
+                          ["toxic_prose", "toxic_junk", "toxic"])
 
 
 def op8_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -94,7 +94,8 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     if max_bits % 2:
         raise ValueError("max_bits must be even")
     half = max_bits // 2
-    variants = fps.select(F.explode(_ball("fp", half)).alias("variant"), "fp")
+    # each fingerprint becomes many variants: spread by value, not as the table's files happen to be
+    variants = fps.select("fp").repartition("fp").select(F.explode(_ball("fp", half)).alias("variant"), "fp")
     buckets = written(variants.groupBy("variant").agg(
         F.min("fp").alias("a"), F.max("fp").alias("b"), F.count("*").alias("n")).where("n > 1"),
         "simhash-buckets")

@@ -114,7 +114,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 SUFFIX = ("gram long, doc_id long, th long, places array<int>, before int, words binary, most int, "
-          "n int")
+          "n long")
 
 
 def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,7 +147,7 @@ def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                            before, words, most, n)):
                         out[k].append(v)
             types = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.int32(), pa.binary(),
-                     pa.int32(), pa.int32()]
+                     pa.int32(), pa.int64()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x, t) for x, t in zip(out, types, strict=True)],
                 names=["gram", "doc_id", "th", "places", "before", "words", "most", "n"])
@@ -312,7 +312,7 @@ def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     # anchors of more than one class, with their number of occurrences
     live = written(each.groupBy("gram").agg(F.min("cls").alias("a"), F.max("cls").alias("b"),
                                             F.count("*").alias("n"))
-                   .where("a < b").select("gram", F.col("n").cast("int")), "suffix-live")
+                   .where("a < b").select("gram", "n"), "suffix-live")
     free_shuffles(spark)
     spots = written(each.select("row", "place", "gram").join(live, "gram").groupBy("row")
                     .agg(F.sort_array(F.collect_list(F.struct("place", "n"))).alias("live"))

@@ -7,9 +7,10 @@ compressed and plain size and the CRC-32 of its ids, per document its id, ids
 and first frame, then the counts and a magic number. A reader takes the table
 from the file's end and decompresses only the frames of the documents it wants.
 
-A file is written under a name of its task attempt and renamed when whole, so a
-lost executor or a second attempt leaves no half file that anyone reads: the
-manifest names only files of attempts that ended.
+A file has a name of its own for each task attempt and is published by the manifest
+alone, without a rename: it names only files of attempts that ended, so what a lost
+executor or a second attempt leaves behind is never read. Ids come from the rank form
+of the vocabulary (:mod:`strata.llm.tokens`), tested equal to the tokenizers library.
 
 Edge cases: null and empty texts hold only the end id; a null id is the
 largest; repeated rows are stored once each; an empty table gives no files.
@@ -129,18 +130,17 @@ def _write(folder: str, vocabulary: str):
         def finished():
             writer.close()
             out.close()
-            store.move(f"{base}/{name}.part", f"{base}/{name}.tok")
             return pa.RecordBatch.from_pydict(
-                {"part": [part], "number": [number], "file": [f"{name}.tok"],
+                {"part": [part], "number": [number], "file": [name],
                  "n_ids": [writer.n_ids]}, schema=_MANIFEST)
 
         for batch in batches:
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"),
                                  strict=True):
                 if writer is None:
-                    name = f"{part:06d}-{number:06d}-{uuid.uuid4().hex}"
+                    name = f"{part:06d}-{number:06d}-{uuid.uuid4().hex}.tok"
                     store.create_dir(base, recursive=True)
-                    out = store.open_output_stream(f"{base}/{name}.part")
+                    out = store.open_output_stream(f"{base}/{name}")
                     writer = TokenFileWriter(out)
                 writer.add(doc, np.concatenate([bpe.encode(text.as_py()), end]))
                 if writer.n_ids >= FILE_IDS:
@@ -159,11 +159,15 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str = BYTE_BPE) -> li
     """Write the corpus into ``folder``; the manifest: (file, ids before it, its ids) in order.
 
     ``folder`` is a URI that the executors share. The manifest has one entry per
-    file of about ``FILE_IDS`` ids, not per document.
+    file of about ``FILE_IDS`` ids, not per document. It alone says which files count:
+    a file that a lost or repeated task left behind has a name of its own and is not in it.
+    Rows that share an id, or have none, are ordered by length and a hash of the text, and
+    so spread over the range partitions like any others.
     """
     ship(docs.sparkSession)
-    ordered = (documents(docs).repartitionByRange("doc_id")
-               .sortWithinPartitions("doc_id", F.length("text"), "text"))
+    order = ["doc_id", F.length("text"), F.xxhash64("text")]
+    ordered = (documents(docs).repartitionByRange(*order)
+               .sortWithinPartitions(*order, "text"))
     made = ordered.mapInArrow(_write(folder, vocabulary),
                               "part int, number int, file string, n_ids long").collect()
     out, before = [], 0
@@ -199,7 +203,7 @@ def read_tokens(spark: SparkSession, folder: str, manifest: list[tuple]) -> Data
     """(doc_id, start, n_tokens, ids_crc32) of every document, read from the files."""
     ship(spark)
     files = spark.createDataFrame([(f, b) for f, b, _ in manifest], "file string, before long")
-    return (files.repartition(max(1, len(manifest)), "file")
+    return (files.repartition(max(1, len(manifest)))        # in turn: one file a task
             .mapInArrow(_read(folder), "doc_id long, start long, n_tokens long, ids_crc32 long")
             .select(shown_id(), "start", "n_tokens", "ids_crc32"))
 

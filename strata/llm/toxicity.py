@@ -4,7 +4,8 @@ Categories are predicted one after another by linear models on hashed words;
 each later model also sees the probabilities of the earlier categories. In
 training those are out-of-fold predictions (``FOLDS`` folds by a hash of the
 id), so a later model learns how far it may trust an earlier one on texts the
-earlier one has not seen. Training uses a bounded sample of labelled rows
+earlier one has not seen. Put the category that flags a document last: its verdict
+then rests on the words and on what all earlier links say. Training uses a bounded sample of labelled rows
 (``SAMPLE_ROWS``); every whole text is scored in Arrow batches.
 
 Edge cases: null and empty texts have no words and get the models' biases; a
@@ -86,19 +87,19 @@ def featurise(texts: list[bytes], keep: np.ndarray | None = None) -> Rows:
 
 
 def categories(labels: DataFrame) -> DataFrame:
-    """The categories that the labels tell apart: toxic, then toxic prose, then toxic junk."""
+    """The categories that the labels tell apart: toxic prose, toxic junk, and toxic at all."""
     toxic, good = F.col("toxic") == 1, F.col("quality") == 1
-    return labels.select("doc_id", toxic.cast("int").alias("toxic"),
-                         (toxic & good).cast("int").alias("toxic_prose"),
-                         (toxic & ~good).cast("int").alias("toxic_junk"))
+    return labels.select("doc_id", (toxic & good).cast("int").alias("toxic_prose"),
+                         (toxic & ~good).cast("int").alias("toxic_junk"),
+                         toxic.cast("int").alias("toxic"))
 
 
 def score(docs: DataFrame, labels: DataFrame, names: list[str],
-          rows: int = SAMPLE_ROWS) -> DataFrame:
+          rows: int = SAMPLE_ROWS, flag: str = "toxic") -> DataFrame:
     """doc_id, a probability ``p_<name>`` per category and ``flagged``, one row per input row.
 
     ``labels`` has doc_id and an int column per category, in the chain's order;
-    a document is flagged if the first category's probability reaches THRESHOLD.
+    a document is flagged if the probability of ``flag``, one of them, reaches THRESHOLD.
     """
     ship(docs.sparkSession)
     ids, x, y = sample(docs, labels, names, rows, featurise)
@@ -118,4 +119,4 @@ def score(docs: DataFrame, labels: DataFrame, names: list[str],
 
     schema = "doc_id long, " + ", ".join(f"{c} double" for c in outs)
     return documents(docs).mapInArrow(run, schema).select(
-        shown_id(), *outs, (F.col(outs[0]) >= THRESHOLD).alias("flagged"))
+        shown_id(), *outs, (F.col(f"p_{flag}") >= THRESHOLD).alias("flagged"))

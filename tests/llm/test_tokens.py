@@ -11,6 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from strata.llm import bpe_codec, packing, token_files
+from strata.session import scratch_path
 from strata.llm.tokens import byte_bpe, crc32, library, public_path
 from tests.llm.helpers import awkward, docs_of, empty, frame, pairs_of
 
@@ -254,3 +255,24 @@ def test_empty_tables(spark):
     for f in (token_files.round_trip, packing.pack, bpe_codec.encode_decode):
         out = f(df)
         assert out.columns and out.count() == 0
+
+
+@pytest.mark.parametrize("doc_id", [7, None])
+def test_rows_of_one_id_spread_over_files(spark, doc_id):
+    rows = [(doc_id, f"text {i % 4900} of one id") for i in range(5000)] + [(1, "first"), (1, "one")]
+    out = token_files.round_trip(frame(spark, rows).repartition(6)).collect()
+    assert len(out) == 5002
+    starts = sorted((r.start, r.n_tokens) for r in out)
+    assert starts[0][0] == 0
+    assert all(a + n == b for (a, n), (b, _) in zip(starts, starts[1:], strict=False))
+    assert {r.doc_id for r in out[:]} == {1, doc_id}
+    assert max(r.start for r in out if r.doc_id == 1) < min(
+        r.start for r in out if r.doc_id == doc_id)
+    folder = scratch_path(spark, "spread")
+    # partitions this small would be put together again
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        manifest = token_files.write_tokens(frame(spark, rows).repartition(6), folder)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert max(n for _, _, n in manifest) < 0.3 * sum(n for _, _, n in manifest)
