@@ -129,6 +129,32 @@ def write_landing(spark: SparkSession, sf_dir: str, label: str, variants: bool =
     return path
 
 
+def write_typed_landing(spark: SparkSession, sf_dir: str, label: str) -> list[str]:
+    """Lineitem as two deliveries of text: the first without returned lines, under narrower
+    texts than the second; headers in other cases. The folders."""
+    li = table(spark, sf_dir, "lineitem")
+    ship, price = li.l_shipdate, li.l_extendedprice.cast("decimal(12,2)").cast("string")
+    returned = li.l_returnflag == "R"
+    first = li.where(~returned).select(
+        li.l_quantity.cast("int").cast("string").alias("Quantity"),
+        (li.l_orderkey + 2000000000).cast("string").alias("Ticket"),
+        price.alias("Price"), F.date_format(ship, "yyyy-MM-dd").alias("Shipped"),
+        (li.l_linenumber > 2).cast("string").alias("Late"),
+        li.l_partkey.cast("string").alias("Part"),
+        F.lit(None).cast("string").alias("Nothing"))
+    second = li.where(returned).select(
+        F.concat(li.l_quantity.cast("int").cast("string"), F.lit(".250")).alias("QUANTITY"),
+        (li.l_orderkey + 4000000000).cast("string").alias("TICKET"),
+        F.concat(price, F.lit("e0")).alias("PRICE"),
+        F.date_format(ship, "yyyy-MM-dd HH:mm:ss").alias("SHIPPED"),
+        F.upper((li.l_linenumber > 2).cast("string")).alias("LATE"),
+        F.concat(F.lit("P-"), li.l_partkey.cast("string")).alias("PART"))
+    paths = [scratch_path(spark, f"{label}-{k}") for k in (1, 2)]
+    for df, path in zip((first, second), paths):
+        df.write.option("header", True).csv(path)
+    return paths
+
+
 def bronze_lineitem(spark: SparkSession, sf_dir: str, date_from: str | None = None,
                     date_before: str | None = None) -> DataFrame:
     """Lineitem as a bronze table: every value text (dates as M/d/yyyy), return

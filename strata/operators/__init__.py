@@ -1,5 +1,6 @@
 """Row-set operators: plain DataFrame in, DataFrame out."""
 
+from strata.operators.bucketed import left_join_bucketed, merge_bucketed, write_bucketed
 from strata.operators.by_file import recover_by_file, upsert_by_file, write_clustered
 from strata.operators.conform import (add_column_at, cast_by_mapping, conform_to_schema,
                                       fill_nulls, project_to_target, rename_by_mapping,
@@ -18,5 +19,5 @@ __all__ = [
     "left_join_unique", "stable_keys", "surrogate_key",
     "append", "full_reload", "upsert", "upsert_actions",
     "upsert_by_file", "upsert_counts", "upsert_partitioned", "write_table",
-    "recover_by_file", "recover_partitioned", "write_clustered",
+    "left_join_bucketed", "merge_bucketed", "write_bucketed", "recover_by_file", "recover_partitioned", "write_clustered",
 ]

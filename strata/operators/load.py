@@ -108,7 +108,9 @@ def upsert(target: DataFrame, source: DataFrame, keys, run_id: str, run_ts=None,
     left outer sort-merge join of target and source plus an anti join of the
     source against the distinct target keys (AQE may split hot target
     partitions; NULL target keys are salted); ``auto`` picks ``broadcast``
-    when the source is proven to fit ``broadcast_budget``.
+    when the source is proven to fit ``broadcast_budget``; ``bucketed`` is
+    ``shuffle`` on the keys alone, for a target stored in buckets of them, whose
+    rows then stay where they are (see :mod:`strata.operators.bucketed`).
 
     ``materialize_source`` writes the (projected) source once to the shared
     checkpoint folder, so the checks and the joins read it instead of
@@ -139,10 +141,11 @@ def upsert(target: DataFrame, source: DataFrame, keys, run_id: str, run_ts=None,
         method = "broadcast" if small else "shuffle"
     if method == "broadcast":
         out = _upsert_broadcast(target, src, keys, upd, audit, run_id, _ts(run_ts), version)
-    elif method == "shuffle":
-        out = _upsert_shuffle(target, src, keys, upd, audit, run_id, _ts(run_ts), version)
+    elif method in ("shuffle", "bucketed"):
+        out = _upsert_shuffle(target, src, keys, upd, audit, run_id, _ts(run_ts), version,
+                              salted=method == "shuffle")
     else:
-        raise ValueError("method must be 'auto', 'broadcast' or 'shuffle'")
+        raise ValueError("method must be 'auto', 'broadcast', 'shuffle' or 'bucketed'")
     return out if with_action else out.drop("__action")
 
 
@@ -191,7 +194,7 @@ def _assemble(target_cols, keys, upd, audit, has_t: Column, has_s: Column, run_i
     return out + [action.alias("__action")]
 
 
-def _upsert_shuffle(target, src, keys, upd, audit, run_id, ts, version):
+def _upsert_shuffle(target, src, keys, upd, audit, run_id, ts, version, salted=True):
     # kept + updated: the target left-joined to the batch. AQE may split a hot
     # target partition (the left side of a left outer join), so copies of one
     # key in the target do not pile onto one task; the batch side is unique.
@@ -205,7 +208,7 @@ def _upsert_shuffle(target, src, keys, upd, audit, run_id, ts, version):
     s = _prefixed(src, "__s_").select("*", F.lit(0).alias("__s__salt"),
                                       F.lit(True).alias("__in_s"))
     cond = and_all([q(f"__t_{k}") == q(f"__s_{k}") for k in keys]
-                   + [F.col("__t__salt") == F.col("__s__salt")])
+                   + ([F.col("__t__salt") == F.col("__s__salt")] if salted else []))
     updated = F.col("__in_s").isNotNull() & _wins(target, version)
     old = t.join(s, cond, "left_outer").select(_assemble(
         target.schema, keys, upd, audit, F.lit(True), updated, run_id, ts))

@@ -170,6 +170,54 @@ ORACLE: dict[str, str] = {
         NULLIF(o_orderpriority, '5-LOW') AS "Order Priority" FROM orders""",
     "csv_folder_scan": LANDING_NORMALIZED,
     # sinks
+    "csv_infer_types": f"""WITH landing AS ({LANDING_NORMALIZED}),
+        texts AS (
+          SELECT 'ORDER_KEY' AS c, ORDER_KEY AS v FROM landing
+          UNION ALL SELECT 'CUST_KEY', CUST_KEY FROM landing
+          UNION ALL SELECT 'ORDER_STATUS', ORDER_STATUS FROM landing
+          UNION ALL SELECT 'ORDER_DATE', ORDER_DATE FROM landing
+          UNION ALL SELECT 'TOTAL_PRICE', TOTAL_PRICE FROM landing
+          UNION ALL SELECT 'ORDER_PRIORITY', ORDER_PRIORITY FROM landing
+          UNION ALL SELECT 'QUANTITY', CAST(CAST(l_quantity AS INTEGER) AS VARCHAR)
+              || CASE WHEN l_returnflag = 'R' THEN '.250' ELSE '' END FROM lineitem
+          UNION ALL SELECT 'TICKET', CAST(l_orderkey + CASE WHEN l_returnflag = 'R'
+              THEN 4000000000 ELSE 2000000000 END AS VARCHAR) FROM lineitem
+          UNION ALL SELECT 'PRICE', CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR)
+              || CASE WHEN l_returnflag = 'R' THEN 'e0' ELSE '' END FROM lineitem
+          UNION ALL SELECT 'SHIPPED', CASE WHEN l_returnflag = 'R'
+              THEN strftime(l_shipdate, '%Y-%m-%d %H:%M:%S')
+              ELSE strftime(l_shipdate, '%Y-%m-%d') END FROM lineitem
+          UNION ALL SELECT 'LATE', CASE WHEN l_returnflag = 'R' THEN upper(t) ELSE t END
+            FROM (SELECT l_returnflag, CASE WHEN l_linenumber > 2 THEN 'true' ELSE 'false' END AS t
+                  FROM lineitem)
+          UNION ALL SELECT 'PART', CASE WHEN l_returnflag = 'R' THEN 'P-' ELSE '' END
+              || CAST(l_partkey AS VARCHAR) FROM lineitem
+          UNION ALL SELECT 'NOTHING', NULL FROM lineitem),
+        counted AS (
+          SELECT c AS column_name, count(v) AS n_values,
+            count(*) FILTER (regexp_matches(v, '^[+-]?[0-9]+$')
+              AND TRY_CAST(v AS INTEGER) IS NOT NULL) AS n_int,
+            count(*) FILTER (regexp_matches(v, '^[+-]?[0-9]+$')
+              AND TRY_CAST(v AS BIGINT) IS NOT NULL) AS n_bigint,
+            count(*) FILTER (regexp_matches(v, '^[0-9]+([.][0-9]*)?$')) AS n_decimal,
+            count(*) FILTER (regexp_matches(v, '^[0-9]+([.][0-9]*)?(e[0-9]+)?$')) AS n_double,
+            count(*) FILTER (regexp_matches(v, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$')) AS n_date,
+            count(*) FILTER (regexp_matches(v, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}([ T][0-9:]{{8}})?$'))
+              AS n_timestamp,
+            count(*) FILTER (lower(v) IN ('true', 'false')) AS n_boolean,
+            coalesce(max(length(ltrim(split_part(v, '.', 1), '0')))
+              FILTER (regexp_matches(v, '^[0-9]+([.][0-9]*)?$')), 0) AS int_digits,
+            coalesce(max(length(split_part(v, '.', 2)))
+              FILTER (regexp_matches(v, '^[0-9]+([.][0-9]*)?$')), 0) AS fraction_digits
+          FROM texts GROUP BY c)
+        SELECT *, CASE WHEN n_values = 0 THEN 'string' WHEN n_int = n_values THEN 'int'
+            WHEN n_bigint = n_values THEN 'bigint'
+            WHEN n_decimal = n_values THEN 'decimal(' || CAST(int_digits + fraction_digits AS VARCHAR)
+              || ',' || CAST(fraction_digits AS VARCHAR) || ')'
+            WHEN n_double = n_values THEN 'double' WHEN n_date = n_values THEN 'date'
+            WHEN n_timestamp = n_values THEN 'timestamp_ntz'
+            WHEN n_boolean = n_values THEN 'boolean' ELSE 'string' END AS narrowest
+        FROM counted""",
     "append_load": "SELECT * FROM customer UNION ALL SELECT * FROM customer",
     "append_frames": "SELECT * FROM customer UNION ALL SELECT * FROM customer",
     "full_reload_silver": f"""WITH {BRONZE_LI}
@@ -266,7 +314,13 @@ ORACLE: dict[str, str] = {
         FROM customer WHERE c_acctbal > 0""",
     # joins
     "left_join_fanout": """SELECT o.*, l.l_linenumber, l.l_quantity FROM orders o
-        LEFT JOIN lineitem l ON l.l_returnflag = 'R' AND o.o_orderkey = l.l_orderkey""",
+        LEFT JOIN lineitem l ON l.l_orderkey % 7 <> 3 AND o.o_orderkey = l.l_orderkey""",
+    "left_join_bucketed": """SELECT c.*, o.o_orderdate, o.o_orderkey FROM customer c
+        LEFT JOIN (SELECT o_custkey, o_orderdate, o_orderkey FROM orders
+                   QUALIFY row_number() OVER (PARTITION BY o_custkey
+                       ORDER BY o_orderdate NULLS FIRST, o_orderkey NULLS FIRST) = 1) o
+          ON c.c_custkey = o.o_custkey""",
+    "merge_bucketed": UPSERT_BY_ORDER,
     "left_join_unique": """SELECT c.*, o.o_orderdate, o.o_orderkey FROM customer c
         LEFT JOIN (SELECT o_custkey, o_orderdate, o_orderkey FROM orders
                    QUALIFY row_number() OVER (PARTITION BY o_custkey
@@ -368,6 +422,18 @@ ORACLE: dict[str, str] = {
         SALES_ORDER_ID, CARRIER_NAME, {AUDIT_RUN} FROM dim""",
     "dim_appointment_incremental": DIM_INCREMENTAL,
     "fact_sales_incremental": FACT_INCREMENTAL,
+    "fact_sales_delta": f"""WITH {SALES_JOINED},
+        later AS (SELECT YARD_NAME, CAST(min(APPOINTMENT_DATA_KEY) AS INTEGER) AS k
+          FROM dim WHERE YARD_NAME IS NOT NULL AND CARRIER_NAME <> '5-LOW' GROUP BY YARD_NAME)
+        SELECT CAST(row_number() OVER ({SALES_ORDER}) AS INTEGER) AS SALES_KEY, YARD_ID,
+          CAST(YARD_KEY AS INTEGER) AS YARD_KEY, later.k AS APPOINTMENT_DATA_KEY, COMMODITY_NAME,
+          CAST(PRICE AS FLOAT) AS PRICE, CAST(SELL_PRICE AS FLOAT) AS SELL_PRICE,
+          CAST(INVOICE_TOTAL AS FLOAT) AS INVOICE_TOTAL, {PREV} AS ADDED_BY, {PREV_TS} AS ADDED_ON,
+          CASE WHEN APPOINTMENT_DATA_KEY IS DISTINCT FROM later.k THEN {RUN} ELSE {PREV} END
+            AS MODIFIED_BY,
+          CASE WHEN APPOINTMENT_DATA_KEY IS DISTINCT FROM later.k THEN {RUN_TS} ELSE {PREV_TS} END
+            AS MODIFIED_ON
+        FROM j LEFT JOIN later ON j.YARD = later.YARD_NAME""",
     "fact_sales": f"""WITH {SALES_JOINED}
         SELECT CAST(row_number() OVER ({SALES_ORDER}) AS INTEGER) AS SALES_KEY, YARD_ID,
           CAST(YARD_KEY AS INTEGER) AS YARD_KEY, APPOINTMENT_DATA_KEY, COMMODITY_NAME,

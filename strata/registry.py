@@ -20,14 +20,18 @@ from pyspark.sql.types import (DateType, DoubleType, FloatType, IntegerType, Lon
 from strata import analogues as A
 from strata.functions import (cast_to, normalize_headers, parse_date_ladder,
                               parse_zoned_timestamp, try_cast_by_type)
+from strata.functions.infer import merge_evidence, narrowest, type_evidence
 from strata.mapping import ColumnMapping, mapping_frame
 from strata.operators import (add_column_at, append, cast_by_mapping, conform_to_schema,
                               dedupe_any, dedupe_latest, fill_nulls, full_reload,
-                              left_join_fanout, left_join_unique, project_to_target,
+                              left_join_bucketed, left_join_fanout, left_join_unique,
+                              merge_bucketed, project_to_target,
                               rename_by_mapping, select_alias, stable_keys, surrogate_key,
                               upsert, upsert_actions, upsert_by_file, upsert_counts,
-                              upsert_partitioned, with_audit, write_clustered, write_table)
-from strata.plans import bronze_load, dim_appointment, fact_sales, silver_load
+                              upsert_partitioned, with_audit, write_bucketed, write_clustered,
+                              write_table)
+from strata.plans import (bronze_load, dim_appointment, fact_sales, fact_sales_delta,
+                          silver_load)
 from strata.schemas import AUDIT_COLUMNS, GOLD_DIM_APPOINTMENT, VERSION_COLUMN, versioned
 from strata.session import scratch_path
 from strata.sources import (filter_active, scan_csv, scan_csv_folder, scan_csv_inferred,
@@ -66,6 +70,15 @@ def q_csv_folder_scan(spark, sf):
     return scan_csv_folder(spark, A.write_landing(spark, sf, "landing-folder", variants=True))
 
 
+def q_csv_infer_types(spark, sf):
+    # two deliveries, each read once; the second widens what the first one has
+    folder = A.write_landing(spark, sf, "landing-types", variants=True)
+    lines = A.write_typed_landing(spark, sf, "landing-lines")
+    evidence = merge_evidence(type_evidence(scan_csv_folder(spark, folder)),
+                              *[type_evidence(scan_csv(spark, f)) for f in lines])
+    return evidence.withColumn("narrowest", narrowest())
+
+
 # ---------------------------------------------------------------- sinks
 def q_append_load(spark, sf):
     path = scratch_path(spark, "append")
@@ -289,9 +302,9 @@ def q_filter_active(spark, sf):
 # ---------------------------------------------------------------- joins
 def q_left_join_fanout(spark, sf):
     o = T(spark, sf, "orders")
-    # lines that are not returned have no order here: some orders stay unmatched
+    # all lines but those of each seventh order, which stays unmatched
     lines = T(spark, sf, "lineitem").withColumn(
-        "l_orderkey", F.when(F.col("l_returnflag") == "R", F.col("l_orderkey")))
+        "l_orderkey", F.when(F.col("l_orderkey") % 7 != 3, F.col("l_orderkey")))
     return left_join_fanout(o, lines, ["o_orderkey"], ["l_orderkey"],
                             ["l_linenumber", "l_quantity"])
 
@@ -302,6 +315,26 @@ def q_left_join_unique(spark, sf):
     return left_join_unique(c, o, ["c_custkey"], ["o_custkey"], ["o_orderdate", "o_orderkey"])
 
 
+def _bucketed(spark, df, label, keys):
+    path = scratch_path(spark, label)
+    name = "strata_" + path.rsplit("/", 1)[1].replace("-", "_")
+    return name, path, write_bucketed(df, name, path, keys, 8)
+
+
+def q_merge_bucketed(spark, sf):
+    name, path, _ = _bucketed(spark, A.orders_snapshot(spark, sf).drop("NOTE"), "orders-buckets",
+                              "ORDER_KEY")
+    return merge_bucketed(spark, name, A.orders_batch(spark, sf), "ORDER_KEY", A.RUN_ID, A.RUN_TS,
+                          into=(f"{name}_next", f"{path}-next"))
+
+
+def q_left_join_bucketed(spark, sf):
+    orders = T(spark, sf, "orders").select("o_custkey", "o_orderdate", "o_orderkey")
+    name, _, _ = _bucketed(spark, orders, "orders-by-customer", "o_custkey")
+    return left_join_bucketed(T(spark, sf, "customer"), name, ["c_custkey"], ["o_custkey"],
+                              ["o_orderdate", "o_orderkey"])
+
+
 def q_merge_join_composite(spark, sf):
     return upsert_actions(A.orders_snapshot(spark, sf), A.orders_batch(spark, sf),
                           "CUST_KEY, ORDER_KEY")
@@ -541,6 +574,16 @@ def q_fact_sales_incremental(spark, sf):
                       existing=_stored(spark, previous, "gold-fact"))
 
 
+def q_fact_sales_delta(spark, sf):
+    # low-priority appointments leave the dimension: some yards get another key
+    old = _stored(spark, dim_appointment(A.appointments(spark, sf), A.PREV_RUN_ID, A.PREV_RUN_TS),
+                  "gold-dim")
+    sales = A.sales(spark, sf)
+    fact = _stored(spark, fact_sales(sales, old, A.PREV_RUN_ID, A.PREV_RUN_TS), "gold-fact")
+    return fact_sales_delta(sales, fact, old, old.where("CARRIER_NAME <> '5-LOW'"), A.RUN_ID,
+                            A.RUN_TS)
+
+
 def q_fact_sales(spark, sf):
     # the dimension is loaded first and the fact reads the stored table
     dim_path = scratch_path(spark, "gold-dim")
@@ -555,6 +598,7 @@ QUERIES: dict[str, Query] = {
     "csv_scan_strings": q_csv_scan_strings,
     "csv_scan_inferred": q_csv_scan_inferred,
     "csv_folder_scan": q_csv_folder_scan,
+    "csv_infer_types": q_csv_infer_types,
     # sinks
     "append_load": q_append_load,
     "append_frames": q_append_frames,
@@ -587,6 +631,8 @@ QUERIES: dict[str, Query] = {
     # joins
     "left_join_fanout": q_left_join_fanout,
     "left_join_unique": q_left_join_unique,
+    "left_join_bucketed": q_left_join_bucketed,
+    "merge_bucketed": q_merge_bucketed,
     "merge_join_composite": q_merge_join_composite,
     # dedupe
     "dedupe_any": q_dedupe_any,
@@ -619,4 +665,5 @@ QUERIES: dict[str, Query] = {
     "fact_sales": q_fact_sales,
     "dim_appointment_incremental": q_dim_appointment_incremental,
     "fact_sales_incremental": q_fact_sales_incremental,
+    "fact_sales_delta": q_fact_sales_delta,
 }
