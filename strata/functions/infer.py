@@ -66,18 +66,28 @@ def type_evidence(df: DataFrame, columns=None) -> DataFrame:
         f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
     if not names:
         raise ValueError("no text columns")
-    one = df.agg(*[F.struct(*[x.cast("bigint").alias(k) for k, x in _tests(q(n)).items()])
-                   .alias(f"c{i}") for i, n in enumerate(names)])
-    return one.select(F.inline(F.array(*[
-        F.struct(F.lit(n).alias("column_name"), *[F.col(f"c{i}")[k].alias(k) for k in SUMS + MOSTS])
+    none = df.sparkSession.createDataFrame(
+        [(n, *[0] * len(SUMS + MOSTS)) for n in names],
+        "column_name string, " + ", ".join(f"{k} bigint" for k in SUMS + MOSTS))
+    # a row per partition, so that what is brought together is as long as there are columns
+    parts = df.groupBy(F.spark_partition_id().alias("__part")).agg(
+        *[F.struct(*[x.cast("bigint").alias(k) for k, x in _tests(q(n)).items()]).alias(f"__c{i}")
+          for i, n in enumerate(names)])
+    each = parts.select(F.inline(F.array(*[
+        F.struct(F.lit(n).alias("column_name"),
+                 *[F.col(f"__c{i}")[k].alias(k) for k in SUMS + MOSTS])
         for i, n in enumerate(names)])))
+    return _together(each.unionByName(none), F.col("column_name"))
+
+
+def _together(evidence: DataFrame, name: Column) -> DataFrame:
+    return evidence.groupBy(name.alias("column_name")).agg(
+        *[F.sum(k).alias(k) for k in SUMS], *[F.max(k).alias(k) for k in MOSTS])
 
 
 def merge_evidence(*parts: DataFrame) -> DataFrame:
     """The evidence of several files or deliveries together, by column name in any case."""
-    every = reduce(DataFrame.unionByName, parts)
-    return (every.groupBy(F.upper("column_name").alias("column_name"))
-            .agg(*[F.sum(k).alias(k) for k in SUMS], *[F.max(k).alias(k) for k in MOSTS]))
+    return _together(reduce(DataFrame.unionByName, parts), F.upper("column_name"))
 
 
 def narrowest() -> Column:
