@@ -51,7 +51,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
-    elif sc.master.startswith("local"):
+    elif sc.master == "local" or sc.master.startswith("local["):     # not local-cluster
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="strata-ckpt-"))
     else:
         raise RuntimeError(
