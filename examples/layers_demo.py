@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from strata import analogues as A  # noqa: E402
+from fixtures import analogues as A  # noqa: E402
 from strata.mapping import ColumnMapping, mapping_frame  # noqa: E402
 from strata.operators import upsert, upsert_counts, write_table  # noqa: E402
 from strata.plans import dim_appointment, fact_sales, silver_load  # noqa: E402

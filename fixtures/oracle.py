@@ -8,7 +8,7 @@ original typed values they were formatted from.
 
 from __future__ import annotations
 
-from strata import analogues as A
+from fixtures import analogues as A
 
 RUN = f"'{A.RUN_ID}'"
 RUN_TS = f"TIMESTAMP '{A.RUN_TS:%Y-%m-%d %H:%M:%S}'"

@@ -1,5 +1,5 @@
 """Registered queries: one per operator of the inventory, each on an analogue
-built from the driver's tables (see ``strata.analogues``).
+built from the driver's tables (see ``fixtures.analogues``).
 
 Every callable takes ``(spark, sf_dir)`` and returns a DataFrame. Queries that
 exercise a sink write to a fresh folder below the shared checkpoint folder and
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (DateType, DoubleType, FloatType, IntegerType, LongType,
                                StringType, StructField, StructType, TimestampNTZType)
 
-from strata import analogues as A
+from fixtures import analogues as A
 from strata.functions import (cast_to, normalize_headers, parse_date_ladder,
                               parse_zoned_timestamp, try_cast_by_type)
 from strata.functions.infer import merge_evidence, narrowest, type_evidence

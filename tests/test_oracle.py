@@ -5,8 +5,8 @@ import os
 import pytest
 
 import __spark_entry__ as entry
-from strata.oracle import ORACLE
-from strata.registry import QUERIES
+from fixtures.oracle import ORACLE
+from fixtures.registry import QUERIES
 from tools.oracle_compare import compare, duck
 
 SF = os.environ.get("STRATA_TEST_SF", "/root/testdata/sf0.001")

@@ -5,7 +5,7 @@ import os
 
 import pytest
 
-from strata.registry import QUERIES
+from fixtures.registry import QUERIES
 
 SF = os.environ.get("STRATA_TEST_SF", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="test data not present")
