@@ -1,12 +1,12 @@
 """Fuzzy line dedup: MinHash, banding, exact Jaccard, distributed union-find.
 
 Lines (split at ``\\n``, white space ``[\\x20\\x09-\\x0D]`` stripped) of at least
-``LEAST_BYTES`` bytes are sets of character shingles, ``SHINGLE`` bytes of UTF-8
-each. Equal lines fold into one id first. Every distinct line gets ``BANDS``
-bands of ``ROWS`` minima; at Jaccard 0.8 a pair shares a band with probability
-0.995, and more above. Lines of a band are candidates: each is paired with its
-bucket's smallest line and the two before it in order, which are all pairs of
-up to ``ALL_PAIRS`` lines and a well connected chain of more. Candidates whose
+``LEAST_CHARS`` code points are sets of character shingles, ``SHINGLE`` code points
+each, in every script. Equal lines fold into one id first. Every distinct line gets
+``BANDS`` bands of ``ROWS`` minima; at Jaccard 0.8 a pair shares a band with
+probability 0.995, and more above. Lines of a band are candidates: each is paired
+with its bucket's smallest line and the two before it in order, which are all pairs
+of up to ``ALL_PAIRS`` lines and a well connected chain of more. Candidates whose
 exact Jaccard similarity reaches ``SIMILARITY`` are united.
 
 The lines of larger buckets are crowded: an exact prefix-filter join finds every
@@ -16,6 +16,15 @@ bound what else the two can share. Pairs that the chains have united are left
 out, so a dense group is not squared, and a shingle of many lines is salted in
 two dimensions.
 
+A pair that shares many of its first shingles is made once for each of them but the
+ones right behind another: if one of the two before is shared too, the pair is
+known already.
+
+Before the texts of such a pair are compared, it passes an exact filter: in a
+line's sketch of ``SKETCH_BITS`` bits every shingle flips one. A bit that differs
+between two sketches stands for a shingle that the lines do not share, so more
+such bits than lines of that similarity may differ in rule the pair out.
+
 Of each component the line that occurs first, by (doc_id, line number), stays,
 and every other occurrence is removed.
 
@@ -24,10 +33,12 @@ is spread over partitions; the fragments, two per partition at most, are
 stitched by further candidates, and their lines count as crowded.
 
 Shorter lines are alike only if they are equal: each is a component of its own,
-with its copies. :func:`drop_lines` leaves them all unless told otherwise.
+with its copies. A changed inner character costs ``SHINGLE`` shingles, so a line
+survives one from 79 code points on.
 
 Edge cases: empty lines always stay; null and empty texts have no lines to remove; a null id is the largest; repeated rows keep and lose the same lines;
-no rows give no rows. Line ids are 64-bit hashes of whole lines.
+no rows give no rows. Line ids are 64-bit hashes of whole lines, shingles 64-bit
+hashes of their code points.
 """
 
 from __future__ import annotations
@@ -42,33 +53,58 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from strata.llm.common import (LAST_ID, documents, drop_scratch, free_shuffles, fresh, ship,
                                shown_id, slices, utf8, written)
 from strata.llm.components import components
 
 SHINGLE = 8
-LEAST_BYTES = 20
+LEAST_CHARS = 20
 SIMILARITY = 0.8
 BANDS, ROWS = 10, 4
 SPACE = b" \t\n\x0b\x0c\r"
 STEP_BYTES = 400_000
 #: Lines of a bucket up to which the chain is all pairs.
 ALL_PAIRS = 4
-#: Counters that approximate how many crowded lines have a shingle; bounds what the driver holds.
-SLOTS = 1 << 18
+#: Bits of the number of counters (a byte each, on the driver and in tasks) that order shingles by
+#: how many crowded lines have them: as many as the shingles ask for, within these.
+LEAST_SLOT_BITS, MOST_SLOT_BITS = 16, 22
 #: Lines with one shingle that are compared in one cell; more are salted.
 CELL = 1000
+SKETCH_BITS = 512
+SKETCH = [f"sketch{i}" for i in range(SKETCH_BITS // 64)]
+KEYS = [f"k{i}" for i in range(BANDS)]
 _RANDOM = np.random.default_rng(20240229)
 _XOR = _RANDOM.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
 _MULTIPLY = _RANDOM.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_FACTORS = _RANDOM.integers(0, 1 << 63, SHINGLE // 2, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def _grams(text: bytes) -> np.ndarray:
+    """The shingle at each code point of a text that has one, as a 64-bit hash."""
+    p = (np.frombuffer(text, np.uint8) if text.isascii()
+         else np.frombuffer(text.decode().encode("utf-32-le"), "<u4")).astype(np.uint64)
+    n = max(0, len(p) - SHINGLE + 1)
+    if not n:
+        return np.zeros(0, np.uint64)
+    # two code points in 42 bits, then four such pairs in one product sum
+    pair = p[:-1] | (p[1:] << np.uint64(21))
+    out = pair[:n] * _FACTORS[0]
+    for k in range(1, SHINGLE // 2):
+        out += pair[2 * k:n + 2 * k] * _FACTORS[k]
+    return out
+
+
+def _spread(grams: np.ndarray, bits: int) -> np.ndarray:
+    """The leading bits of a multiplicative hash of shingles."""
+    return (((grams ^ (grams >> np.uint64(32))) * _BASE) >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def shingles(line: bytes) -> np.ndarray:
     """The distinct shingles of a line, ascending, each as a 64-bit integer."""
-    n = len(line) - SHINGLE + 1
-    return np.unique(np.ndarray((n,), "<u8", line, strides=(1,)))
+    return np.unique(_grams(line))
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
@@ -77,30 +113,40 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return both / (a.size + b.size - both)
 
 
-def long_lines(text: bytes, least: int = LEAST_BYTES) -> list[tuple[int, bytes]]:
-    """(number, stripped line) of the lines of at least ``least`` bytes."""
+def long_lines(text: bytes, least: int = LEAST_CHARS) -> list[tuple[int, bytes]]:
+    """(number, stripped line) of the lines of at least ``least`` code points."""
     return [(i, s) for i, x in enumerate(text.split(b"\n"))
-            if len(s := x.strip(SPACE)) >= least]
+            if len(s := x.strip(SPACE)) >= least
+            and (s.isascii() or len(s) >= 4 * least or len(s.decode()) >= least)]
 
 
 def line_id(line: bytes) -> int:
     return xxhash.xxh3_64_intdigest(line) - 2**63
 
 
-def band_keys(lines: list[bytes]) -> np.ndarray:
-    """One row of ``BANDS`` 64-bit keys per line; all of at least ``SHINGLE`` bytes."""
-    sizes = np.fromiter(map(len, lines), np.int64, len(lines))
+def _grams_of(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(shingle hashes of all lines, one after another; how many each line has).
+
+    Every line has ``SHINGLE`` code points at least; shingles that repeat in a line are repeated.
+    """
     text = b"".join(lines)
-    grams = np.ndarray((len(text) - SHINGLE + 1,), "<u8", text, strides=(1,))
+    if text.isascii():
+        sizes = np.fromiter(map(len, lines), np.int64, len(lines))
+    else:
+        sizes = np.fromiter((len(x.decode()) for x in lines), np.int64, len(lines))
+    g = _grams(text)
+    whole = np.ones(len(g), bool)
     ends = np.cumsum(sizes)
-    whole = np.ones(len(grams), bool)
-    for j in range(1, SHINGLE):
-        cross = ends[:-1] - j
-        whole[cross[cross < len(grams)]] = False
-    g = grams[whole]
-    g = (g ^ (g >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
-    h = (g >> np.uint64(32)).astype(np.uint32)
-    starts = np.concatenate([[0], np.cumsum(sizes - SHINGLE + 1)[:-1]])
+    for j in range(1, SHINGLE):         # shingles across two lines
+        whole[ends[:-1] - j] = False
+    return g[whole], sizes - SHINGLE + 1
+
+
+def band_keys(lines: list[bytes]) -> np.ndarray:
+    """One row of ``BANDS`` 64-bit keys per line; all of at least ``SHINGLE`` code points."""
+    g, n = _grams_of(lines)
+    h = _spread(g, 32).astype(np.uint32)
+    starts = np.concatenate([[0], np.cumsum(n)[:-1]])
     keys = np.empty((len(lines), BANDS), np.uint64)
     for b in range(BANDS):
         key = np.full(len(lines), b + 1, np.uint64)
@@ -112,6 +158,44 @@ def band_keys(lines: list[bytes]) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def sketches(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(``SKETCH_BITS`` bits as 64-bit integers, a row per line; distinct shingles of each line)."""
+    g, n = _grams_of(lines)
+    row = np.repeat(np.arange(len(lines)), n)
+    order = np.lexsort((g, row))
+    g, row = g[order], row[order]
+    new = np.ones(len(g), bool)
+    new[1:] = (g[1:] != g[:-1]) | (row[1:] != row[:-1])
+    g, row = g[new], row[new]
+    odd = np.bincount(row * SKETCH_BITS + _spread(g, SKETCH_BITS.bit_length() - 1),
+                      minlength=len(lines) * SKETCH_BITS) & 1
+    bits = np.packbits(odd.astype(bool).reshape(-1, SKETCH_BITS), axis=1, bitorder="little")
+    return bits.view(np.int64), np.bincount(row, minlength=len(lines))
+
+
+def _sketched(lines: DataFrame) -> DataFrame:
+    """``lines`` (line, body and others) with each body's ``length`` in shingles and its sketch."""
+    kept = lines.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "body", STEP_BYTES):
+                bits, n = sketches(part.column("body").to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(n), *[pa.array(c) for c in bits.T]],
+                    names=[*kept, "length", *SKETCH])
+
+    schema = StructType([*lines.schema.fields,
+                         *[StructField(c, LongType()) for c in ("length", *SKETCH)]])
+    return lines.mapInArrow(run, schema)
+
+
+def _may_be_similar(a: str, b: str, sizes: str) -> str:
+    """SQL test of two sketches with the column prefixes a and b; never false for a similar pair."""
+    differ = " + ".join(f"bit_count({a}{c} ^ {b}{c})" for c in SKETCH)
+    return f"{differ} <= {(1 - SIMILARITY) / (1 + SIMILARITY)!r}D * ({sizes}) + 1e-6D"
+
+
 def _occurrences(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -132,17 +216,12 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if lines:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(lines), pa.int64()),
-                     pa.array([k.tobytes() for k in band_keys(list(lines.values()))], pa.binary())],
-                    names=["line", "keys"])
+                     *[pa.array(k) for k in band_keys(list(lines.values())).T]],
+                    names=["line", *KEYS])
 
 
-def _explode_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if batch.num_rows:
-            keys = np.frombuffer(b"".join(batch.column("keys").to_pylist()), np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys), pa.array(np.repeat(batch.column("line").to_numpy(), BANDS))],
-                names=["band", "line"])
+def _banded(distinct: DataFrame) -> DataFrame:
+    return distinct.select(F.explode(F.array(*KEYS)).alias("band"), "line")
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,17 +311,35 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [batch.column("a").filter(mask), batch.column("b").filter(mask)], names=["a", "b"])
 
 
-def _slots(grams: np.ndarray) -> np.ndarray:
-    return ((grams * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64) % SLOTS
+def _slot_counts(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << bits, np.int64)
+        for batch in batches:
+            for part in slices(batch, "body", STEP_BYTES):
+                at, n = np.unique(_spread(np.concatenate(
+                    [shingles(x) for x in part.column("body").to_pylist()]), bits),
+                    return_counts=True)
+                total[at] += n
+        slot = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(total[slot])],
+                                         names=["slot", "n"])
+    return run
 
 
-def _slot_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(SLOTS, np.int64)
-    for batch in batches:
-        for body in batch.column("body").to_pylist():
-            np.add.at(total, _slots(shingles(body)), 1)
-    slot = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(total[slot])], names=["slot", "n"])
+def _frequencies(lines: DataFrame) -> np.ndarray:
+    """For each slot how frequent its shingles are, as thirds of a power of two.
+
+    No count is capped; a slot shared by shingles only changes the order, not what is found.
+    """
+    size = lines.agg(F.coalesce(F.sum(F.length("body")), F.lit(0)).alias("n")).first()["n"]
+    bits = min(MOST_SLOT_BITS, max(LEAST_SLOT_BITS, int(size).bit_length()))
+    counted = lines.select("body").mapInArrow(_slot_counts(bits), "slot long, n long").groupBy(
+        "slot").agg(F.rint(3 * F.log2(1 + F.sum("n"))).alias("level")).select(
+        F.col("slot").cast("int"), F.least("level", F.lit(127.0)).cast("byte").alias("level"))
+    got = counted.toArrow()
+    out = np.zeros(1 << bits, np.int8)
+    out[got.column("slot").to_numpy()] = got.column("level").to_numpy()
+    return out
 
 
 def _beyond(share: float, size: int) -> int:
@@ -250,12 +347,14 @@ def _beyond(share: float, size: int) -> int:
     return size - math.ceil(share * size - 1e-9) + 1
 
 
-def _prefixes(counts: np.ndarray):
-    """The first shingles of each line, rare ones first, and their positions.
+def _prefixes(often: np.ndarray):
+    """The first shingles of each line, rare ones first, their positions and the two before.
 
     The larger line of a similar pair (``probe``) has a shared one among its
     first ``_beyond(SIMILARITY)``, the smaller (``index``) among fewer.
     """
+    bits = len(often).bit_length() - 1
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "body", STEP_BYTES):
@@ -263,20 +362,22 @@ def _prefixes(counts: np.ndarray):
                 for body in part.column("body").to_pylist():
                     g = shingles(body)
                     n = _beyond(SIMILARITY, g.size)
-                    gram.append(g[np.lexsort((g, counts[_slots(g)]))[:n]])
+                    gram.append(g[np.lexsort((g, often[_spread(g, bits)]))[:n]])
                     sizes.append(g.size)
                     lengths.append(n)
                     index.append(_beyond(2 * SIMILARITY / (1 + SIMILARITY), g.size))
                 lengths = np.array(lengths)
                 at = np.concatenate([np.arange(n) for n in lengths])
+                row = pa.array(np.repeat(np.arange(part.num_rows), lengths))
+                gram = np.concatenate(gram).view(np.int64)
+                before = [pa.array(np.concatenate([gram[:k], gram[:-k]]), mask=at < k)
+                          for k in (1, 2)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(gram).view(np.int64)),
-                     pa.array(np.repeat(part.column("line").to_numpy(), lengths)),
-                     pa.array(np.repeat(part.column("component").to_numpy(), lengths)),
-                     pa.array(np.repeat(sizes, lengths).astype(np.int32)),
+                    [pa.array(gram), *[part.column(c).take(row) for c in ("line", "component")],
+                     *before, pa.array(np.repeat(sizes, lengths).astype(np.int32)),
                      pa.array(at.astype(np.int32)),
                      pa.array(at < np.repeat(index, lengths))],
-                    names=["gram", "line", "component", "size", "at", "index"])
+                    names=["gram", "line", "component", "before1", "before2", "size", "at", "index"])
     return run
 
 
@@ -286,33 +387,33 @@ def crowded_pairs(lines: DataFrame) -> DataFrame:
     Every similar pair of two components is among them.
     """
     spark = lines.sparkSession
-    counted = lines.select("body").mapInArrow(_slot_counts, "slot long, n long").groupBy(
-        "slot").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.zeros(SLOTS, np.uint16)
-    counts[counted["slot"].to_numpy(np.int64)] = np.minimum(counted["n"].to_numpy(np.int64), 65535)
     every = written(lines.select("line", "body", "component").mapInArrow(
-        _prefixes(counts),
-        "gram long, line long, component long, size int, at int, index boolean"), "line-prefixes")
+        _prefixes(_frequencies(lines)), "gram long, line long, component long, before1 long, "
+        "before2 long, size int, at int, index boolean"), "line-prefixes")
     # a shingle of one component leads to no new pair
     shared = every.groupBy("gram").agg(
         F.min("component").alias("lo"), F.max("component").alias("hi"),
-        F.ceil(F.count("*") / F.lit(CELL)).cast("int").alias("salts")).where("lo < hi")
+        F.ceil(F.count("*") / F.lit(CELL)).alias("salts")).where("lo < hi")
     rows = written(every.join(shared.select("gram", "salts"), "gram"), "line-shared")
     drop_scratch(every)
     free_shuffles(spark)
-    own = F.pmod(F.xxhash64("line"), F.col("salts")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("salts") - 1))
-    x = rows.select("gram", own.alias("i"), other.alias("j"), F.col("line").alias("b"),
-                    F.col("component").alias("cx"), F.col("size").alias("nx"),
-                    F.col("at").alias("px"))
-    y = rows.where("index").select("gram", own.alias("j"), other.alias("i"), F.col("line").alias("a"),
-                                   F.col("component").alias("cy"), F.col("size").alias("ny"),
-                                   F.col("at").alias("py"))
+    own = F.pmod(F.xxhash64("line"), F.col("salts"))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1))
+
+    def side(df, mine, theirs, prefix, name):
+        return df.select("gram", own.alias(mine), other.alias(theirs), F.col("line").alias(name),
+                         *[F.col(c).alias(f"{prefix}{c}") for c in (
+                             "component", "size", "at", "before1", "before2")])
+
+    x = side(rows, "i", "j", "x", "b")
+    y = side(rows.where("index"), "j", "i", "y", "a")
     t = SIMILARITY
+    known = " OR ".join(f"coalesce(xbefore{i} = ybefore{j}, false)" for i in (1, 2) for j in (1, 2))
     # at the first shared shingle no more than what follows can be shared
-    may = ("cx <> cy AND (ny < nx OR ny = nx AND a < b) "
-           f"AND ny >= {t}D * nx - 1e-6D "
-           f"AND least(nx - px, ny - py) >= {t / (1 + t)!r}D * (nx + ny) - 1e-6D")
+    may = ("xcomponent <> ycomponent AND (ysize < xsize OR ysize = xsize AND a < b) "
+           f"AND ysize >= {t}D * xsize - 1e-6D "
+           f"AND least(xsize - xat, ysize - yat) >= {t / (1 + t)!r}D * (xsize + ysize) - 1e-6D "
+           f"AND NOT ({known})")
     return (x.join(y, ["gram", "i", "j"]).where(may)
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
@@ -331,11 +432,20 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The (a, b) of ``pairs`` that are similar; ``texts`` has the body of each line."""
-    both = (pairs.join(texts.select(F.col("line").alias("a"), F.col("body").alias("s")), "a")
-            .join(texts.select(F.col("line").alias("b"), F.col("body").alias("t")), "b")
-            .select("a", "b", "s", "t"))
-    return both.mapInArrow(_similar, "a long, b long")
+    """The (a, b) of ``pairs`` that are similar; ``texts`` has the body of each line.
+
+    If it has sketches too, they rule pairs out before any body is compared.
+    """
+    drawn = [c for c in ("length", *SKETCH) if c in texts.columns]
+
+    def side(name, body):
+        return texts.select(F.col("line").alias(name), F.col("body").alias(body),
+                            *[F.col(c).alias(f"{body}{c}") for c in drawn])
+
+    both = pairs.join(side("a", "s"), "a").join(side("b", "t"), "b")
+    if drawn:
+        both = both.where(_may_be_similar("s", "t", "slength + tlength"))
+    return both.select("a", "b", "s", "t").mapInArrow(_similar, "a long, b long")
 
 
 def similar_lines(docs: DataFrame) -> DataFrame:
@@ -343,11 +453,11 @@ def similar_lines(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     ship(spark)
     d = documents(docs)
-    distinct = written(d.mapInArrow(_signatures, "line long, keys binary")
-                       .groupBy("line").agg(F.first("keys").alias("keys")), "line-signatures")
+    distinct = written(d.mapInArrow(_signatures, "line long, " + ", ".join(
+        f"{k} long" for k in KEYS)).groupBy("line").agg(*[F.first(k).alias(k) for k in KEYS]),
+        "line-signatures")
     free_shuffles(spark)
-    rows = (distinct.mapInArrow(_explode_keys, "band long, line long")
-            .repartitionByRange("band", "line").sortWithinPartitions("band", "line"))
+    rows = (_banded(distinct).repartitionByRange("band", "line").sortWithinPartitions("band", "line"))
     found = written(rows.mapInArrow(_candidates, "a long, b long, edge int, band long"),
                     "line-candidates")
     # fragments of one bucket in several partitions: two rows per partition at most
@@ -366,7 +476,7 @@ def similar_lines(docs: DataFrame) -> DataFrame:
                     "line-pairs")
     crowded = found.where("edge = 0 AND a = b").select(F.col("a").alias("line"))
     if not stitched.isEmpty():
-        crowded = crowded.union(distinct.mapInArrow(_explode_keys, "band long, line long").join(
+        crowded = crowded.union(_banded(distinct).join(
             F.broadcast(ahead.where("n > 1")), "band", "left_semi").select("line"))
     crowded = written(crowded.distinct(), "line-crowded")
     drop_scratch(distinct)
@@ -381,9 +491,10 @@ def similar_lines(docs: DataFrame) -> DataFrame:
     among = (links.join(crowded.toDF("a"), "a", "left_semi")
              .join(crowded.toDF("b"), "b", "left_semi").select("a", "b"))
     united = components(among)
-    lines = written(crowded.join(texts, "line").join(united, F.col("line") == F.col("node"), "left")
-                    .select("line", "body", F.coalesce("component", "line").alias("component")),
-                    "line-crowded-texts")
+    lines = written(_sketched(
+        crowded.join(texts, "line").join(united, F.col("line") == F.col("node"), "left")
+        .select("line", "body", F.coalesce("component", "line").alias("component"))),
+        "line-crowded-texts")
     free_shuffles(spark)
     return links.union(written(_verified(crowded_pairs(lines), lines), "line-links"))
 
@@ -391,7 +502,7 @@ def similar_lines(docs: DataFrame) -> DataFrame:
 def removed_lines(docs: DataFrame, short_copies: bool = True) -> DataFrame:
     """(doc_id, th, gone): line numbers to remove, for documents that lose any.
 
-    Lines under ``LEAST_BYTES`` bytes go if they repeat an earlier one exactly,
+    Lines under ``LEAST_CHARS`` code points go if they repeat an earlier one exactly,
     or not at all without ``short_copies``. ``th`` is ``xxhash64`` of the text; a null id is ``LAST_ID``.
     """
     spark = docs.sparkSession
@@ -399,15 +510,21 @@ def removed_lines(docs: DataFrame, short_copies: bool = True) -> DataFrame:
     found = components(similar_lines(docs))
     free_shuffles(spark)
     at = written(_keyed(docs).select("doc_id", "th", "text").mapInArrow(
-        _occurrences(1 if short_copies else LEAST_BYTES),
+        _occurrences(1 if short_copies else LEAST_CHARS),
         "doc_id long, th long, numbers array<int>, lines array<long>"), "lines")
     each = at.select("doc_id", "th", F.explode(F.arrays_zip("numbers", "lines")).alias("z")).select(
         "doc_id", "th", F.col("z.numbers").alias("number"), F.col("z.lines").alias("line"))
-    named = each.join(found, F.col("line") == F.col("node"), "left").select(
-        "doc_id", "th", "number", F.coalesce("component", "line").alias("class"))
-    first = named.groupBy("class").agg(
+    # by line first, so that what a component joins is a row per distinct line
+    named = written(each.groupBy("line").agg(
         F.min(F.struct("doc_id", "th", "number")).alias("kept"), F.count("*").alias("n"))
-    gone = (named.join(first.where("n > 1"), "class")
+        .join(found, F.col("line") == F.col("node"), "left").select(
+            "line", F.coalesce("component", "line").alias("class"), "kept", "n"), "line-classes")
+    free_shuffles(spark)
+    first = named.groupBy("class").agg(F.min("kept").alias("kept"), F.sum("n").alias("n"))
+    # a table of its own, so that the join is free to split the rows of a frequent line
+    repeated = written(named.select("class", "line").join(first.where("n > 1"), "class")
+                       .select("line", "kept"), "line-firsts")
+    gone = (each.join(repeated, "line")
             .where(F.struct("doc_id", "th", "number") != F.col("kept")))
     return gone.groupBy("doc_id", "th").agg(F.array_sort(F.collect_set("number")).alias("gone"))
 
@@ -426,11 +543,11 @@ def _cut(text: pd.Series, gone: pd.Series) -> pd.Series:
                      dtype=object)
 
 
-def drop_lines(docs: DataFrame, short_copies: bool = False) -> DataFrame:
+def drop_lines(docs: DataFrame, short_copies: bool = True) -> DataFrame:
     """``docs`` with the removed lines cut out of ``text``; all columns and rows stay.
 
-    ``n_chars``, if there is such a column, becomes the new length. Copies of
-    lines under ``LEAST_BYTES`` bytes are cut with ``short_copies`` only.
+    ``n_chars``, if there is such a column, becomes the new length. Without
+    ``short_copies`` lines under ``LEAST_CHARS`` code points all stay.
     """
     gone = removed_lines(docs, short_copies)
     i, h, g = (fresh(docs, x) for x in ("line_doc", "line_hash", "line_gone"))
@@ -466,8 +583,8 @@ def line_report(docs: DataFrame) -> DataFrame:
 def brute_force(texts: list[tuple[int, str]]) -> dict[int, str]:
     """Reference result for small inputs: every pair of lines is compared, short ones as a whole."""
     occurrences = [(d, i, s) for d, t in sorted(texts) for i, s in long_lines(t.encode(), 1)]
-    bodies = sorted({s for _, _, s in occurrences}, key=lambda s: (len(s) < LEAST_BYTES, s))
-    sets = [shingles(s) for s in bodies if len(s) >= LEAST_BYTES]
+    bodies = sorted({s for _, _, s in occurrences}, key=lambda s: (len(s.decode()) < LEAST_CHARS, s))
+    sets = [shingles(s) for s in bodies if len(s.decode()) >= LEAST_CHARS]
     root = list(range(len(bodies)))
 
     def find(x):

@@ -189,7 +189,7 @@ def test_drop_lines_keeps_columns_and_rows(spark):
     rows = [(1, LINE + "\nshort"), (2, "own line that nobody else has\n" + LINE + "\nshort"),
             (3, None), (4, ""), (4, ""), (None, LINE)]
     df = frame(spark, rows)
-    out = line_dedup.drop_lines(df)
+    out = line_dedup.drop_lines(df, short_copies=False)
     assert out.schema == df.schema
     got = sorted(((r.doc_id or 99), r.text, r.n_chars) for r in out.collect() if r.text is not None)
     assert got == [(1, LINE + "\nshort", len(LINE) + 6),
@@ -223,7 +223,7 @@ def test_copies_of_short_lines_go(spark):
     assert len(got) == len(rows)
     assert {r.doc_id: r.kept_sha256 for r in got} == {d: line_dedup.digest(t)
                                                       for d, t in want.items()}
-    out = line_dedup.drop_lines(df, short_copies=True).collect()
+    out = line_dedup.drop_lines(df).collect()
     assert {(r.doc_id, r.text, r.n_chars) for r in out} == {(d, t, len(t)) for d, t in want.items()}
 
 
@@ -252,6 +252,53 @@ def test_fuzzy_lines_of_one_template(spark):
     assert removed <= {j for _, j in want} and len(removed) >= len(want) - 1
 
 
+SCRIPTS = ["abcdefghijklmnop qrst", "漢字語文書本日月火水木金土人大小中上下左右", "aé漢😀 bßяЖد"]
+
+
+@pytest.mark.parametrize("alphabet", SCRIPTS)
+def test_fuzzy_lines_of_every_script(spark, alphabet):
+    import random
+    rng = random.Random(len(alphabet))
+    lines = ["".join(rng.choices(alphabet, k=k)).strip() + "x" * 3 for k in
+             [17, 19, 30, 47, 60, 60, 90, 200]]
+    for base in list(lines):
+        for _ in range(3):      # one inner character changed, or the last one
+            at = rng.randrange(8, len(base) - 8)
+            lines += [base[:at] + "Z" + base[at + 1:], base[:-1] + rng.choice("uvw")]
+    rows = [(i, x + "\n" + rng.choice(lines)) for i, x in enumerate(lines)]
+    got = {r.doc_id: r.kept_sha256 for r in line_dedup.line_report(frame(spark, rows)).collect()}
+    want = {d: line_dedup.digest(t) for d, t in line_dedup.brute_force(rows).items()}
+    assert sum(got[d] != want[d] for d in want) == 0
+
+
+def test_smallest_line_that_survives_an_inner_edit():
+    letters = [chr(0x4E00 + i) for i in range(100)]
+    for n, similar in ((78, False), (79, True)):
+        line = "".join(letters[:n])
+        edit = line[:30] + "x" + line[31:]
+        j = line_dedup.jaccard(line_dedup.shingles(line.encode()), line_dedup.shingles(edit.encode()))
+        assert (j >= line_dedup.SIMILARITY) == similar
+
+
+def test_sketches_rule_out_no_similar_pair():
+    import random
+    import numpy as np
+    rng = random.Random(9)
+    ruled_out = 0
+    for k in range(300):
+        a = "".join(rng.choices("abcé漢 ", k=rng.randrange(20, 600)))
+        b = list(a)
+        for _ in range(rng.randrange(1 + len(a) // 8)):
+            b[rng.randrange(len(b))] = rng.choice("xyz")
+        pair = [a.encode(), "".join(b).encode()]
+        bits, n = line_dedup.sketches(pair)
+        differ = int(np.bitwise_count((bits[0] ^ bits[1]).view(np.uint64)).sum())
+        ok = differ <= (1 - 0.8) / (1 + 0.8) * n.sum() + 1e-6
+        ruled_out += not ok
+        assert ok or line_dedup.jaccard(*map(line_dedup.shingles, pair)) < 0.8
+    assert ruled_out > 50
+
+
 def test_crowded_pairs_miss_no_similar_pair(spark, monkeypatch):
     import random
     rng = random.Random(5)
