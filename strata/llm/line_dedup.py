@@ -64,7 +64,8 @@ LEAST_CHARS = 20
 SIMILARITY = 0.8
 BANDS, ROWS = 10, 4
 SPACE = b" \t\n\x0b\x0c\r"
-STEP_BYTES = 400_000
+#: Bytes of lines that one vectorised step works on: its arrays stay in a core's cache.
+STEP_BYTES = 100_000
 #: Lines of a bucket up to which the chain is all pairs.
 ALL_PAIRS = 4
 #: Bits of the number of counters (a byte each, on the driver and in tasks) that order shingles by
@@ -73,6 +74,8 @@ LEAST_SLOT_BITS, MOST_SLOT_BITS = 16, 22
 #: Lines with one shingle that are compared in one cell; more are salted.
 CELL = 1000
 SKETCH_BITS = 512
+#: Bits of the marks by which a batch of pairs is filtered before shingles are compared one by one.
+MARK_BITS = 2048
 SKETCH = [f"sketch{i}" for i in range(SKETCH_BITS // 64)]
 KEYS = [f"k{i}" for i in range(BANDS)]
 _RANDOM = np.random.default_rng(20240229)
@@ -104,7 +107,8 @@ def _spread(grams: np.ndarray, bits: int) -> np.ndarray:
 
 def shingles(line: bytes) -> np.ndarray:
     """The distinct shingles of a line, ascending, each as a 64-bit integer."""
-    return np.unique(_grams(line))
+    g = np.sort(_grams(line))
+    return g[np.concatenate([[True], g[1:] != g[:-1]])] if g.size else g
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
@@ -120,6 +124,19 @@ def long_lines(text: bytes, least: int = LEAST_CHARS) -> list[tuple[int, bytes]]
             and (s.isascii() or len(s) >= 4 * least or len(s.decode()) >= least)]
 
 
+def _steps(items: list, size=len) -> Iterator[list]:
+    """Consecutive parts of ``items`` with at most ``STEP_BYTES`` bytes (one item at least)."""
+    start = total = 0
+    for i, item in enumerate(items):
+        n = size(item)
+        if i > start and total + n > STEP_BYTES:
+            yield items[start:i]
+            start, total = i, 0
+        total += n
+    if start < len(items):
+        yield items[start:]
+
+
 def line_id(line: bytes) -> int:
     return xxhash.xxh3_64_intdigest(line) - 2**63
 
@@ -148,11 +165,12 @@ def band_keys(lines: list[bytes]) -> np.ndarray:
     h = _spread(g, 32).astype(np.uint32)
     starts = np.concatenate([[0], np.cumsum(n)[:-1]])
     keys = np.empty((len(lines), BANDS), np.uint64)
+    mixed = np.empty_like(h)
     for b in range(BANDS):
         key = np.full(len(lines), b + 1, np.uint64)
         for k in range(b * ROWS, (b + 1) * ROWS):
-            low = np.minimum.reduceat((h ^ _XOR[k]) * _MULTIPLY[k], starts)
-            key = (key ^ low) * np.uint64(0xBF58476D1CE4E5B9)
+            np.multiply(np.bitwise_xor(h, _XOR[k], out=mixed), _MULTIPLY[k], out=mixed)
+            key = (key ^ np.minimum.reduceat(mixed, starts)) * np.uint64(0xBF58476D1CE4E5B9)
             key ^= key >> np.uint64(29)
         keys[:, b] = key
     return keys.view(np.int64)
@@ -173,6 +191,24 @@ def sketches(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return bits.view(np.int64), np.bincount(row, minlength=len(lines))
 
 
+def may_be_similar(s: list[bytes], t: list[bytes]) -> np.ndarray:
+    """For each pair of lines whether it passes an exact filter; a similar pair always does.
+
+    A bit marked in one line alone stands for a shingle that the lines do not share,
+    and counts with repeats are no lower than those of distinct shingles.
+    """
+    def marks(lines):
+        g, n = _grams_of(lines)
+        out = np.zeros((len(lines), MARK_BITS), bool)
+        out.reshape(-1)[np.repeat(np.arange(len(lines)) * MARK_BITS, n)
+                        + _spread(g, MARK_BITS.bit_length() - 1)] = True
+        return out, n
+
+    (x, m), (y, n) = marks(s), marks(t)
+    differ = np.count_nonzero(x != y, axis=1)
+    return differ <= (1 - SIMILARITY) / (1 + SIMILARITY) * (m + n) + 1e-6
+
+
 def _sketched(lines: DataFrame) -> DataFrame:
     """``lines`` (line, body and others) with each body's ``length`` in shingles and its sketch."""
     kept = lines.columns
@@ -211,12 +247,12 @@ def _occurrences(least: int):
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in slices(batch, limit=STEP_BYTES):
+        for part in slices(batch):
             lines = {line_id(s): s for t in utf8(part) for _, s in long_lines(t)}
             if lines:
+                keys = np.concatenate([band_keys(x) for x in _steps(list(lines.values()))])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(lines), pa.int64()),
-                     *[pa.array(k) for k in band_keys(list(lines.values())).T]],
+                    [pa.array(list(lines), pa.int64()), *[pa.array(k) for k in keys.T]],
                     names=["line", *KEYS])
 
 
@@ -291,21 +327,19 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        known: dict[bytes, np.ndarray] = {}
-
-        def of(text: bytes) -> np.ndarray:
-            if text not in known:
-                known[text] = shingles(text)
-            return known[text]
-
+        pairs = list(zip(utf8(batch, "s"), utf8(batch, "t"), strict=True))
         keep = []
-        for s, t in zip(utf8(batch, "s"), utf8(batch, "t"), strict=True):
-            small, large = sorted((len(s), len(t)))
-            x, y = of(s), of(t)
-            keep.append(min(x.size, y.size) >= SIMILARITY * max(x.size, y.size)
-                        and jaccard(x, y) >= SIMILARITY)
-            if len(known) > 2000 or large > 1_000_000:
-                known.clear()
+        for part in _steps(pairs, lambda p: len(p[0]) + len(p[1])):
+            known: dict[bytes, np.ndarray] = {}
+            for pair, may in zip(part, may_be_similar(*map(list, zip(*part, strict=True))), strict=True):
+                if may:
+                    for text in pair:
+                        if text not in known:
+                            known[text] = shingles(text)
+                    x, y = (known[text] for text in pair)
+                    may = (min(x.size, y.size) >= SIMILARITY * max(x.size, y.size)
+                           and jaccard(x, y) >= SIMILARITY)
+                keep.append(bool(may))
         mask = pa.array(keep, pa.bool_())
         yield pa.RecordBatch.from_arrays(
             [batch.column("a").filter(mask), batch.column("b").filter(mask)], names=["a", "b"])

@@ -299,6 +299,24 @@ def test_sketches_rule_out_no_similar_pair():
     assert ruled_out > 50
 
 
+def test_marks_rule_out_no_similar_pair():
+    import random
+    rng = random.Random(11)
+    a, b = [b"x" * 20, b"ab" * 15, b"x" * 20], [b"x" * 9000, b"ab" * 400, b"y" * 20]
+    for _ in range(600):
+        x = "".join(rng.choices("abcé漢 ", k=rng.randrange(20, 900)))
+        y = list(x)
+        for _ in range(rng.randrange(1 + len(x) // 16)):
+            y[rng.randrange(len(y))] = rng.choice("xyz")
+        a.append(x.encode())
+        b.append("".join(y).encode())
+    may = line_dedup.may_be_similar(a, b)
+    near = [line_dedup.jaccard(*map(line_dedup.shingles, p)) >= 0.8 for p in zip(a, b, strict=True)]
+    assert near[:3] == [True, True, False]
+    assert all(m for m, n in zip(may, near, strict=True) if n)
+    assert sum(near) > 50 and (~may).sum() > 50
+
+
 def test_crowded_pairs_miss_no_similar_pair(spark, monkeypatch):
     import random
     rng = random.Random(5)
