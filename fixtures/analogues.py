@@ -208,7 +208,7 @@ def silver_lineitem_schema() -> StructType:
 def line_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lineitem as versions of its keys, the version being the ship date: the newest row
     of each key (``NEWER``), and the oldest as a delivery of its own."""
-    from strata.operators import dedupe_latest
+    from strata.operators import dedupe_ends
     li = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("ORDER_KEY"), F.col("l_linenumber").alias("LINE_NUMBER"),
         F.col("l_partkey").alias("PART_KEY"), F.col("l_quantity").alias("QUANTITY"),
@@ -217,9 +217,7 @@ def line_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_date("l_shipdate").alias("SHIP_DATE"),
         F.nullif(F.col("l_shipdate"), F.lit(UNDATED).cast("timestamp_ntz"))
         .cast("timestamp").alias("SOURCE_ADDED_ON"))
-    ends = [dedupe_latest(li, LINEITEM_KEYS, ["SOURCE_ADDED_ON"], newest=n).withColumn(
-        "NEWER", F.lit(n)) for n in (True, False)]
-    return ends[0].unionByName(ends[1])
+    return dedupe_ends(li, LINEITEM_KEYS, ["SOURCE_ADDED_ON"], flag="NEWER")
 
 
 def orders_snapshot(spark: SparkSession, sf_dir: str, by_year: bool = False) -> DataFrame:

@@ -146,7 +146,8 @@ def q_upsert_by_file(spark, sf):
 
 def q_upsert_newest(spark, sf):
     # the newer delivery first, then the older one, which comes late, then both again
-    versions = A.line_versions(spark, sf)
+    # deliveries are stored files, read as often as they come
+    versions = _stored(spark, A.line_versions(spark, sf), "newest-deliveries", "NEWER")
     late, early = (versions.filter(F.col("NEWER") == n).drop("NEWER") for n in (False, True))
     schema = versioned(A.silver_lineitem_schema())
     table = conform_to_schema(full_reload(early, A.PREV_RUN_ID, A.PREV_RUN_TS), schema,
@@ -155,7 +156,7 @@ def q_upsert_newest(spark, sf):
         path = scratch_path(spark, f"newest-{k}")
         write_table(table, path)
         table = upsert(spark.read.parquet(path), delivery, A.LINEITEM_KEYS, A.RUN_ID, A.RUN_TS,
-                       newest_by=VERSION_COLUMN)
+                       newest_by=VERSION_COLUMN, materialize_source=False)
     return table
 
 
@@ -551,9 +552,9 @@ def _with_copies(appointments):
     return appointments.unionByName(appointments.filter(F.col("CARRIER_NAME") == "1-URGENT"))
 
 
-def _stored(spark, df, label):
+def _stored(spark, df, label, partition_by=None):
     path = scratch_path(spark, label)
-    write_table(df, path)
+    write_table(df, path, partition_by=partition_by)
     return spark.read.parquet(path)
 
 

@@ -8,6 +8,8 @@ from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, ByteType, Dat
                                DoubleType, FloatType, IntegerType, LongType, MapType, ShortType,
                                StringType, StructType, TimestampNTZType, TimestampType)
 
+COMPRESSION = "zstd"        # of the Parquet files written: about a quarter smaller than snappy
+
 
 def q(name: str) -> Column:
     """Column by exact name, safe for names with dots or spaces."""
@@ -93,6 +95,7 @@ def materialize(df: DataFrame, label: str) -> tuple[DataFrame, int, int]:
     from strata.session import scratch_path
     path = scratch_path(df.sparkSession, label)
     obs = Observation(f"{label}-size")
-    df.observe(obs, *_size_exprs(df)).write.mode("overwrite").parquet(path)
+    (df.observe(obs, *_size_exprs(df)).write.mode("overwrite").option("compression", COMPRESSION)
+     .parquet(path))
     rows, text = int(obs.get["rows"]), int(obs.get["text_bytes"] or 0)
     return df.sparkSession.read.parquet(path), rows, rows * fixed_row_bytes(df) + text

@@ -26,11 +26,33 @@ def dedupe_latest(df: DataFrame, keys, order_by=("ADDED_ON",), newest: bool = Tr
     NULL order values lose to any value (as ``desc nulls last`` would). With
     ``newest=False`` the oldest row wins instead.
     """
+    keys, packed = _packed(df, keys, order_by)
+    pick = F.max(packed) if newest else F.min(packed)
+    return _unpacked(df, df.groupBy(*[q(k) for k in keys]).agg(pick.alias("__row")), keys)
+
+
+def dedupe_ends(df: DataFrame, keys, order_by=("ADDED_ON",), flag: str = "NEWEST") -> DataFrame:
+    """The newest row per key (``flag`` true) and the oldest (false), as ``dedupe_latest`` picks
+    them, by one aggregation instead of two."""
+    keys, packed = _packed(df, keys, order_by)
+    both = df.groupBy(*[q(k) for k in keys]).agg(
+        F.array(*[F.struct(end.alias("row"), F.lit(newest).alias("newest"))
+                  for newest, end in ((True, F.max(packed)), (False, F.min(packed)))])
+        .alias("__ends"))
+    rows = both.select(*[q(k) for k in keys], F.explode("__ends").alias("__end")).select(
+        *[q(k) for k in keys], F.col("__end.row").alias("__row"),
+        F.col("__end.newest").alias(flag))
+    return _unpacked(df, rows, keys, flag)
+
+
+def _packed(df: DataFrame, keys, order_by):
+    """The keys, and a struct of all other columns in the order that decides."""
     keys = resolve(df, split_keys(keys))
     order = resolve(df, [order_by] if isinstance(order_by, str) else list(order_by))
     rest = [c for c in df.columns if c not in keys and c not in order]
-    packed = F.struct(*[q(c) for c in order + rest])
-    pick = F.max(packed) if newest else F.min(packed)
-    out = df.groupBy(*[q(k) for k in keys]).agg(pick.alias("__row"))
-    return out.select(*[q(k) for k in keys], *[F.col("__row")[c].alias(c) for c in order + rest]) \
-        .select([q(c) for c in df.columns])
+    return keys, F.struct(*[q(c) for c in order + rest])
+
+
+def _unpacked(df: DataFrame, rows: DataFrame, keys, *more) -> DataFrame:
+    return rows.select(*[q(c) if c in keys else F.col("__row")[c].alias(c) for c in df.columns],
+                       *more)

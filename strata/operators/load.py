@@ -12,13 +12,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType
+from pyspark.sql.types import BinaryType, MapType, StringType
 
-from strata.operators._util import (all_not_null, and_all, any_null, fits_budget, materialize, q,
-                                    resolve, split_keys)
+from strata.operators._util import (COMPRESSION, all_not_null, and_all, any_null, fits_budget,
+                                    fixed_row_bytes, materialize, nested, q, resolve,
+                                    split_keys)
 from strata.operators.conform import conform_to_schema, with_audit
 from strata.operators.joins import BROADCAST_BUDGET_BYTES
 from strata.schemas import AUDIT_COLUMNS
+from strata.session import scratch_path
 
 NULL_KEY_SALT_BUCKETS = 4096
 
@@ -43,7 +45,7 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
     an observation on the write itself (no second pass)."""
     obs = Observation("rows_written")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    writer = observed.write.mode(mode)
+    writer = observed.write.mode(mode).option("compression", COMPRESSION)
     if partition_by:
         writer = writer.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
     writer.parquet(path)
@@ -134,12 +136,16 @@ def upsert(target: DataFrame, source: DataFrame, keys, run_id: str, run_ts=None,
     n_bytes = None
     if materialize_source:
         src, _, n_bytes = materialize(src, "upsert-source")
-    _check_source(src, keys, null_keys, check_unique)
     if method == "auto":
         small = (n_bytes <= broadcast_budget if n_bytes is not None
                  else fits_budget(src, broadcast_budget))
         method = "broadcast" if small else "shuffle"
-    if method == "broadcast":
+    by_version = bool(version) and method == "shuffle" and _comparable(target, src, keys, version)
+    _check_source(src, keys, null_keys, check_unique and not by_version)
+    if by_version:
+        out = _upsert_versions(target, src, keys, upd, audit, run_id, _ts(run_ts), version,
+                               check_unique, broadcast_budget)
+    elif method == "broadcast":
         out = _upsert_broadcast(target, src, keys, upd, audit, run_id, _ts(run_ts), version)
     elif method in ("shuffle", "bucketed"):
         out = _upsert_shuffle(target, src, keys, upd, audit, run_id, _ts(run_ts), version,
@@ -194,7 +200,8 @@ def _assemble(target_cols, keys, upd, audit, has_t: Column, has_s: Column, run_i
     return out + [action.alias("__action")]
 
 
-def _upsert_shuffle(target, src, keys, upd, audit, run_id, ts, version, salted=True):
+def _joined(target, src, keys, upd, audit, run_id, ts, version, salted=True):
+    """Kept and updated rows by a sort-merge join."""
     # kept + updated: the target left-joined to the batch. AQE may split a hot
     # target partition (the left side of a left outer join), so copies of one
     # key in the target do not pile onto one task; the batch side is unique.
@@ -210,8 +217,12 @@ def _upsert_shuffle(target, src, keys, upd, audit, run_id, ts, version, salted=T
     cond = and_all([q(f"__t_{k}") == q(f"__s_{k}") for k in keys]
                    + ([F.col("__t__salt") == F.col("__s__salt")] if salted else []))
     updated = F.col("__in_s").isNotNull() & _wins(target, version)
-    old = t.join(s, cond, "left_outer").select(_assemble(
+    return t.join(s, cond, "left_outer").select(_assemble(
         target.schema, keys, upd, audit, F.lit(True), updated, run_id, ts))
+
+
+def _upsert_shuffle(target, src, keys, upd, audit, run_id, ts, version, salted=True):
+    old = _joined(target, src, keys, upd, audit, run_id, ts, version, salted)
     # inserted: batch rows whose key is not in the target; the target's keys
     # are made distinct first (combined on the map side)
     target_keys = target.select([q(k) for k in keys]).distinct()
@@ -219,6 +230,93 @@ def _upsert_shuffle(target, src, keys, upd, audit, run_id, ts, version, salted=T
                                      audit, run_id, ts))
 
 
+def _comparable(target, src, keys, version) -> bool:
+    """Whether keys and versions can be compared ahead of the rows: plain types, keys of one type."""
+    return (not nested(target.select([q(c) for c in [*keys, *version]]))
+            and all(src.schema[k].dataType == target.schema[k].dataType for k in keys))
+
+
+def _kept(target):
+    return target.select("*", F.lit("kept").alias("__action"))
+
+
+def _compare_versions(target, src, keys, version):
+    """The keys that do something with their ``__state``, and the number of keys by state.
+
+    A key is inserted if the target lacks it, and may be updated unless its source row
+    surely loses: by a first version column that is NULL or less than that of all target
+    rows of the key, or by being the same version as the only one. Sameness is told by a
+    64-bit hash of all version columns and their NULLs, so that no other column is shuffled.
+    NULL keys never match; they are left out here. Copies of a key fold before the shuffle.
+    """
+    kcols = [q(k) for k in keys]
+
+    def narrow(df, columns, prefix, *more):
+        cells = [q(c).cast(target.schema[c].dataType) for c in columns]
+        # xxhash64 passes over NULLs, so where they are is hashed too
+        return (df.where(all_not_null(kcols))
+                .select(*[q(k).alias(f"__{prefix}k{i}") for i, k in enumerate(keys)],
+                        cells[0].alias("v"),
+                        F.xxhash64(*cells, *[c.isNull() for c in cells]).alias("h"))
+                .groupBy(*[f"__{prefix}k{i}" for i in range(len(keys))])
+                .agg(*[e.alias(f"__{prefix}_{n}") for n, e in more]))
+
+    v, h, rows = F.col("v"), F.col("h"), F.count(F.lit(1))
+    # bytes that differ lie side by side, which the shuffle's compression likes
+    s = narrow(src, version, "s", ("h", F.max(h)), ("v", F.max(v)), ("n", rows))
+    t = narrow(target, version, "t", ("h", F.max(h)), ("v", F.min(v)), ("n", rows),
+               ("null", F.max(v.isNull())))
+    same = and_all([F.col(f"__sk{i}") == F.col(f"__tk{i}") for i in range(len(keys))])
+    found = F.col("__t_n").isNotNull()
+    loses = ((~F.col("__t_null") & (F.col("__s_v").isNull() | (F.col("__s_v") < F.col("__t_v"))))
+             | ((F.col("__t_n") == 1) & (F.col("__t_h") == F.col("__s_h"))))
+    state = (F.when(F.col("__s_n") > 1, "twice").when(~found, "new").when(loses, "lost")
+             .otherwise("maybe"))
+    seen = Observation("upsert-versions")
+    path = scratch_path(src.sparkSession, "upsert-versions")
+    (s.join(t, same, "left").select(*[F.col(f"__sk{i}") for i in range(len(keys))],
+                                    state.alias("__state"))
+     .observe(seen, *[F.count(F.when(F.col("__state") == x, 1)).alias(x) for x in
+                      ("twice", "new", "lost", "maybe")])
+     .where("__state <> 'lost'").write.option("compression", COMPRESSION).parquet(path))
+    return src.sparkSession.read.parquet(path), seen.get
+
+
+def _upsert_versions(target, src, keys, upd, audit, run_id, ts, version, check_unique,
+                     broadcast_budget):
+    """``_upsert_shuffle`` of the source rows that do something, found by their versions."""
+    touched, n = _compare_versions(target, src, keys, version)
+    names = [f"__sk{i}" for i in range(len(keys))]
+    if n["twice"]:
+        if check_unique:
+            dup = touched.where("__state = 'twice'").select(names).first()
+            raise ValueError(f"source is not unique on {keys}: {dict(zip(keys, dup))}")
+        return _upsert_shuffle(target, src, keys, upd, audit, run_id, ts, version)
+
+    def rows_of(state: str) -> DataFrame:
+        wanted = touched.where(F.col("__state") == state).select(names)
+        if not _texts(wanted) and n[state] * fixed_row_bytes(wanted) <= broadcast_budget:
+            wanted = F.broadcast(wanted)
+        return src.join(wanted, and_all([q(k) == F.col(m) for k, m in zip(keys, names)]),
+                        "left_semi")
+
+    fresh = src.where(any_null([q(k) for k in keys]))
+    if n["new"]:
+        fresh = fresh.unionByName(rows_of("new"))
+    old = _kept(target)
+    if n["maybe"]:
+        mine, small = src, False
+        if 2 * n["maybe"] <= sum(n.values()):       # else the others may come along
+            mine, _, n_bytes = materialize(rows_of("maybe"), "upsert-maybe")
+            small = n_bytes <= broadcast_budget and not nested(mine)
+        old = (_looked_up if small else _joined)(target, mine, keys, upd, audit, run_id, ts, version)
+    return old.unionByName(_inserted(target, fresh, keys, upd, audit, run_id, ts))
+
+
+def _texts(df: DataFrame) -> bool:
+    return any(isinstance(f.dataType, (StringType, BinaryType)) for f in df.schema.fields)
+
+
 def _inserted(target, new_rows, keys, upd, audit, run_id, ts):
     """Batch rows to insert, shaped like the target, audit from this run."""
     by_audit = {v: k for k, v in audit.items()}
@@ -235,14 +333,18 @@ def _inserted(target, new_rows, keys, upd, audit, run_id, ts):
     return new_rows.select(cols + [F.lit("inserted").alias("__action")])
 
 
-def _upsert_broadcast(target, src, keys, upd, audit, run_id, ts, version):
+def _looked_up(target, src, keys, upd, audit, run_id, ts, version):
+    """Kept and updated rows by one pass over the target."""
     t = _prefixed(target, "__t_")
     s = _prefixed(src, "__s_").select("*", F.lit(True).alias("__in_s"))
     cond = and_all([q(f"__t_{k}") == q(f"__s_{k}") for k in keys])
-    # one pass over the target: kept and updated rows
     tj = t.join(F.broadcast(s), cond, "left_outer")
     updated = F.col("__in_s").isNotNull() & _wins(target, version)
-    old = tj.select(_assemble(target.schema, keys, upd, audit, F.lit(True), updated, run_id, ts))
+    return tj.select(_assemble(target.schema, keys, upd, audit, F.lit(True), updated, run_id, ts))
+
+
+def _upsert_broadcast(target, src, keys, upd, audit, run_id, ts, version):
+    old = _looked_up(target, src, keys, upd, audit, run_id, ts, version)
     # source rows with no target row: anti join against the matched keys,
     # found by a key-only scan of the target semi-joined to the source keys
     src_keys = src.select([q(k) for k in keys])
