@@ -8,7 +8,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from strata.operators.conform import conform_to_schema, select_alias, with_audit
 from strata.operators.joins import broadcast_if_small, left_join_fanout, left_join_unique
-from strata.operators.keys import stable_keys, surrogate_key
+from strata.operators.keys import high_water, stable_keys, surrogate_key
 from strata.operators.load import upsert
 from strata.schemas import AUDIT_COLUMNS, GOLD_DIM_APPOINTMENT, GOLD_FACT_SALES
 
@@ -133,8 +133,13 @@ def fact_sales_delta(sales: DataFrame, existing: DataFrame, old_dimension: DataF
     batch = conform_to_schema(rows, StructType(
         [*stored, StructField("__new", schema["APPOINTMENT_DATA_KEY"].dataType)]), on_error=on_error)
     natural = [f.name for f in stored]
-    keyed = stable_keys(batch, existing.select(*natural, "SALES_KEY"), natural, "SALES_KEY",
-                        attributes, key_type=key_type, keep_vanished=False)
+    # only rows with one of the old values can be found
+    old = conform_to_schema(changed.select(F.col("__old").alias("APPOINTMENT_DATA_KEY")), StructType(
+        [schema["APPOINTMENT_DATA_KEY"]]), on_error=on_error).toDF("__was")
+    known = existing.select(*natural, "SALES_KEY").join(
+        old, F.col("APPOINTMENT_DATA_KEY").eqNullSafe(F.col("__was")), "left_semi")
+    keyed = stable_keys(batch, known, natural, "SALES_KEY", attributes, key_type=key_type,
+                        keep_vanished=False, last_key=high_water(existing, "SALES_KEY"))
     moved = keyed.withColumn("APPOINTMENT_DATA_KEY", F.col("__new")).drop("__new")
     return conform_to_schema(upsert(existing, moved, "SALES_KEY", run_id, run_ts), schema,
                              on_error=on_error)
