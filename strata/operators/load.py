@@ -128,6 +128,17 @@ def upsert(target: DataFrame, source: DataFrame, keys, run_id: str, run_ts=None,
     in ``dedupe_latest``): deliveries may come late, repeated or in any order,
     and the target ends with the same values.
     """
+    out, _ = upsert_changes(target, source, keys, run_id, run_ts, update_columns, check_unique,
+                            null_keys, method, broadcast_budget, materialize_source, newest_by)
+    return out if with_action else out.drop("__action")
+
+
+def upsert_changes(target, source, keys, run_id, run_ts=None, update_columns=None,
+                   check_unique=True, null_keys="merge", method="auto",
+                   broadcast_budget=BROADCAST_BUDGET_BYTES, materialize_source=True,
+                   newest_by=None) -> tuple[DataFrame, bool]:
+    """The snapshot of :func:`upsert` with its ``__action``, and false if it is known, from the
+    versions, to be the target as it is."""
     if not run_id:
         raise ValueError("run_id is required")
     keys, src_keys, upd, src_upd, audit = _plan_columns(target, source, keys, update_columns)
@@ -143,16 +154,16 @@ def upsert(target: DataFrame, source: DataFrame, keys, run_id: str, run_ts=None,
     by_version = bool(version) and method == "shuffle" and _comparable(target, src, keys, version)
     _check_source(src, keys, null_keys, check_unique and not by_version)
     if by_version:
-        out = _upsert_versions(target, src, keys, upd, audit, run_id, _ts(run_ts), version,
-                               check_unique, broadcast_budget)
-    elif method == "broadcast":
+        return _upsert_versions(target, src, keys, upd, audit, run_id, _ts(run_ts), version,
+                                check_unique, broadcast_budget)
+    if method == "broadcast":
         out = _upsert_broadcast(target, src, keys, upd, audit, run_id, _ts(run_ts), version)
     elif method in ("shuffle", "bucketed"):
         out = _upsert_shuffle(target, src, keys, upd, audit, run_id, _ts(run_ts), version,
                               salted=method == "shuffle")
     else:
         raise ValueError("method must be 'auto', 'broadcast', 'shuffle' or 'bucketed'")
-    return out if with_action else out.drop("__action")
+    return out, True
 
 
 def _version_columns(target: DataFrame, newest_by, keys, upd) -> list[str]:
@@ -284,14 +295,15 @@ def _compare_versions(target, src, keys, version):
 
 def _upsert_versions(target, src, keys, upd, audit, run_id, ts, version, check_unique,
                      broadcast_budget):
-    """``_upsert_shuffle`` of the source rows that do something, found by their versions."""
+    """``_upsert_shuffle`` of the source rows that do something, found by their versions, and
+    whether there are any."""
     touched, n = _compare_versions(target, src, keys, version)
     names = [f"__sk{i}" for i in range(len(keys))]
     if n["twice"]:
         if check_unique:
             dup = touched.where("__state = 'twice'").select(names).first()
             raise ValueError(f"source is not unique on {keys}: {dict(zip(keys, dup))}")
-        return _upsert_shuffle(target, src, keys, upd, audit, run_id, ts, version)
+        return _upsert_shuffle(target, src, keys, upd, audit, run_id, ts, version), True
 
     def rows_of(state: str) -> DataFrame:
         wanted = touched.where(F.col("__state") == state).select(names)
@@ -301,6 +313,8 @@ def _upsert_versions(target, src, keys, upd, audit, run_id, ts, version, check_u
                         "left_semi")
 
     fresh = src.where(any_null([q(k) for k in keys]))
+    if not n["new"] and not n["maybe"] and fresh.isEmpty():
+        return _kept(target), False
     if n["new"]:
         fresh = fresh.unionByName(rows_of("new"))
     old = _kept(target)
@@ -310,7 +324,7 @@ def _upsert_versions(target, src, keys, upd, audit, run_id, ts, version, check_u
             mine, _, n_bytes = materialize(rows_of("maybe"), "upsert-maybe")
             small = n_bytes <= broadcast_budget and not nested(mine)
         old = (_looked_up if small else _joined)(target, mine, keys, upd, audit, run_id, ts, version)
-    return old.unionByName(_inserted(target, fresh, keys, upd, audit, run_id, ts))
+    return old.unionByName(_inserted(target, fresh, keys, upd, audit, run_id, ts)), True
 
 
 def _texts(df: DataFrame) -> bool:

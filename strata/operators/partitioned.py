@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata.operators._commit import delete, exists, forget, note, noted, of_uri
-from strata.operators._util import and_all, materialize, q, resolve, split_keys
-from strata.operators.load import upsert
+from strata.operators._util import COMPRESSION, and_all, materialize, q, resolve, split_keys
+from strata.operators.load import upsert_changes
 from strata.session import scratch_path
 
 
@@ -45,7 +45,8 @@ def _replace_partitions(spark: SparkSession, path: str, change: dict) -> None:
     columns = change["columns"]
     rows = spark.read.schema(StructType.fromJson(change["schema"])).parquet(change["merged"])
     (rows.hint("rebalance", *columns).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*columns).parquet(path))
+     .option("partitionOverwriteMode", "dynamic").option("compression", COMPRESSION)
+     .partitionBy(*columns).parquet(path))
     for folder in change["emptied"]:
         delete(spark, folder)
 
@@ -73,7 +74,8 @@ def upsert_partitioned(spark: SparkSession, path: str, source: DataFrame, keys,
     have; ``schema`` is the table's (else Spark infers the partition columns'
     types from the folder names). Rules, audit columns and ``options`` are those
     of ``upsert``. A key found in another partition moves to the batch's one,
-    and a partition left without rows is deleted. An empty batch changes nothing.
+    and a partition left without rows is deleted. An empty batch changes nothing, nor does
+    one of which ``newest_by`` shows that no row of it wins or is new.
 
     The merged rows are in the shared scratch folder before the table is
     touched, so a lost executor cannot mix old and new. Folders are replaced
@@ -95,11 +97,18 @@ def upsert_partitioned(spark: SparkSession, path: str, source: DataFrame, keys,
         [q(a).cast(target.schema[b].dataType).alias(b) for a, b in names.items()]), columns))
     # keys and partition columns only; batch keys made distinct, so no key multiplies
     batch_keys = batch.select([q(a).alias(b) for a, b in zip(resolve(batch, keys), keys)]).distinct()
-    old_homes = set(_partitions(target.join(batch_keys, keys, "left_semi"), columns))
+    # where the batch's keys are now matters only if some partition is not affected anyway
+    all_homes = set(_partitions(target, columns))
+    old_homes = set() if all_homes <= new_homes else set(
+        _partitions(target.join(batch_keys, keys, "left_semi"), columns))
     affected = sorted(new_homes | old_homes, key=repr)
     part = target.where(_one_of(columns, affected))
     merged_path = scratch_path(spark, "upsert-merged")
-    upsert(part, batch, keys, run_id, run_ts, **options).write.parquet(merged_path)
+    snapshot, changed = upsert_changes(part, batch, keys, run_id, run_ts,
+                                       **{"materialize_source": False, **options})
+    if not changed:
+        return 0
+    snapshot.drop("__action").write.option("compression", COMPRESSION).parquet(merged_path)
     merged = spark.read.schema(target.schema).parquet(merged_path)
     left = set(_partitions(merged, columns))
     emptied = [of_uri(spark, r[0]) for r in

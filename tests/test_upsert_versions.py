@@ -1,12 +1,13 @@
 """The upsert by versions compares keys and versions before it moves rows."""
 
+import os
 import re
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from strata.operators import dedupe_ends, dedupe_latest, upsert
+from strata.operators import dedupe_ends, dedupe_latest, upsert, upsert_partitioned
 from tests.conftest import rows
 
 TS = datetime(2024, 1, 1)
@@ -86,3 +87,23 @@ def test_both_ends_at_once(spark):
     for newest in (True, False):
         assert rows(both.where(F.col("newer") == newest).drop("newer")) == rows(
             dedupe_latest(df, "k", ["v"], newest=newest))
+
+
+def test_a_partitioned_table_is_left_alone_by_a_merge_done_again(spark, workdir):
+    path = workdir + "/t"
+    table = spark.createDataFrame(
+        [(k, "x", 5, 1, 1, "n" if k % 2 else "m") + OLD for k in range(20)], SCHEMA)
+    table.write.partitionBy("note").parquet(path)
+    batch = _stored(spark.createDataFrame(
+        [(1, "x", 6, 2, 2, "n"), (2, "x", 4, 2, 2, "m"), (30, "x", 1, 2, 2, "m")],
+        "k int, j string, v int, a int, b int, note string"), workdir + "/s")
+    args = (spark, path, batch, "k, j", "note", "r1", TS)
+    options = dict(schema=table.schema, newest_by="v", method="shuffle", broadcast_budget=0)
+    assert upsert_partitioned(*args, **options) == 2
+    after = rows(spark.read.schema(table.schema).parquet(path))
+    assert {(1, "r1"), (30, "r1")} == {r for r in rows(
+        spark.read.schema(table.schema).parquet(path), "k", "MODIFIED_BY") if r[1] == "r1"}
+    files = sorted((d, f) for d, _, fs in os.walk(path) for f in fs)
+    assert upsert_partitioned(*args, **options) == 0
+    assert sorted((d, f) for d, _, fs in os.walk(path) for f in fs) == files
+    assert rows(spark.read.schema(table.schema).parquet(path)) == after
