@@ -28,9 +28,11 @@ such bits than lines of that similarity may differ in rule the pair out.
 Of each component the line that occurs first, by (doc_id, line number), stays,
 and every other occurrence is removed.
 
-A bucket's rows are range-partitioned by (band, line), so a bucket of any size
-is spread over partitions; the fragments, two per partition at most, are
-stitched by further candidates, and their lines count as crowded.
+Each task packs the (band, line) rows of its lines into one row for every part of the
+bands, so that Spark moves few rows. Of a bucket with more than ``ALL_PAIRS + 1`` lines
+in one chunk so many go on under its band and stand for it; the others go to buckets of
+their own, ``CELL`` in each, together with these. So a bucket of any size is spread, its
+lines hang together, and all of them count as crowded.
 
 Shorter lines are alike only if they are equal: each is a component of its own,
 with its copies. A changed inner character costs ``SHINGLE`` shingles, so a line
@@ -50,6 +52,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -71,13 +74,20 @@ ALL_PAIRS = 4
 #: Bits of the number of counters (a byte each, on the driver and in tasks) that order shingles by
 #: how many crowded lines have them: as many as the shingles ask for, within these.
 LEAST_SLOT_BITS, MOST_SLOT_BITS = 16, 22
+#: Bits of the number of bits that tell lines with a candidate, 16 for each of them within these;
+#: when they fill up, more bodies than needed are shuffled.
+LEAST_ID_BITS, MOST_ID_BITS = 16, 25
 #: Lines with one shingle that are compared in one cell; more are salted.
 CELL = 1000
 SKETCH_BITS = 512
 #: Bits of the marks by which a batch of pairs is filtered before shingles are compared one by one.
 MARK_BITS = 2048
 SKETCH = [f"sketch{i}" for i in range(SKETCH_BITS // 64)]
-KEYS = [f"k{i}" for i in range(BANDS)]
+#: Distinct lines whose band keys are sorted and packed at a time; bytes of packed rows, in whole
+#: buckets, that candidates are looked for in at a time.
+CHUNK_LINES, BUCKET_BYTES = 50_000, 2_000_000
+#: Bits of the number of parts that buckets are dealt out in.
+LEAST_PART_BITS, MOST_PART_BITS = 10, 16
 _RANDOM = np.random.default_rng(20240229)
 _XOR = _RANDOM.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
 _MULTIPLY = _RANDOM.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
@@ -245,25 +255,98 @@ def _occurrences(least: int):
     return run
 
 
-def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in slices(batch):
-            lines = {line_id(s): s for t in utf8(part) for _, s in long_lines(t)}
-            if lines:
-                keys = np.concatenate([band_keys(x) for x in _steps(list(lines.values()))])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(lines), pa.int64()), *[pa.array(k) for k in keys.T]],
-                    names=["line", *KEYS])
+def _bucket_rows(lines: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(band, line) of every key of distinct lines, ascending by band as unsigned integers.
 
+    Of a bucket with over ``ALL_PAIRS + 1`` lines so many keep its band, and every ``CELL`` of
+    the others get one of their own together with these: all are in buckets that count as
+    large, they hang together, and none of them holds more of one chunk.
+    """
+    bands, lines = keys.T.reshape(-1).view(np.uint64), np.tile(lines, keys.shape[1])
+    order = np.argsort(bands)
+    bands, lines = bands[order], lines[order]
+    new = np.flatnonzero(np.concatenate([[True], bands[1:] != bands[:-1]]))
+    few = ALL_PAIRS + 1
+    sizes = np.diff(np.append(new, len(bands)))
+    if not (sizes > few).any():
+        return bands, lines
+    large, more = new[sizes > few], sizes[sizes > few] - few
+    head = np.repeat(large, more)
+    nth = np.arange(len(head)) - np.repeat(np.cumsum(more) - more, more)
+    tail = head + few + nth
+    opens = nth % CELL == 0
+    own = (bands[tail[opens]] ^ lines[tail[opens]].view(np.uint64) * _BASE) * _BASE
+    rest = np.ones(len(bands), bool)
+    rest[tail] = False
+    bands, lines = (
+        np.concatenate([bands[rest], own[np.cumsum(opens) - 1], np.repeat(own, few)]),
+        np.concatenate([lines[rest], lines[tail],
+                        lines[head[opens][:, None] + np.arange(few)].reshape(-1)]))
+    order = np.argsort(bands)
+    return bands[order], lines[order]
+
+
+def _signatures(bits: int):
+    """Buckets' rows as bytes, a row for each value of the leading ``bits`` bits of a band."""
+    def packed(lines, keys):
+        lines, first = np.unique(np.concatenate(lines), return_index=True)
+        bands, lines = _bucket_rows(lines, np.concatenate(keys)[first])
+        part = (bands >> np.uint64(64 - bits)).astype(np.int32)
+        at = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+        ends = np.append(at, len(part)).astype(np.int32) * 16
+        rows = np.stack([bands.view(np.int64), lines], 1)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(part[at]), pa.BinaryArray.from_buffers(
+                pa.binary(), len(at), [None, pa.py_buffer(ends), pa.py_buffer(rows)])],
+            names=["part", "rows"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, keys, size = [], [], 0
+        for batch in batches:
+            for part in slices(batch):
+                lines = {line_id(s): s for t in utf8(part) for _, s in long_lines(t)}
+                if lines:
+                    ids.append(np.fromiter(lines, np.int64, len(lines)))
+                    keys += [band_keys(x) for x in _steps(list(lines.values()))]
+                    size += len(lines)
+                if size >= CHUNK_LINES:
+                    yield packed(ids, keys)
+                    ids, keys, size = [], [], 0
+        if size:
+            yield packed(ids, keys)
+    return run
+
+
+def _bucket_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The candidates among packed rows sorted by ``part``, which has its buckets whole."""
+    def unpacked(held):
+        rows = np.frombuffer(b"".join(held), np.int64).reshape(-1, 2)
+        rows = rows[np.argsort(rows[:, 0])]
+        return pa.RecordBatch.from_arrays([pa.array(rows[:, 0].copy()), pa.array(rows[:, 1].copy())],
+                                          names=["band", "line"])
+
+    def sorted_rows():
+        held, size, last = [], 0, None
+        for batch in batches:
+            for part, rows in zip(batch.column("part").to_pylist(),
+                                  batch.column("rows").to_pylist(), strict=True):
+                if part != last and size >= BUCKET_BYTES:
+                    yield unpacked(held)
+                    held, size = [], 0
+                held.append(rows)
+                size, last = size + len(rows), part
+        if held:
+            yield unpacked(held)
 
-def _banded(distinct: DataFrame) -> DataFrame:
-    return distinct.select(F.explode(F.array(*KEYS)).alias("band"), "line")
+    for out in _candidates(sorted_rows()):
+        yield out.select(["a", "b"]).filter(pc.equal(out.column("edge"), 0))
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a partition sorted by (band, line); its edge buckets as (band, first, last).
+    """Pairs of a partition with the rows of a band together; its edge buckets as (band, first, last).
 
     A line of a bucket with more than ``ALL_PAIRS`` lines here is also paired with itself.
+    Lines may repeat in a bucket; copies in one batch, or of a line held from the last, count once.
     """
     # of the bucket at hand: band, its first line here, the last two; whether it began the partition
     band = first = None
@@ -290,15 +373,26 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             done = len(held)
         else:
             done = 0
+        # lines alone in their bucket go, but at the edges; the others in order, copies once
+        same = bands[1:] == bands[:-1]
+        keep = np.concatenate([[True], same]) | np.concatenate([same, [True]])
+        keep[:done] = True
+        bands, lines, fresh_rows = bands[keep], lines[keep], np.arange(len(keep))[keep] >= done
+        bucket = np.cumsum(np.concatenate([[False], bands[1:] != bands[:-1]]))
+        order = np.lexsort((lines, fresh_rows, bucket))
+        bands, lines, fresh_rows = bands[order], lines[order], fresh_rows[order]
+        once = np.ones(len(bands), bool)
+        once[1:] = (bands[1:] != bands[:-1]) | (lines[1:] != lines[:-1])
+        if done:
+            once &= ~(fresh_rows & (bands == band) & np.isin(lines, held))
+        bands, lines, fresh_rows = bands[once], lines[once], fresh_rows[once]
         new = np.flatnonzero(np.concatenate([[True], bands[1:] != bands[:-1]]))
         head = np.repeat(new, np.diff(np.append(new, len(bands))))
         at = np.arange(len(bands))
-        fresh_rows = at >= done
         a, b = [], []
         for back in (0, 1, 2):
             other = head if back == 0 else at - back
             ok = fresh_rows & (other >= head) & (other < at)
-            ok[ok] &= lines[other[ok]] != lines[at[ok]]
             a.append(lines[other[ok]])
             b.append(lines[at[ok]])
         a, b = np.concatenate(a), np.concatenate(b)
@@ -452,13 +546,36 @@ def crowded_pairs(lines: DataFrame) -> DataFrame:
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in slices(batch):
-            lines = {line_id(s): s for t in utf8(part) for _, s in long_lines(t)}
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(lines), pa.int64()), pa.array(list(lines.values()), pa.binary())],
-                names=["line", "body"])
+def _marked(lines: DataFrame) -> np.ndarray:
+    """A bit for each value of the leading bits of a line id, set for those of ``lines``.
+
+    A set bit may stand for other lines too, the more the fuller the bits are.
+    """
+    bits = min(MOST_ID_BITS, max(LEAST_ID_BITS, (16 * lines.count()).bit_length()))
+    got = lines.select(F.expr(f"shiftrightunsigned(line, {64 - bits})").alias("slot")).groupBy(
+        F.expr("shiftright(slot, 3)").cast("int").alias("at")).agg(
+        F.bit_or(F.expr("shiftleft(1, cast(slot & 7 AS int))")).cast("short").alias("byte")).toArrow()
+    out = np.zeros(1 << bits - 3, np.uint8)
+    out[got.column("at").to_numpy()] = got.column("byte").to_numpy()
+    return out
+
+
+def _texts(marked: np.ndarray):
+    """Lines and their bodies, without those whose bit is not set."""
+    down = np.uint64(64 - 3 - (len(marked).bit_length() - 1))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                lines = {line_id(s): s for t in utf8(part) for _, s in long_lines(t)}
+                ids = np.fromiter(lines, np.int64, len(lines))
+                slot = ids.view(np.uint64) >> down
+                has = (marked[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[has > 0]),
+                     pa.array([s for s, h in zip(lines.values(), has.tolist(), strict=True) if h],
+                              pa.binary())], names=["line", "body"])
+    return run
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -487,37 +604,21 @@ def similar_lines(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     ship(spark)
     d = documents(docs)
-    distinct = written(d.mapInArrow(_signatures, "line long, " + ", ".join(
-        f"{k} long" for k in KEYS)).groupBy("line").agg(*[F.first(k).alias(k) for k in KEYS]),
-        "line-signatures")
-    free_shuffles(spark)
-    rows = (_banded(distinct).repartitionByRange("band", "line").sortWithinPartitions("band", "line"))
-    found = written(rows.mapInArrow(_candidates, "a long, b long, edge int, band long"),
+    # band keys are hashes, so their leading bits deal the buckets out evenly
+    wide = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bits = min(MOST_PART_BITS, max(LEAST_PART_BITS, wide.bit_length()))
+    found = written(d.mapInArrow(_signatures(bits), "part int, rows binary").repartition("part")
+                    .sortWithinPartitions("part").mapInArrow(_bucket_pairs, "a long, b long"),
                     "line-candidates")
-    # fragments of one bucket in several partitions: two rows per partition at most
-    edges = found.where("edge = 1").select("band", F.col("a").alias("first"),
-                                           F.col("b").alias("last"))
-    ahead = edges.groupBy("band").agg(F.min("first").alias("least"),
-                                      F.max("last").alias("most"), F.count("*").alias("n"))
-    stitched = edges.join(F.broadcast(ahead.where("n > 1")), "band")
-    joined = (stitched.select(F.explode(F.array(
-        F.struct(F.col("least").alias("x"), F.col("first").alias("y")),
-        F.struct(F.col("first").alias("x"), F.col("most").alias("y")),
-        F.struct(F.col("last").alias("x"), F.col("most").alias("y")))).alias("p"))
-        .select(F.least("p.x", "p.y").alias("a"), F.greatest("p.x", "p.y").alias("b"))
-        .where("a <> b"))
-    pairs = written(found.where("edge = 0 AND a <> b").select("a", "b").union(joined).distinct(),
-                    "line-pairs")
-    crowded = found.where("edge = 0 AND a = b").select(F.col("a").alias("line"))
-    if not stitched.isEmpty():
-        crowded = crowded.union(_banded(distinct).join(
-            F.broadcast(ahead.where("n > 1")), "band", "left_semi").select("line"))
-    crowded = written(crowded.distinct(), "line-crowded")
-    drop_scratch(distinct)
     free_shuffles(spark)
-    wanted = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "line")
-    texts = written(d.mapInArrow(_texts, "line long, body binary").join(wanted, "line", "left_semi")
-                    .dropDuplicates(["line"]), "line-texts")
+    pairs = written(found.where("a <> b").distinct(), "line-pairs")
+    crowded = written(found.where("a = b").select(F.col("a").alias("line")).distinct(),
+                      "line-crowded")
+    drop_scratch(found)
+    wanted = written(pairs.select("a").union(pairs.select("b")).distinct().toDF("line"),
+                     "line-wanted")
+    texts = written(d.mapInArrow(_texts(_marked(wanted)), "line long, body binary")
+                    .join(wanted, "line", "left_semi").dropDuplicates(["line"]), "line-texts")
     free_shuffles(spark)
     links = written(_verified(pairs, texts), "line-links")
     if crowded.isEmpty():
@@ -548,17 +649,19 @@ def removed_lines(docs: DataFrame, short_copies: bool = True) -> DataFrame:
         "doc_id long, th long, numbers array<int>, lines array<long>"), "lines")
     each = at.select("doc_id", "th", F.explode(F.arrays_zip("numbers", "lines")).alias("z")).select(
         "doc_id", "th", F.col("z.numbers").alias("number"), F.col("z.lines").alias("line"))
-    # by line first, so that what a component joins is a row per distinct line
-    named = written(each.groupBy("line").agg(
-        F.min(F.struct("doc_id", "th", "number")).alias("kept"), F.count("*").alias("n"))
-        .join(found, F.col("line") == F.col("node"), "left").select(
-            "line", F.coalesce("component", "line").alias("class"), "kept", "n"), "line-classes")
+    # the lines that recur or have a component, each with its class: no other can go
+    member = found.toDF("line", "class").union(
+        found.select("component", F.col("component").alias("class")).distinct())
+    named = written(each.select("line", F.lit(None).cast("long").alias("class")).union(member)
+                    .groupBy("line").agg(F.max("class").alias("class"), F.count("*").alias("n"))
+                    .where("class IS NOT NULL OR n > 1")
+                    .select("line", F.coalesce("class", "line").alias("class")), "line-classes")
+    # tables of their own, so that the joins are free to split the rows of a frequent line or class
+    rows = written(each.join(named, "line").select("class", "doc_id", "th", "number"), "line-rows")
     free_shuffles(spark)
-    first = named.groupBy("class").agg(F.min("kept").alias("kept"), F.sum("n").alias("n"))
-    # a table of its own, so that the join is free to split the rows of a frequent line
-    repeated = written(named.select("class", "line").join(first.where("n > 1"), "class")
-                       .select("line", "kept"), "line-firsts")
-    gone = (each.join(repeated, "line")
+    first = written(rows.groupBy("class").agg(F.min(F.struct("doc_id", "th", "number")).alias("kept")),
+                    "line-firsts")
+    gone = (rows.join(first, "class")
             .where(F.struct("doc_id", "th", "number") != F.col("kept")))
     return gone.groupBy("doc_id", "th").agg(F.array_sort(F.collect_set("number")).alias("gone"))
 

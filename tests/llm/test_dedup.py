@@ -353,6 +353,66 @@ def test_candidates_name_the_lines_of_large_buckets():
         assert got == {i for i, b in enumerate(band) if b in (2, 4)}
 
 
+def _batches(rows, step, names):
+    import pyarrow as pa
+    return iter([pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in rows[i:i + step]])
+                 for i in range(0, len(rows), step)])
+
+
+def test_large_buckets_are_dealt_out_and_hang_together(monkeypatch):
+    import numpy as np
+    monkeypatch.setattr(line_dedup, "CELL", 20)
+    keys = np.array([[7, 100 + i // 3, 10**6 + i] for i in range(300)], np.int64)
+    bands, lines = line_dedup._bucket_rows(np.arange(300), keys)
+    assert (bands[1:] >= bands[:-1]).all()
+    buckets = defaultdict(set)
+    for b, x in zip(bands.tolist(), lines.tolist(), strict=True):
+        buckets[b].add(x)
+    few = line_dedup.ALL_PAIRS + 1
+    assert len(buckets[7]) == few and max(map(len, buckets.values())) == 20 + few
+    assert [buckets[100 + k] for k in range(100)] == [{3 * k, 3 * k + 1, 3 * k + 2} for k in range(100)]
+    large = [b for b in buckets.values() if len(b) >= few]
+    assert set().union(*large) == set(range(300)) and all(buckets[7] <= b for b in large)
+
+
+@pytest.mark.parametrize("step", [1, 7, 1000])
+def test_packed_rows_give_every_candidate(monkeypatch, step):
+    monkeypatch.setattr(line_dedup, "CHUNK_LINES", 40)
+    monkeypatch.setattr(line_dedup, "BUCKET_BYTES", 500)
+    texts = [(f"{LINE} number {i // 2} of {'both' if i % 2 else 'some'}\n{LINE}\n"
+              + " ".join(f"own{i}x{k}" for k in range(9)),) for i in range(90)]
+    every = sorted({x for t, in texts for x in t.split("\n")})
+    ids = [line_dedup.line_id(x.encode()) for x in every]
+    buckets = defaultdict(set)
+    for i, keys in zip(ids, line_dedup.band_keys([x.encode() for x in every]).tolist(), strict=True):
+        for k in keys:
+            buckets[k].add(i)
+    packed = [(r["part"], r["rows"]) for b in line_dedup._signatures(10)(_batches(texts, step, ["text"]))
+              for r in b.to_pylist()]
+    # rows for each part and chunk, not for each line and band
+    assert len(packed) < len(ids) * line_dedup.BANDS and all(0 <= p < 1024 for p, _ in packed)
+    got = {(r["a"], r["b"]) for b in line_dedup._bucket_pairs(
+        _batches(sorted(packed), step, ["part", "rows"])) for r in b.to_pylist()}
+    crowded = {a for a, b in got if a == b}
+    large = [b for b in buckets.values() if len(b) > line_dedup.ALL_PAIRS]
+    assert large and crowded == set().union(*large)
+    small = {(a, b) for x in buckets.values() if 1 < len(x) <= line_dedup.ALL_PAIRS
+             for a in x for b in x if a < b}
+    assert small <= got
+
+
+def test_bodies_of_lines_without_a_candidate_are_left_out(spark):
+    bodies = [f"line {i} has words and a number {i * i}" for i in range(2000)]
+    ids = [line_dedup.line_id(x.encode()) for x in bodies]
+    marked = line_dedup._marked(spark.createDataFrame([(x,) for x in ids[:50]], "line long"))
+    out = [r for b in line_dedup._texts(marked)(_batches([(x,) for x in bodies], 100, ["text"]))
+           for r in b.to_pylist()]
+    assert {r["line"]: r["body"].decode() for r in out}.items() >= dict(
+        zip(ids[:50], bodies[:50], strict=True)).items()
+    assert all(bodies[ids.index(r["line"])] == r["body"].decode() for r in out)
+    assert len(out) < 500
+
+
 def test_empty_tables(spark):
     df = empty(spark)
     for f in (content_dedup.exact_groups, simhash.near_groups, suffix_dedup.repeat_report,
