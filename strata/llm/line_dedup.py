@@ -5,7 +5,7 @@ Lines (split at ``\\n``, white space ``[\\x20\\x09-\\x0D]`` stripped) of at leas
 each, in every script. Equal lines fold into one id first. Every distinct line gets
 ``BANDS`` bands of ``ROWS`` minima; at Jaccard 0.8 a pair shares a band with
 probability 0.995, and more above. Lines of a band are candidates: each is paired
-with its bucket's smallest line and the two before it in order, which are all pairs
+with its bucket's first line and the two before it, which are all pairs
 of up to ``ALL_PAIRS`` lines and a well connected chain of more. Candidates whose
 exact Jaccard similarity reaches ``SIMILARITY`` are united.
 
